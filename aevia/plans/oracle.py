@@ -159,3 +159,277 @@ ORACLE: dict[str, str] = {
     "drug_reaction_pairs": with_gold("SELECT * FROM g_pairs"),
     "ml_features": with_gold("SELECT * FROM g_features"),
 }
+
+# ---------------------------------------------------------------------------
+# Raw (bronze-grain) reports, flattened, straight from the flat tables.
+# ---------------------------------------------------------------------------
+RAW_CTE = """
+raw_flat AS (
+  SELECT CASE WHEN k % 997 = 0 THEN NULL ELSE CAST(k AS VARCHAR) END AS safety_report_id,
+    CASE WHEN k % 41 = 0 THEN 'unknown' ELSE strftime(od, '%Y%m%d') END AS receive_date_raw,
+    CASE st WHEN 'F' THEN '1' WHEN 'O' THEN '2'
+            WHEN 'P' THEN CASE WHEN k % 7 = 0 THEN NULL ELSE '2' END END AS serious,
+    CASE pr WHEN '1-URGENT' THEN '1' WHEN '5-LOW' THEN '2' END AS serious_death,
+    CASE WHEN k % 211 = 0 THEN 'x' WHEN pr = '2-HIGH' THEN '1' END AS serious_hospitalization,
+    CASE WHEN ck % 29 = 0 THEN NULL ELSE nname END AS country,
+    CASE WHEN k % 13 = 0 THEN NULL WHEN k % 101 = 0 THEN 'n/a' ELSE CAST(k % 1500 AS VARCHAR) END AS patient_age,
+    CASE WHEN ck % 5 = 4 THEN NULL ELSE CAST(ck % 5 AS VARCHAR) END AS patient_sex,
+    CAST(coalesce(nl.n, 0) AS INTEGER) AS num_drugs,
+    CAST(coalesce(nl.nr, 0) AS INTEGER) AS num_reactions
+  FROM rep_copies r
+  LEFT JOIN (SELECT l_orderkey, count(*) AS n, count_if(l_linenumber <= 3) AS nr
+             FROM lineitem GROUP BY 1) nl ON nl.l_orderkey = r.k
+)
+"""
+
+
+def with_all(body: str) -> str:
+    return "WITH " + SILVER_CTES + ",\n" + GOLD_CTES + ",\n" + RAW_CTE + "\n" + body
+
+
+def _vc(source: str, name: str, expr: str, frm: str) -> str:
+    return (
+        f"SELECT '{source}' AS source, '{name}' AS column_name, CAST({expr} AS VARCHAR) AS value, "
+        f"count(*) AS count FROM {frm} WHERE ({expr}) IS NOT NULL GROUP BY 3"
+    )
+
+
+_VALUE_COUNTS = "\nUNION ALL\n".join(
+    [
+        _vc("raw", "serious",
+            "CASE serious WHEN '1' THEN 'Serious' WHEN '2' THEN 'Not Serious' ELSE serious END", "raw_flat"),
+        _vc("raw", "patient_sex",
+            "CASE patient_sex WHEN '0' THEN 'Unknown' WHEN '1' THEN 'Male' WHEN '2' THEN 'Female' END",
+            "raw_flat"),
+        _vc("raw", "country", "country", "raw_flat"),
+        _vc("raw", "num_drugs", "num_drugs", "raw_flat"),
+        _vc("silver", "country", "country", "silver_events"),
+        _vc("silver", "patient_sex", "patient_sex", "silver_events"),
+        _vc("silver", "is_serious", "is_serious", "silver_events"),
+        _vc("silver", "report_day", "day(report_date)", "silver_events"),
+        _vc("silver", "drug_role", "drug_role", "silver_drugs"),
+        _vc("silver", "drug_name", "drug_name", "silver_drugs"),
+        _vc("silver", "reaction_name", "reaction_name", "silver_reactions"),
+        _vc("features", "is_serious", "coalesce(is_serious, 0)", "g_features"),
+        _vc("features", "num_drugs", "num_drugs", "g_features"),
+        _vc("features", "num_reactions", "num_reactions", "g_features"),
+        _vc("features", "has_suspect_drug", "has_suspect_drug", "g_features"),
+    ]
+)
+
+_NULL_COLS = [
+    "safety_report_id", "receive_date_raw", "serious", "serious_death", "serious_hospitalization",
+    "country", "patient_age", "patient_sex", "num_drugs", "num_reactions",
+]
+_NULL_RATES = "SELECT column_name, round(r * 100, 4) AS null_pct FROM (\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NULL THEN CAST(1 AS DOUBLE) "
+    f"ELSE CAST(0 AS DOUBLE) END) AS r FROM raw_flat"
+    for c in _NULL_COLS
+) + "\n) WHERE r > 0"
+
+
+def _dq(suite: str, table: str, check: str, observed: str, threshold: float, op: str, severity: str,
+        frm: str | None) -> str:
+    obs = f"CAST({observed} AS DOUBLE)"
+    passed = f"coalesce({obs} {op} {float(threshold)}, false)"
+    src = f" FROM {frm}" if frm else ""
+    return (
+        f"SELECT '{suite}' AS suite, '{table}' AS table_name, '{check}' AS check_name, {obs} AS observed, "
+        f"CAST({float(threshold)} AS DOUBLE) AS threshold, {passed} AS passed, '{severity}' AS severity{src}"
+    )
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+_NULL_RATE_SQL = ("coalesce(CAST(count_if(report_date IS NULL) AS DOUBLE) / NULLIF(count(*), 0), 0)")
+
+DQ_EVENTS = _union([
+    _dq("silver", "silver_adverse_events", "required_columns_exist", "0", 0, "<=", "error", None),
+    _dq("silver", "silver_adverse_events", "no_null_safety_report_ids", "count_if(safety_report_id IS NULL)",
+        0, "<=", "error", "silver_events"),
+    _dq("silver", "silver_adverse_events", "is_serious_is_binary",
+        "count_if(is_serious IS NOT NULL AND is_serious NOT IN (0, 1))", 0, "<=", "error", "silver_events"),
+    _dq("silver", "silver_adverse_events", "report_date_null_rate", _NULL_RATE_SQL, 0.05, "<=", "error",
+        "silver_events"),
+    _dq("silver", "silver_adverse_events", "patient_age_realistic",
+        "count_if(patient_age IS NOT NULL AND (patient_age < 0 OR patient_age > 120))", 0, "<=", "error",
+        "silver_events"),
+    _dq("silver", "silver_adverse_events", "row_count_minimum", "count(*)", 10, ">=", "error", "silver_events"),
+    _dq("silver_shape", "silver_adverse_events", "patient_sex_labels",
+        "count_if(patient_sex IS NOT NULL AND patient_sex NOT IN ('Unknown', 'Male', 'Female'))", 0, "<=",
+        "error", "silver_events"),
+])
+
+DQ_DRUGS = _union([
+    _dq("silver", "silver_drugs", "required_columns_exist", "0", 0, "<=", "error", None),
+    _dq("silver", "silver_drugs", "drug_name_not_empty",
+        "count_if(drug_name IS NULL OR trim(drug_name) = '')", 0, "<=", "error", "silver_drugs"),
+    _dq("silver", "silver_drugs", "row_count_minimum", "count(*)", 10, ">=", "error", "silver_drugs"),
+    _dq("silver", "silver_drugs", "null_safety_report_ids", "count_if(safety_report_id IS NULL)", 0, "<=",
+        "warn", "silver_drugs"),
+    _dq("silver_shape", "silver_drugs", "drug_names_upper_case", "count_if(drug_name <> upper(drug_name))",
+        0, "<=", "error", "silver_drugs"),
+    _dq("silver_shape", "silver_drugs", "drug_role_labels",
+        "count_if(drug_role IS NOT NULL AND drug_role NOT IN ('Suspect', 'Concomitant', 'Interacting'))",
+        0, "<=", "error", "silver_drugs"),
+])
+
+DQ_REACTIONS = _union([
+    _dq("silver", "silver_reactions", "required_columns_exist", "0", 0, "<=", "error", None),
+    _dq("silver", "silver_reactions", "reaction_name_not_empty",
+        "count_if(reaction_name IS NULL OR trim(reaction_name) = '')", 0, "<=", "error", "silver_reactions"),
+    _dq("silver", "silver_reactions", "row_count_minimum", "count(*)", 10, ">=", "error", "silver_reactions"),
+])
+
+_RATE_BAD_ALL = "count_if(NOT coalesce(seriousness_rate_pct BETWEEN 0 AND 100, false))"
+_RATE_BAD_NN = "count_if(seriousness_rate_pct IS NOT NULL AND NOT (seriousness_rate_pct BETWEEN 0 AND 100))"
+
+
+def _g(table: str, check: str, observed: str, threshold: float, op: str, frm: str | None) -> str:
+    return _dq("gold", table, check, observed, threshold, op, "error", frm)
+
+
+DQ_GOLD = _union([
+    _g("safety_overview", "required_columns_exist", "0", 0, "<=", None),
+    _g("safety_overview", "has_one_row", "abs(count(*) - 1)", 0, "<=", "g_overview"),
+    _g("safety_overview", "total_reports_positive", "count_if(NOT coalesce(total_reports > 0, false))", 0, "<=",
+       "g_overview"),
+    _g("safety_overview", "seriousness_rate_in_range", _RATE_BAD_ALL, 0, "<=", "g_overview"),
+    _g("monthly_trends", "required_columns_exist", "0", 0, "<=", None),
+    _g("monthly_trends", "has_rows", "count(*)", 1, ">=", "g_monthly"),
+    _g("monthly_trends", "seriousness_rate_in_range", _RATE_BAD_ALL, 0, "<=", "g_monthly"),
+    _g("drug_summary", "required_columns_exist", "0", 0, "<=", None),
+    _g("drug_summary", "has_rows", "count(*)", 1, ">=", "g_drugs"),
+    _g("drug_summary", "seriousness_rate_in_range", _RATE_BAD_NN, 0, "<=", "g_drugs"),
+    _g("drug_summary", "total_reports_positive", "count_if(NOT coalesce(total_reports > 0, false))", 0, "<=",
+       "g_drugs"),
+    _g("reaction_summary", "required_columns_exist", "0", 0, "<=", None),
+    _g("reaction_summary", "has_rows", "count(*)", 1, ">=", "g_reactions"),
+    _g("drug_reaction_pairs", "required_columns_exist", "0", 0, "<=", None),
+    _g("drug_reaction_pairs", "has_rows", "count(*)", 1, ">=", "g_pairs"),
+    _g("drug_reaction_pairs", "pair_count_positive", "count_if(NOT coalesce(pair_count > 0, false))", 0, "<=",
+       "g_pairs"),
+    _g("drug_reaction_pairs", "seriousness_rate_in_range", _RATE_BAD_NN, 0, "<=", "g_pairs"),
+    _g("ml_features", "required_columns_exist", "0", 0, "<=", None),
+    _g("ml_features", "has_rows", "count(*)", 1, ">=", "g_features"),
+    _g("ml_features", "num_drugs_non_negative", "count_if(num_drugs < 0)", 0, "<=", "g_features"),
+    _g("ml_features", "num_reactions_non_negative", "count_if(num_reactions < 0)", 0, "<=", "g_features"),
+    _g("ml_features", "has_suspect_drug_is_binary",
+       "count_if(has_suspect_drug IS NULL OR has_suspect_drug NOT IN (0, 1))", 0, "<=", "g_features"),
+])
+
+DQ_ORPHANS = _union([
+    _dq("referential", f"silver_{t}", "report_ids_exist_in_events",
+        f"count_if(c.safety_report_id IS NULL OR e.safety_report_id IS NULL)", 0, "<=", "warn",
+        f"silver_{t} c LEFT JOIN (SELECT DISTINCT safety_report_id FROM silver_events) e "
+        f"ON e.safety_report_id = c.safety_report_id")
+    for t in ("drugs", "reactions")
+])
+
+_PROF_SUMMARY = """
+SELECT (SELECT count(*) FROM raw_flat) AS total_reports,
+  (SELECT count_if(serious = '1') FROM raw_flat) AS serious_reports,
+  (SELECT round(CAST(count_if(serious = '1') AS DOUBLE) / NULLIF(count(*), 0) * 100, 2) FROM raw_flat)
+    AS seriousness_rate_pct,
+  (SELECT count(DISTINCT country) FROM raw_flat) AS unique_countries,
+  (SELECT count(*) FROM silver_drugs) AS drug_mentions,
+  (SELECT count(DISTINCT drug_name) FROM silver_drugs) AS unique_drugs,
+  (SELECT count(*) FROM silver_reactions) AS reaction_mentions,
+  (SELECT count(DISTINCT reaction_name) FROM silver_reactions) AS unique_reactions,
+  (SELECT count_if(TRY_CAST(patient_age AS DOUBLE) IS NULL) FROM raw_flat) AS null_age_reports,
+  (SELECT round(CAST(count_if(TRY_CAST(patient_age AS DOUBLE) IS NULL) AS DOUBLE) / NULLIF(count(*), 0) * 100, 2)
+     FROM raw_flat) AS null_age_pct,
+  (SELECT round(avg(num_drugs), 4) FROM raw_flat) AS avg_drugs,
+  (SELECT round(avg(num_reactions), 4) FROM raw_flat) AS avg_reactions
+"""
+
+_AGE_HIST = """
+, rng AS (SELECT min(patient_age) AS lo, max(patient_age) AS hi FROM silver_events),
+hist AS (
+  SELECT CAST(CASE WHEN (hi - lo) = 0 THEN 0
+                   ELSE least(floor((patient_age - lo) / ((hi - lo) / 30.0)), 29) END AS INTEGER) AS bin,
+         lo, (hi - lo) / 30.0 AS width
+  FROM silver_events, rng WHERE patient_age IS NOT NULL
+)
+SELECT bin, round(lo + bin * width, 6) AS lower, round(lo + (bin + 1) * width, 6) AS upper, count(*) AS count
+FROM hist GROUP BY bin, lo, width
+"""
+
+ORACLE.update({
+    "top_serious_drugs": with_gold(
+        "SELECT drug_name, total_reports, serious_reports, seriousness_rate_pct FROM g_drugs "
+        "ORDER BY serious_reports DESC NULLS LAST, drug_name LIMIT 20"),
+    "signal_pairs": with_gold(
+        "SELECT drug_name, reaction_name, pair_count, seriousness_rate_pct FROM g_pairs WHERE pair_count >= 10 "
+        "ORDER BY seriousness_rate_pct DESC NULLS LAST, drug_name, reaction_name LIMIT 20"),
+    "rep_kpi": with_gold("SELECT total_reports, serious_reports, death_reports, seriousness_rate_pct FROM g_overview"),
+    "rep_trend": with_gold(
+        "SELECT CASE WHEN year IS NOT NULL THEN printf('%d-%02d', year, month) END AS period, year, month, "
+        "total_reports, serious_reports FROM g_monthly"),
+    "rep_sex_share": with_gold(
+        "SELECT patient_sex AS sex, count(*) AS count, "
+        "round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100, 2) AS pct "
+        "FROM g_features WHERE patient_sex IS NOT NULL GROUP BY 1"),
+    "rep_top_countries": with_gold(
+        "SELECT country, count(*) AS count FROM g_features WHERE country IS NOT NULL GROUP BY 1 "
+        "ORDER BY count DESC, country LIMIT 15"),
+    "rep_top_drugs": with_gold("SELECT * FROM g_drugs ORDER BY total_reports DESC, drug_name LIMIT 20"),
+    "rep_top_rate_drugs": with_gold(
+        "SELECT * FROM g_drugs ORDER BY seriousness_rate_pct DESC NULLS LAST, drug_name LIMIT 20"),
+    "rep_drug_detail": with_gold(
+        'SELECT drug_name AS "Drug", total_reports AS "Total Reports", serious_reports AS "Serious", '
+        'seriousness_rate_pct AS "Seriousness Rate (%)" FROM g_drugs ORDER BY total_reports DESC, drug_name LIMIT 20'),
+    "rep_top_reactions": with_gold("SELECT * FROM g_reactions ORDER BY total_reports DESC, reaction_name LIMIT 20"),
+    "rep_signal_scatter": with_gold(
+        "SELECT drug_name, reaction_name, pair_count, serious_count, seriousness_rate_pct FROM g_pairs "
+        "WHERE pair_count >= 5"),
+    "rep_top_pairs": with_gold(
+        'SELECT drug_name AS "Drug", reaction_name AS "Reaction", pair_count AS "Pair Count", '
+        'serious_count AS "Serious", seriousness_rate_pct AS "Seriousness Rate (%)" FROM g_pairs '
+        "ORDER BY pair_count DESC, drug_name, reaction_name LIMIT 20"),
+    "prof_value_counts": with_all(_VALUE_COUNTS),
+    "prof_country_rate": with_all(
+        ", top AS (SELECT country FROM raw_flat WHERE country IS NOT NULL GROUP BY 1 "
+        "ORDER BY count(*) DESC, country LIMIT 10) "
+        "SELECT country, round(avg(CASE WHEN serious = '1' THEN 1 ELSE 0 END) * 100, 2) AS seriousness_rate_pct, "
+        "count(*) AS total_reports FROM raw_flat WHERE country IN (SELECT country FROM top) GROUP BY 1"),
+    "prof_age_stats": with_all(
+        "SELECT min(patient_age) AS min_age, max(patient_age) AS max_age, "
+        "CAST(median(patient_age) AS DOUBLE) AS median_age, round(avg(patient_age), 4) AS mean_age, "
+        "CAST(count_if(patient_age IS NULL) AS BIGINT) AS null_ages, "
+        "round(CAST(count_if(patient_age IS NULL) AS DOUBLE) / NULLIF(count(*), 0) * 100, 2) AS null_age_pct "
+        "FROM silver_events"),
+    "prof_drug_buckets": with_all(
+        "SELECT CAST(count_if(num_drugs = 1) AS BIGINT) AS reports_1_drug, "
+        "CAST(count_if(num_drugs = 2) AS BIGINT) AS reports_2_drugs, "
+        "CAST(count_if(num_drugs >= 3) AS BIGINT) AS reports_3plus_drugs, max(num_drugs) AS max_drugs, "
+        "round(avg(num_drugs), 4) AS avg_drugs FROM raw_flat"),
+    "prof_drugs_per_report": with_all(
+        "SELECT CAST(count_if(n = 1) AS BIGINT) AS reports_1_drug, CAST(count_if(n = 2) AS BIGINT) AS reports_2_drugs, "
+        "CAST(count_if(n >= 3) AS BIGINT) AS reports_3plus_drugs, round(avg(n), 4) AS avg_drugs "
+        "FROM (SELECT safety_report_id, count(*) AS n FROM silver_drugs WHERE safety_report_id IS NOT NULL GROUP BY 1)"),
+    "prof_age_hist": with_all(_AGE_HIST),
+    "prof_null_rates": with_all(_NULL_RATES),
+    "prof_class_balance": with_gold(
+        "SELECT CAST(coalesce(is_serious, 0) AS INTEGER) AS is_serious, count(*) AS count, "
+        "round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100, 2) AS pct FROM g_features GROUP BY 1"),
+    "prof_summary": with_all(_PROF_SUMMARY),
+    "prof_dates": with_all(
+        "SELECT min(report_date) AS first_date, max(report_date) AS last_date, "
+        "CAST(count_if(report_date IS NULL) AS BIGINT) AS null_dates FROM silver_events"),
+    "prof_shapes": with_all(
+        "SELECT 'silver_adverse_events' AS table_name, count(*) AS n_rows, 8 AS n_cols FROM silver_events "
+        "UNION ALL SELECT 'silver_drugs', count(*), 4 FROM silver_drugs "
+        "UNION ALL SELECT 'silver_reactions', count(*), 2 FROM silver_reactions"),
+    "prof_key_presence": (
+        "WITH k AS (SELECT unnest(json_keys(props)) AS key FROM events) "
+        "SELECT key, count(*) AS records, "
+        "round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM events) * 100, 2) AS pct FROM k GROUP BY 1"),
+    "dq_events": with_all(DQ_EVENTS),
+    "dq_drugs": with_all(DQ_DRUGS),
+    "dq_reactions": with_all(DQ_REACTIONS),
+    "dq_gold": with_all(DQ_GOLD),
+    "dq_orphans": with_all(DQ_ORPHANS),
+})

@@ -1,62 +1,109 @@
 """Query registry: one callable ``(spark, sf_dir) -> DataFrame`` per key.
 
-Every query derives its input from the test tables under ``sf_dir`` (nested
-bronze reports, then silver, then gold), so its work grows with them.
+Every query derives its input from the test tables under ``sf_dir``
+(nested bronze reports -> silver -> gold), so its work grows with them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from aevia.operators import gold as G
+from aevia.operators import profile as P
+from aevia.operators import quality as Q
+from aevia.operators import reports as R
 from aevia.operators import silver as S
 from aevia.sources import testbed
+from aevia.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return S.build_silver(testbed.bronze(spark, sf_dir))
+class Ctx:
+    """Lazily built layers for one query over one ``sf_dir``."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
-def _gold(name: str) -> Query:
-    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s = silver_tables(spark, sf_dir)
-        ev, dr, rx = s["adverse_events"], s["drugs"], s["reactions"]
-        builders = {
-            "safety_overview": lambda: G.safety_overview(ev),
-            "monthly_trends": lambda: G.monthly_trends(ev),
-            "drug_summary": lambda: G.drug_summary(ev, dr),
-            "reaction_summary": lambda: G.reaction_summary(ev, rx),
-            "drug_reaction_pairs": lambda: G.drug_reaction_pairs(ev, dr, rx),
-            "ml_features": lambda: G.ml_features(ev, dr, rx),
-        }
-        return builders[name]()
-
-    q.__name__ = name
-    return q
+    @cached_property
+    def bronze(self) -> DataFrame:
+        return testbed.bronze(self.spark, self.sf_dir)
+
+    @cached_property
+    def silver(self) -> dict[str, DataFrame]:
+        return S.build_silver(self.bronze)
+
+    @property
+    def events(self) -> DataFrame:
+        return self.silver["adverse_events"]
+
+    @property
+    def drugs(self) -> DataFrame:
+        return self.silver["drugs"]
+
+    @property
+    def reactions(self) -> DataFrame:
+        return self.silver["reactions"]
+
+    @cached_property
+    def gold(self) -> dict[str, DataFrame]:
+        return G.build_gold(self.events, self.drugs, self.reactions)
 
 
-def _silver(name: str) -> Query:
+def _q(fn: Callable[[Ctx], DataFrame]) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return silver_tables(spark, sf_dir)[name]
+        return fn(Ctx(spark, sf_dir))
 
     return q
 
 
 QUERIES: dict[str, Query] = {
-    "silver_events": _silver("adverse_events"),
-    "silver_drugs": _silver("drugs"),
-    "silver_reactions": _silver("reactions"),
+    # silver
+    "silver_events": _q(lambda c: c.events),
+    "silver_drugs": _q(lambda c: c.drugs),
+    "silver_reactions": _q(lambda c: c.reactions),
+    # gold
+    **{name: _q(lambda c, n=name: c.gold[n]) for name in (
+        "safety_overview", "monthly_trends", "drug_summary", "reaction_summary",
+        "drug_reaction_pairs", "ml_features")},
+    # warehouse SQL of the README
+    "top_serious_drugs": _q(lambda c: R.top_serious_drugs(c.gold["drug_summary"])),
+    "signal_pairs": _q(lambda c: R.signal_pairs_sql(c.spark, c.gold["drug_reaction_pairs"])),
+    # dashboard pages
+    "rep_kpi": _q(lambda c: R.kpi(c.gold["safety_overview"])),
+    "rep_trend": _q(lambda c: R.trend(c.gold["monthly_trends"])),
+    "rep_sex_share": _q(lambda c: R.sex_share(c.gold["ml_features"])),
+    "rep_top_countries": _q(lambda c: R.top_countries(c.gold["ml_features"])),
+    "rep_top_drugs": _q(lambda c: R.top_drugs(c.gold["drug_summary"])),
+    "rep_top_rate_drugs": _q(lambda c: R.top_rate_drugs(c.gold["drug_summary"])),
+    "rep_drug_detail": _q(lambda c: R.drug_detail(c.gold["drug_summary"])),
+    "rep_top_reactions": _q(lambda c: R.top_reactions(c.gold["reaction_summary"])),
+    "rep_signal_scatter": _q(lambda c: R.signal_scatter(c.gold["drug_reaction_pairs"])),
+    "rep_top_pairs": _q(lambda c: R.top_pairs(c.gold["drug_reaction_pairs"])),
+    # profiles
+    "prof_value_counts": _q(lambda c: P.value_count_profile(
+        c.bronze, c.events, c.drugs, c.reactions, c.gold["ml_features"])),
+    "prof_country_rate": _q(lambda c: P.country_seriousness(c.bronze)),
+    "prof_age_stats": _q(lambda c: P.age_stats(c.events)),
+    "prof_drug_buckets": _q(lambda c: P.drug_buckets(c.bronze)),
+    "prof_drugs_per_report": _q(lambda c: P.drugs_per_report(c.drugs)),
+    "prof_age_hist": _q(lambda c: P.age_histogram(c.events)),
+    "prof_null_rates": _q(lambda c: P.null_rates(P.raw_flat(c.bronze))),
+    "prof_class_balance": _q(lambda c: P.class_balance(c.gold["ml_features"])),
+    "prof_summary": _q(lambda c: P.raw_summary(c.bronze)),
+    "prof_dates": _q(lambda c: P.date_range(c.events)),
+    "prof_shapes": _q(lambda c: P.shapes({
+        "silver_adverse_events": c.events, "silver_drugs": c.drugs, "silver_reactions": c.reactions})),
+    "prof_key_presence": _q(lambda c: P.key_presence(table(c.spark, c.sf_dir, "events"))),
+    # quality
+    "dq_events": _q(lambda c: Q.run_suite(c.events, "adverse_events").unionByName(
+        Q.run_silver_shape(c.events, "adverse_events"))),
+    "dq_drugs": _q(lambda c: Q.run_suite(c.drugs, "drugs").unionByName(Q.run_silver_shape(c.drugs, "drugs"))),
+    "dq_reactions": _q(lambda c: Q.run_suite(c.reactions, "reactions")),
+    "dq_gold": _q(lambda c: Q.run_gold_suite(c.gold)),
+    "dq_orphans": _q(lambda c: Q.orphan_check(c.drugs, c.events, "drugs").unionByName(
+        Q.orphan_check(c.reactions, c.events, "reactions"))),
 }
-for _k in (
-    "safety_overview",
-    "monthly_trends",
-    "drug_summary",
-    "reaction_summary",
-    "drug_reaction_pairs",
-    "ml_features",
-):
-    QUERIES[_k] = _gold(_k)
