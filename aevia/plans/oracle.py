@@ -165,7 +165,9 @@ ORACLE: dict[str, str] = {
 # ---------------------------------------------------------------------------
 RAW_CTE = """
 raw_flat AS (
-  SELECT CASE WHEN k % 997 = 0 THEN NULL ELSE CAST(k AS VARCHAR) END AS safety_report_id,
+  SELECT r.k AS k, CASE WHEN k % 41 = 0 THEN NULL ELSE CAST(year(od) AS INTEGER) END AS r_year,
+    CASE WHEN k % 41 = 0 THEN NULL ELSE CAST(month(od) AS INTEGER) END AS r_month,
+    CASE WHEN k % 997 = 0 THEN NULL ELSE CAST(k AS VARCHAR) END AS safety_report_id,
     CASE WHEN k % 41 = 0 THEN 'unknown' ELSE strftime(od, '%Y%m%d') END AS receive_date_raw,
     CASE st WHEN 'F' THEN '1' WHEN 'O' THEN '2'
             WHEN 'P' THEN CASE WHEN k % 7 = 0 THEN NULL ELSE '2' END END AS serious,
@@ -330,7 +332,7 @@ DQ_ORPHANS = _union([
 
 _PROF_SUMMARY = """
 SELECT (SELECT count(*) FROM raw_flat) AS total_reports,
-  (SELECT count_if(serious = '1') FROM raw_flat) AS serious_reports,
+  (SELECT CAST(count_if(serious = '1') AS BIGINT) FROM raw_flat) AS serious_reports,
   (SELECT round(CAST(count_if(serious = '1') AS DOUBLE) / NULLIF(count(*), 0) * 100, 2) FROM raw_flat)
     AS seriousness_rate_pct,
   (SELECT count(DISTINCT country) FROM raw_flat) AS unique_countries,
@@ -338,7 +340,7 @@ SELECT (SELECT count(*) FROM raw_flat) AS total_reports,
   (SELECT count(DISTINCT drug_name) FROM silver_drugs) AS unique_drugs,
   (SELECT count(*) FROM silver_reactions) AS reaction_mentions,
   (SELECT count(DISTINCT reaction_name) FROM silver_reactions) AS unique_reactions,
-  (SELECT count_if(TRY_CAST(patient_age AS DOUBLE) IS NULL) FROM raw_flat) AS null_age_reports,
+  (SELECT CAST(count_if(TRY_CAST(patient_age AS DOUBLE) IS NULL) AS BIGINT) FROM raw_flat) AS null_age_reports,
   (SELECT round(CAST(count_if(TRY_CAST(patient_age AS DOUBLE) IS NULL) AS DOUBLE) / NULLIF(count(*), 0) * 100, 2)
      FROM raw_flat) AS null_age_pct,
   (SELECT round(avg(num_drugs), 4) FROM raw_flat) AS avg_drugs,
@@ -433,3 +435,16 @@ ORACLE.update({
     "dq_gold": with_all(DQ_GOLD),
     "dq_orphans": with_all(DQ_ORPHANS),
 })
+
+_RAW_COLS = ("safety_report_id AS safetyreportid, receive_date_raw AS receivedate, serious, "
+             "country AS primarysourcecountry, num_drugs, num_reactions")
+
+ORACLE.update({
+    "page_unwrap": with_all(f"SELECT k // 100 AS page, {_RAW_COLS} FROM raw_flat"),
+    "offset_page": with_all(f"SELECT {_RAW_COLS} FROM raw_flat ORDER BY k LIMIT 100 OFFSET 100"),
+    "bronze_roundtrip": with_all(f"SELECT {_RAW_COLS}, r_year AS year, r_month AS month FROM raw_flat"),
+    "month_window": with_gold(
+        "SELECT * FROM silver_events WHERE report_date BETWEEN DATE '1996-02-01' AND DATE '1996-02-29'"),
+    "publish_roundtrip": with_gold("SELECT * FROM g_pairs"),
+    "read_or_empty": with_gold("SELECT * FROM g_reactions"),
+})

@@ -10,12 +10,17 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aevia.operators import gold as G
 from aevia.operators import profile as P
 from aevia.operators import quality as Q
 from aevia.operators import reports as R
 from aevia.operators import silver as S
+from aevia.functions.exprs import size_or_zero
+from aevia.schemas import GOLD
+from aevia.sources import bronze as B
+from aevia.sources import storage as T
 from aevia.sources import testbed
 from aevia.sources.tables import table
 
@@ -32,6 +37,11 @@ class Ctx:
     def bronze(self) -> DataFrame:
         return testbed.bronze(self.spark, self.sf_dir)
 
+    @cached_property
+    def bronze_keyed(self) -> DataFrame:
+        """Bronze plus the source order key (paging, landing)."""
+        return testbed.bronze_reports(self.spark, self.sf_dir)
+
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
         return S.build_silver(self.bronze)
@@ -107,3 +117,54 @@ QUERIES: dict[str, Query] = {
     "dq_orphans": _q(lambda c: Q.orphan_check(c.drugs, c.events, "drugs").unionByName(
         Q.orphan_check(c.reactions, c.events, "reactions"))),
 }
+
+
+def raw_cols() -> list:
+    return [
+        F.col("safetyreportid"), F.col("receivedate"), F.col("serious"), F.col("primarysourcecountry"),
+        size_or_zero("patient.drug").alias("num_drugs"), size_or_zero("patient.reaction").alias("num_reactions"),
+    ]
+
+
+def _page_unwrap(c: Ctx) -> DataFrame:
+    bodies = B.page_bodies(c.bronze_keyed, "_order_key")
+    return B.unwrap_pages(bodies).select(F.col("page"), *raw_cols())
+
+
+def _offset_page(c: Ctx) -> DataFrame:
+    return B.offset_page(c.bronze_keyed, ["_order_key"], 100, 100).select(*raw_cols())
+
+
+def _bronze_roundtrip(c: Ctx) -> DataFrame:
+    root = T.scratch_path(c.spark, "bronze")
+    d = testbed.parse_receivedate(c.bronze)
+    B.land_bronze(d.withColumn("year", F.year("_d")).withColumn("month", F.month("_d")), root)
+    return B.read_bronze(c.spark, root).select(*raw_cols(), "year", "month")
+
+
+def _month_window(c: Ctx) -> DataFrame:
+    return c.events.where(B.in_month("report_date", 1996, 2))
+
+
+def _publish_roundtrip(c: Ctx) -> DataFrame:
+    root = T.scratch_path(c.spark, "publish")
+    T.publish_gold(c.gold, root)
+    return T.read_table(c.spark, root, "published", "drug_reaction_pairs")
+
+
+def _read_or_empty(c: Ctx) -> DataFrame:
+    root = T.scratch_path(c.spark, "gold")
+    path = T.write_table(c.gold["reaction_summary"], root, "gold", "reaction_summary")
+    schema = GOLD["reaction_summary"]
+    return T.read_or_empty(c.spark, path, schema).unionByName(
+        T.read_or_empty(c.spark, f"{root}/gold/not_there", schema))
+
+
+QUERIES.update({
+    "page_unwrap": _q(_page_unwrap),
+    "offset_page": _q(_offset_page),
+    "bronze_roundtrip": _q(_bronze_roundtrip),
+    "month_window": _q(_month_window),
+    "publish_roundtrip": _q(_publish_roundtrip),
+    "read_or_empty": _q(_read_or_empty),
+})

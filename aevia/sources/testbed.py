@@ -160,3 +160,9 @@ def bronze_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested reports exactly in the declared bronze schema."""
     return bronze_reports(spark, sf_dir).drop("_order_key")
+
+
+def parse_receivedate(bronze: DataFrame) -> DataFrame:
+    """Adds ``_d``, the parsed receive date (null when unparsable), used to
+    lay reports out by month."""
+    return bronze.withColumn("_d", F.try_to_date(F.col("receivedate"), "yyyyMMdd"))
