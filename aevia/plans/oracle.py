@@ -448,3 +448,64 @@ ORACLE.update({
     "publish_roundtrip": with_gold("SELECT * FROM g_pairs"),
     "read_or_empty": with_gold("SELECT * FROM g_reactions"),
 })
+
+# ---------------------------------------------------------------------------
+# Machine learning on the feature table
+# ---------------------------------------------------------------------------
+_PREPARED = """
+SELECT safety_report_id,
+  CAST(coalesce(patient_age, median(patient_age) OVER ()) AS DOUBLE) AS patient_age,
+  CAST(dense_rank() OVER (ORDER BY coalesce(patient_sex, 'Unknown')) - 1 AS DOUBLE) AS patient_sex,
+  CAST(dense_rank() OVER (ORDER BY coalesce(country, 'Unknown')) - 1 AS DOUBLE) AS country,
+  CAST(num_drugs AS DOUBLE) AS num_drugs,
+  CAST(num_reactions AS DOUBLE) AS num_reactions,
+  CAST(has_suspect_drug AS DOUBLE) AS has_suspect_drug,
+  CAST(coalesce(is_serious, 0) AS INTEGER) AS label
+FROM g_features
+"""
+
+_RULE = """
+, s AS (SELECT CAST(coalesce(is_serious, 0) AS INTEGER) AS label, CAST(has_suspect_drug AS INTEGER) AS prediction,
+               CAST(num_drugs AS DOUBLE) + has_suspect_drug * CAST(0.5 AS DOUBLE) AS score FROM g_features),
+c AS (SELECT CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp,
+             CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS fp,
+             CAST(count_if(label = 0 AND prediction = 0) AS BIGINT) AS tn,
+             CAST(count_if(label = 1 AND prediction = 0) AS BIGINT) AS fn FROM s),
+g AS (SELECT score, count_if(label = 1) AS p, count_if(label <> 1) AS n FROM s GROUP BY score),
+cum AS (SELECT score, p, n,
+          coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_below,
+          sum(n) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn,
+          sum(p) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp
+        FROM g),
+tot AS (SELECT sum(p) AS pp, sum(n) AS nn FROM g)
+"""
+
+
+def _r(num: str, den: str) -> str:
+    return f"round(coalesce(CAST({num} AS DOUBLE) / NULLIF({den}, 0), 0), 4)"
+
+
+ORACLE.update({
+    "ml_prepared": with_gold(_PREPARED),
+    "ml_split": with_gold(
+        "SELECT safety_report_id, CAST(coalesce(is_serious, 0) AS INTEGER) AS label, "
+        "CASE WHEN substr(md5(safety_report_id || ':42'), 1, 8) < '33333333' THEN 'test' ELSE 'train' END AS split "
+        "FROM g_features"),
+    "ml_metrics_fixed": with_gold(_RULE + f"""
+SELECT {_r('tp + tn', 'tp + fp + tn + fn')} AS accuracy, {_r('tp', 'tp + fp')} AS precision,
+       {_r('tp', 'tp + fn')} AS recall, {_r('2 * tp', '2 * tp + fp + fn')} AS f1 FROM c"""),
+    "ml_class_report": with_gold(_RULE + f"""
+SELECT 0 AS class, {_r('tn', 'tn + fn')} AS precision, {_r('tn', 'tn + fp')} AS recall,
+       {_r('2 * tn', '2 * tn + fn + fp')} AS f1, tn + fp AS support FROM c
+UNION ALL
+SELECT 1, {_r('tp', 'tp + fp')}, {_r('tp', 'tp + fn')}, {_r('2 * tp', '2 * tp + fp + fn')}, tp + fn FROM c"""),
+    "ml_auc_fixed": with_gold(_RULE + """
+SELECT round(CASE WHEN tot.pp * tot.nn > 0 THEN
+  sum(CAST(cum.p AS DOUBLE) * (cum.n_below + cum.n * CAST(0.5 AS DOUBLE))) / (CAST(tot.pp AS DOUBLE) * tot.nn) END, 4)
+  AS roc_auc
+FROM cum, tot GROUP BY tot.pp, tot.nn"""),
+    "ml_roc_fixed": with_gold(_RULE + """
+SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DOUBLE) AS tpr
+UNION ALL
+SELECT score, round(CAST(cn AS DOUBLE) / tot.nn, 6), round(CAST(cp AS DOUBLE) / tot.pp, 6) FROM cum, tot"""),
+})

@@ -168,3 +168,94 @@ QUERIES.update({
     "publish_roundtrip": _q(_publish_roundtrip),
     "read_or_empty": _q(_read_or_empty),
 })
+
+
+# ---------------------------------------------------------------------------
+# Machine learning
+# ---------------------------------------------------------------------------
+def _rule_scored(c: Ctx) -> DataFrame:
+    """A fixed, data-derived classifier over the feature table: predicts
+    serious when a suspect drug is present; scores by drug count plus half
+    the suspect flag (many ties)."""
+    f = c.gold["ml_features"]
+    return f.select(
+        F.coalesce(F.col("is_serious"), F.lit(0)).cast("int").alias("label"),
+        F.col("has_suspect_drug").cast("int").alias("prediction"),
+        (F.col("num_drugs").cast("double") + F.col("has_suspect_drug") * F.lit(0.5)).alias("score"),
+    )
+
+
+def _prepared(c: Ctx) -> DataFrame:
+    from aevia.ml.features import prepare_features
+
+    prepared, _ = prepare_features(c.gold["ml_features"])
+    return prepared.drop("features")
+
+
+def _split(c: Ctx) -> DataFrame:
+    from aevia.ml.features import split_flag
+
+    return _prepared(c).select(
+        "safety_report_id", "label", F.when(split_flag(), F.lit("test")).otherwise(F.lit("train")).alias("split")
+    )
+
+
+def _trained(c: Ctx) -> dict:
+    from aevia.ml.models import run_training
+
+    return run_training(c.spark, c.gold["ml_features"])
+
+
+def _predictions(name: str):
+    def f(c: Ctx) -> DataFrame:
+        from aevia.ml.features import prepare_features, train_test_split
+        from aevia.ml.models import predict
+
+        t = _trained(c)
+        prepared, _ = prepare_features(c.gold["ml_features"])
+        _, test = train_test_split(prepared)
+        return predict(t[name]["model"], test)
+
+    return f
+
+
+def _importance(c: Ctx) -> DataFrame:
+    from aevia.ml.models import feature_importances
+
+    return feature_importances(c.spark, _trained(c)["RandomForest"]["model"])
+
+
+def _runs_query(fn_name: str):
+    def f(c: Ctx) -> DataFrame:
+        from aevia.ml import models as M
+
+        runs = _trained(c)["runs"]
+        return runs if fn_name == "runs" else getattr(M, fn_name)(runs)
+
+    return f
+
+
+def _ml_fixed(fn_name: str):
+    def f(c: Ctx) -> DataFrame:
+        from aevia.ml import metrics as ME
+
+        return getattr(ME, fn_name)(_rule_scored(c))
+
+    return f
+
+
+QUERIES.update({
+    "ml_prepared": _q(_prepared),
+    "ml_split": _q(_split),
+    "ml_metrics_fixed": _q(_ml_fixed("classification_metrics")),
+    "ml_auc_fixed": _q(_ml_fixed("roc_auc")),
+    "ml_roc_fixed": _q(_ml_fixed("roc_points")),
+    "ml_class_report": _q(_ml_fixed("class_report")),
+    "ml_logreg": _q(_predictions("LogisticRegression")),
+    "ml_forest": _q(_predictions("RandomForest")),
+    "ml_importance": _q(_importance),
+    "model_runs": _q(_runs_query("runs")),
+    "best_run": _q(_runs_query("best_run")),
+    "run_compare": _q(_runs_query("compare_runs")),
+    "run_history": _q(_runs_query("run_history")),
+})
