@@ -87,9 +87,12 @@ def _children(spark: SparkSession, sf_dir: str) -> DataFrame:
     reaction_item = F.when(
         ln <= MAX_REACTION_LINE, F.struct(ln.alias("pos"), reaction.alias("reactionmeddrapt"))
     )
-    # Arrays are sorted by line number so that a report's content does not
-    # depend on shuffle order.
-    return lines.groupBy("l_orderkey").agg(
+    # One exchange by order key; sorted partitions let the grouping run as
+    # a streaming sort-based aggregate (groups are at most seven items, so
+    # a map-side combine would gain nothing). Arrays are still sorted by
+    # line number, so a report's content never depends on shuffle order.
+    grouped = lines.repartition("l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
+    return grouped.groupBy("l_orderkey").agg(
         F.transform(
             F.array_sort(F.collect_list(drug_item)),
             lambda d: F.struct(
