@@ -14,7 +14,7 @@ from aevia.functions import exprs as X
 from aevia.schemas import DRUG_ROLE_LABELS, SEX_LABELS
 
 
-def _event_columns(bronze: DataFrame) -> DataFrame:
+def _event_columns(bronze: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return bronze.select(
         F.col("safetyreportid").alias("safety_report_id"),
         F.col("primarysourcecountry").alias("country"),
@@ -24,6 +24,7 @@ def _event_columns(bronze: DataFrame) -> DataFrame:
         X.binary_flag("seriousnesshospitalization").alias("hospitalization"),
         X.code_label("patient.patientsex", SEX_LABELS).alias("patient_sex"),
         X.age_in_years("patient.patientonsetage", "patient.patientonsetageunit").alias("patient_age"),
+        *carry,
     )
 
 
@@ -46,44 +47,49 @@ def dedupe_reports(events: DataFrame, key: str = "safety_report_id") -> DataFram
     )
 
 
-def silver_events(bronze: DataFrame) -> DataFrame:
+def silver_events(bronze: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Report-level table; null ids are dropped (the filter is pushed below
-    the de-duplication by Catalyst)."""
-    ev = _event_columns(bronze).where(F.col("safety_report_id").isNotNull())
+    the de-duplication by Catalyst). ``carry`` passes bronze columns (such
+    as partition columns) through unchanged."""
+    ev = _event_columns(bronze, carry).where(F.col("safety_report_id").isNotNull())
     return dedupe_reports(ev)
 
 
-def silver_drugs(bronze: DataFrame) -> DataFrame:
+def silver_drugs(bronze: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per drug mention. Null report ids are kept (as the reference
     does); blank or missing names are dropped. An inner explode is exact:
     reports without drugs would only yield null names, which are dropped."""
     d = bronze.select(
         F.col("safetyreportid").alias("safety_report_id"),
         F.explode("patient.drug").alias("d"),
+        *carry,
     )
     return d.select(
         "safety_report_id",
         X.drug_name("d.medicinalproduct").alias("drug_name"),
         F.col("d.drugindication").alias("indication"),
         X.code_label("d.drugcharacterization", DRUG_ROLE_LABELS).alias("drug_role"),
+        *carry,
     ).where(X.not_blank("drug_name"))
 
 
-def silver_reactions(bronze: DataFrame) -> DataFrame:
+def silver_reactions(bronze: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per reaction mention, name in initial capitals."""
     r = bronze.select(
         F.col("safetyreportid").alias("safety_report_id"),
         F.explode("patient.reaction").alias("r"),
+        *carry,
     )
     return r.select(
         "safety_report_id",
         X.reaction_name("r.reactionmeddrapt").alias("reaction_name"),
+        *carry,
     ).where(X.not_blank("reaction_name"))
 
 
-def build_silver(bronze: DataFrame) -> dict[str, DataFrame]:
+def build_silver(bronze: DataFrame, carry: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     return {
-        "adverse_events": silver_events(bronze),
-        "drugs": silver_drugs(bronze),
-        "reactions": silver_reactions(bronze),
+        "adverse_events": silver_events(bronze, carry),
+        "drugs": silver_drugs(bronze, carry),
+        "reactions": silver_reactions(bronze, carry),
     }
