@@ -83,17 +83,28 @@ def evaluator_auc(model_output: DataFrame) -> float:
     return ev.evaluate(model_output)
 
 
-def run_record(spark: SparkSession, name: str, params: dict, metrics: dict, status: str = "FINISHED") -> DataFrame:
-    """One ``model_runs`` row (a record of one training run)."""
+def run_record(spark: SparkSession, name: str, params: dict, metrics: dict, status: str = "FINISHED",
+               start_ms: int | None = None) -> DataFrame:
+    """One ``model_runs`` row (a record of one training run); the start
+    time is kept as epoch milliseconds and converted with
+    ``timestamp_millis``."""
+    start_ms = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000) if start_ms is None else int(start_ms)
     row = (
         uuid.uuid4().hex,
         name,
         status,
-        dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+        start_ms,
         {k: str(v) for k, v in params.items()},
         {k: (None if v is None else float(v)) for k, v in metrics.items()},
     )
-    return spark.createDataFrame([row], MODEL_RUNS)
+    raw = spark.createDataFrame(
+        [row],
+        "run_id string, run_name string, status string, start_ms long, "
+        "params map<string,string>, metrics map<string,double>",
+    )
+    return raw.select(
+        "run_id", "run_name", "status", F.timestamp_millis("start_ms").alias("start_time"), "params", "metrics"
+    )
 
 
 def train_and_log(spark: SparkSession, estimator, name: str, params: dict, train: DataFrame, test: DataFrame,

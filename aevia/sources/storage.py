@@ -121,6 +121,17 @@ def publish_to_catalog(spark: SparkSession, gold: dict[str, DataFrame], database
     return names
 
 
+def copy_parquet_table(spark: SparkSession, src: str, dst: str) -> str:
+    """SNK6 re-aimed: move a Parquet table between storage URIs with Spark
+    (distributed read and write; data files only). A source without
+    Parquet files is a warning, not an error."""
+    if not has_parquet_files(spark, src):
+        log.warning("no parquet files under %s, nothing copied", src)
+        return ""
+    spark.read.parquet(src).write.mode("overwrite").parquet(dst)
+    return dst
+
+
 def load_ml_features(spark: SparkSession, path: str | None = None, table: str = "gold.ml_features") -> DataFrame:
     """SRC7: the feature table from storage if present, else from the
     catalog."""

@@ -25,6 +25,7 @@ def spark():
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
+        .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )

@@ -101,3 +101,19 @@ def test_training_smoke(spark, scratch):
     assert M.feature_importances(spark, out["RandomForest"]["model"]).count() == 6
     with pytest.raises(ValueError):
         M.best_run(runs.where(F.lit(False)))
+
+
+def test_run_records_and_export(spark, scratch):
+    from aevia.ml import models as M
+
+    a = M.run_record(spark, "LogisticRegression", {"C": 1.0, "model_type": "LogisticRegression"},
+                     {"roc_auc": 0.7, "f1": 0.5}, start_ms=1_700_000_000_000)
+    b = M.run_record(spark, "RandomForest", {"n_estimators": 100, "model_type": "RandomForest"},
+                     {"roc_auc": 0.8, "accuracy": 0.9})
+    runs = a.unionByName(b)
+    assert str(a.first().start_time).startswith("2023-11-14 22:13:20")
+    path = M.export_runs(runs, f"{scratch}/runs_flat")
+    flat = spark.read.parquet(path)
+    assert {"C", "n_estimators", "roc_auc", "accuracy", "f1"} <= set(flat.columns)
+    assert M.best_run(runs).first().model_type == "RandomForest"
+    assert M.export_runs(runs.where(F.lit(False)), f"{scratch}/none") == ""

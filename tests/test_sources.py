@@ -82,3 +82,19 @@ def test_read_or_empty_and_publish(spark, scratch):
 def test_offset_page(spark):
     df = spark.range(0, 250).withColumnRenamed("id", "k")
     assert [r.k for r in B.offset_page(df, ["k"], 200, 100).collect()] == list(range(200, 250))
+
+
+def test_catalog_publish_and_feature_loader(spark, scratch):
+    from aevia.schemas import GOLD
+
+    feats = spark.createDataFrame([("1", None, "US", "Male", 40, 1, 2, 1, 3)], GOLD["ml_features"])
+    names = T.publish_to_catalog(spark, {"ml_features": feats}, "gold")
+    assert names == ["gold.ml_features"]
+    assert spark.table("gold.ml_features").count() == 1
+    # storage path first, catalog when the path is missing
+    path = T.write_table(feats, scratch, "gold", "ml_features")
+    assert T.load_ml_features(spark, path).count() == 1
+    assert T.load_ml_features(spark, f"{scratch}/missing").count() == 1
+    assert T.copy_parquet_table(spark, path, f"{scratch}/copy") == f"{scratch}/copy"
+    assert spark.read.parquet(f"{scratch}/copy").count() == 1
+    assert T.copy_parquet_table(spark, f"{scratch}/empty", f"{scratch}/copy2") == ""
