@@ -34,13 +34,22 @@ def local_session(app: str = "aevia", cores: int | str = "*", shuffle_partitions
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
-    unset (local tests) create a scratch folder for it."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if not d:
-        d = tempfile.mkdtemp(prefix="aevia-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    """The shared folder for checkpoints and scratch tables.
+
+    Uses the cluster's ``spark.checkpoint.dir``, else a checkpoint folder
+    already set on the SparkContext. Only when neither exists (local tests)
+    a scratch folder is created and set on the context; the runtime conf
+    itself cannot be changed once the context runs.
+    """
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if d:
+        if not sc._jsc.sc().getCheckpointDir().isDefined():
+            sc.setCheckpointDir(d)
+        return d
+    cur = sc._jsc.sc().getCheckpointDir()
+    if cur.isDefined():
+        return cur.get()
+    d = tempfile.mkdtemp(prefix="aevia-ckpt-")
+    sc.setCheckpointDir(d)
+    return sc._jsc.sc().getCheckpointDir().get()

@@ -29,14 +29,11 @@ GOLD_ORDER = [
 
 
 def shared_dir(spark: SparkSession) -> str:
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if not d:
-        from aevia.session import ensure_checkpoint_dir
-
-        d = ensure_checkpoint_dir(spark)
-    return d.rstrip("/")
+    """The cluster's shared checkpoint folder (see
+    ``aevia.session.ensure_checkpoint_dir``)."""
+    from aevia.session import ensure_checkpoint_dir
+
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
