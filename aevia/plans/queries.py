@@ -44,7 +44,10 @@ class Ctx:
 
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
-        return S.build_silver(self.bronze)
+        s = S.build_silver(self.bronze)
+        # report-level rows need no child arrays (see testbed.bronze_reports)
+        s["adverse_events"] = S.silver_events(testbed.bronze(self.spark, self.sf_dir, children=False))
+        return s
 
     @property
     def events(self) -> DataFrame:

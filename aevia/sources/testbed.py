@@ -108,18 +108,31 @@ def _children(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_reports(spark: SparkSession, sf_dir: str, children: bool = True) -> DataFrame:
     """Nested reports with the declared bronze schema (plus ``_order_key``
-    kept for paging and landing; it is dropped by every silver builder)."""
+    kept for paging and landing; it is dropped by every silver builder).
+
+    ``children=False`` leaves the drug and reaction arrays null: the
+    report-level fields are identical, and report-level consumers (the
+    events table) skip the line-item grouping, as nested-schema pruning
+    skips the arrays when real bronze files are scanned.
+    """
     k = F.col("o_orderkey")
     ck = F.col("o_custkey")
     status = F.col("o_orderstatus")
     prio = F.col("o_orderpriority")
     null_s = F.lit(None).cast("string")
 
-    rep = _reports(spark, sf_dir).join(
-        _children(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left"
-    )
+    if children:
+        rep = _reports(spark, sf_dir).join(
+            _children(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left"
+        )
+    else:
+        rep = _reports(spark, sf_dir).select(
+            "*",
+            F.lit(None).cast(BRONZE_REPORT["patient"].dataType["drug"].dataType).alias("drug"),
+            F.lit(None).cast(BRONZE_REPORT["patient"].dataType["reaction"].dataType).alias("reaction"),
+        )
     sex = F.when(ck % SEX_MOD == 4, null_s).otherwise((ck % SEX_MOD).cast("string"))
     age = (
         F.when(k % NULL_AGE_MOD == 0, null_s)
@@ -160,9 +173,9 @@ def bronze_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("_order_key", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_REPORT.fields])
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze(spark: SparkSession, sf_dir: str, children: bool = True) -> DataFrame:
     """Nested reports exactly in the declared bronze schema."""
-    return bronze_reports(spark, sf_dir).drop("_order_key")
+    return bronze_reports(spark, sf_dir, children).drop("_order_key")
 
 
 def parse_receivedate(bronze: DataFrame) -> DataFrame:
