@@ -36,43 +36,49 @@ def raw_flat(bronze: DataFrame) -> DataFrame:
     )
 
 
-def _vc(df: DataFrame, source: str, col, name: str) -> DataFrame:
-    c = F.col(col) if isinstance(col, str) else col
-    return (
-        df.select(c.cast("string").alias("value"))
-        .where(F.col("value").isNotNull())
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select(F.lit(source).alias("source"), F.lit(name).alias("column_name"), "value", "count")
-    )
+def _melt(df: DataFrame, source: str, cols: dict) -> DataFrame:
+    """(source, column_name, value) rows for several columns of one frame:
+    one scan, the values side by side in an exploded array."""
+    items = [
+        F.struct(F.lit(name).alias("column_name"), (F.col(c) if isinstance(c, str) else c).cast("string").alias("value"))
+        for name, c in cols.items()
+    ]
+    return df.select(F.lit(source).alias("source"), F.inline(F.array(*items)))
 
 
 def value_count_profile(bronze: DataFrame, events: DataFrame, drugs: DataFrame, reactions: DataFrame,
                         features: DataFrame) -> DataFrame:
     """AGG9 at every site of the notebooks and dashboard, as one long frame
-    (source, column_name, value, count)."""
+    (source, column_name, value, count): each source frame is melted in one
+    scan, and one grouped aggregation (map-side combined) counts them all."""
     raw = raw_flat(bronze)
-    parts = [
-        _vc(raw, "raw", X.relabel("serious", SERIOUS_LABELS), "serious"),
-        _vc(raw, "raw", X.code_label("patient_sex", SEX_LABELS), "patient_sex"),
-        _vc(raw, "raw", "country", "country"),
-        _vc(raw, "raw", "num_drugs", "num_drugs"),
-        _vc(events, "silver", "country", "country"),
-        _vc(events, "silver", "patient_sex", "patient_sex"),
-        _vc(events, "silver", "is_serious", "is_serious"),
-        _vc(events, "silver", F.dayofmonth("report_date"), "report_day"),
-        _vc(drugs, "silver", "drug_role", "drug_role"),
-        _vc(drugs, "silver", "drug_name", "drug_name"),
-        _vc(reactions, "silver", "reaction_name", "reaction_name"),
-        _vc(features, "features", F.coalesce(F.col("is_serious"), F.lit(0)), "is_serious"),
-        _vc(features, "features", "num_drugs", "num_drugs"),
-        _vc(features, "features", "num_reactions", "num_reactions"),
-        _vc(features, "features", "has_suspect_drug", "has_suspect_drug"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    long = (
+        _melt(raw, "raw", {
+            "serious": X.relabel("serious", SERIOUS_LABELS),
+            "patient_sex": X.code_label("patient_sex", SEX_LABELS),
+            "country": "country",
+            "num_drugs": "num_drugs",
+        })
+        .unionByName(_melt(events, "silver", {
+            "country": "country",
+            "patient_sex": "patient_sex",
+            "is_serious": "is_serious",
+            "report_day": F.dayofmonth("report_date"),
+        }))
+        .unionByName(_melt(drugs, "silver", {"drug_role": "drug_role", "drug_name": "drug_name"}))
+        .unionByName(_melt(reactions, "silver", {"reaction_name": "reaction_name"}))
+        .unionByName(_melt(features, "features", {
+            "is_serious": F.coalesce(F.col("is_serious"), F.lit(0)),
+            "num_drugs": "num_drugs",
+            "num_reactions": "num_reactions",
+            "has_suspect_drug": "has_suspect_drug",
+        }))
+    )
+    return (
+        long.where(F.col("value").isNotNull())
+        .groupBy("source", "column_name", "value")
+        .agg(F.count(F.lit(1)).alias("count"))
+    )
 
 
 def country_seriousness(bronze: DataFrame, k: int = 10) -> DataFrame:

@@ -81,7 +81,8 @@ def run_pipeline(spark: SparkSession, year: int, month: int, bronze_root: str, l
     """JOB3: ingest -> silver -> quality -> gold -> publish for one month.
 
     With ``pages_path`` the month is first landed from page files; gold is
-    built only when the quality gate passes.
+    built only when the silver gate passes, and published only when the
+    gold tables pass their own suite.
     """
     B.check_period(year, month)
     result: dict = {"period": f"{int(year):04d}-{int(month):02d}"}
@@ -91,6 +92,8 @@ def run_pipeline(spark: SparkSession, year: int, month: int, bronze_root: str, l
     result["silver"] = run_bronze_to_silver(spark, bronze_root, lake_root, year, month, mode=mode)
     result["quality"] = run_quality_gate(spark, lake_root)
     result["gold"] = run_build_gold(spark, lake_root)
+    # output invariants of the written gold tables gate publishing
+    result["gold_quality"] = Q.enforce(Q.run_gold_suite(read_gold(spark, lake_root)))
     if publish_root:
         result["published"] = T.publish_gold(read_gold(spark, lake_root), publish_root)
     return result

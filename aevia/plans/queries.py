@@ -6,7 +6,7 @@ Every query derives its input from the test tables under ``sf_dir``
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,28 +42,50 @@ class Ctx:
         """Bronze plus the source order key (paging, landing)."""
         return testbed.bronze_reports(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
     def silver(self) -> dict[str, DataFrame]:
-        s = S.build_silver(self.bronze)
-        # report-level rows need no child arrays (see testbed.bronze_reports)
-        s["adverse_events"] = S.silver_events(testbed.bronze(self.spark, self.sf_dir, children=False))
-        return s
+        return {"adverse_events": self.events, "drugs": self.drugs, "reactions": self.reactions}
 
-    @property
+    @cached_property
     def events(self) -> DataFrame:
-        return self.silver["adverse_events"]
+        # report-level rows need no child arrays (see testbed.bronze_reports)
+        return S.silver_events(testbed.bronze(self.spark, self.sf_dir, children=False))
 
-    @property
+    @cached_property
     def drugs(self) -> DataFrame:
-        return self.silver["drugs"]
+        return S.silver_drugs(self.bronze)
 
-    @property
+    @cached_property
     def reactions(self) -> DataFrame:
-        return self.silver["reactions"]
+        return S.silver_reactions(self.bronze)
 
     @cached_property
-    def gold(self) -> dict[str, DataFrame]:
-        return G.build_gold(self.events, self.drugs, self.reactions)
+    def gold(self) -> Mapping[str, DataFrame]:
+        """The six gold tables, each built only when a query asks for it."""
+        return _LazyTables({
+            "safety_overview": lambda: G.safety_overview(self.events),
+            "monthly_trends": lambda: G.monthly_trends(self.events),
+            "drug_summary": lambda: G.drug_summary(self.events, self.drugs),
+            "reaction_summary": lambda: G.reaction_summary(self.events, self.reactions),
+            "drug_reaction_pairs": lambda: G.drug_reaction_pairs(self.events, self.drugs, self.reactions),
+            "ml_features": lambda: G.ml_features(self.events, self.drugs, self.reactions),
+        })
+
+
+class _LazyTables(Mapping):
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
 
 
 def _q(fn: Callable[[Ctx], DataFrame]) -> Query:
