@@ -56,7 +56,33 @@ def run_bronze_to_silver(spark: SparkSession, bronze_root: str, lake_root: str,
 
 
 def read_silver(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
-    return {n: T.read_table(spark, lake_root, "silver", n) for n in SILVER_TABLES}
+    """Silver tables in their declared schemas.
+
+    When silver keeps one ``period`` partition per run month, a report id
+    sent again in a later month exists in several periods: the latest
+    period wins (de-duplicated like within a month, period first), and
+    drug and reaction rows are kept only from that period (a semi join on
+    id and period; rows without an id are kept as they are).
+    """
+    raw = {n: spark.read.parquet(f"{lake_root.rstrip('/')}/silver/{n}") for n in SILVER_TABLES}
+    cols = {n: [f.name for f in T.SILVER[n].fields] for n in SILVER_TABLES}
+    if "period" not in raw["adverse_events"].columns:
+        return {n: raw[n].select(*cols[n]) for n in SILVER_TABLES}
+    ev = raw["adverse_events"]
+    latest = (
+        ev.groupBy("safety_report_id")
+        .agg(F.max(F.struct("period", *[c for c in cols["adverse_events"] if c != "safety_report_id"])).alias("_s"))
+        .select("safety_report_id", "_s.*")
+    )
+    keys = latest.select("safety_report_id", "period")
+    out = {"adverse_events": latest.select(*cols["adverse_events"])}
+    for n in ("drugs", "reactions"):
+        df = raw[n]
+        kept = df.join(keys, ["safety_report_id", "period"], "left_semi").unionByName(
+            df.where(F.col("safety_report_id").isNull())
+        )
+        out[n] = kept.select(*cols[n])
+    return out
 
 
 def run_quality_gate(spark: SparkSession, lake_root: str) -> list[dict]:

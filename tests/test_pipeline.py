@@ -36,3 +36,21 @@ def test_gate_stops_before_gold(spark, scratch, bronze_of):
     from aevia.sources.storage import path_exists
 
     assert not path_exists(spark, f"{lake}/gold/safety_overview")
+
+
+def test_resent_report_latest_period_wins(spark, scratch, bronze_of):
+    from conftest import report
+
+    bronze_root, lake = f"{scratch}/bronze", f"{scratch}/lake"
+    jan = [report(str(i)) for i in range(12)] + [report("r", date="20240110", drugs=[("old", "1", None)])]
+    feb = [report(str(i)) for i in range(100, 112)] + [report("r", date="20240205", drugs=[("new", "2", None)])]
+    B.land_bronze(bronze_of(jan), bronze_root, 2024, 1)
+    B.land_bronze(bronze_of(feb), bronze_root, 2024, 2)
+    P.run_bronze_to_silver(spark, bronze_root, lake, 2024, 1)
+    P.run_bronze_to_silver(spark, bronze_root, lake, 2024, 2)
+    s = P.read_silver(spark, lake)
+    assert s["adverse_events"].count() == 25
+    r = s["adverse_events"].where(F.col("safety_report_id") == "r").collect()
+    assert len(r) == 1 and str(r[0].report_date) == "2024-02-05"
+    names = [x.drug_name for x in s["drugs"].where(F.col("safety_report_id") == "r").collect()]
+    assert names == ["NEW"]
