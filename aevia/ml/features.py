@@ -2,19 +2,18 @@
 
 Everything is fitted with distributed aggregations:
 
-* label encoding of ``patient_sex`` and ``country`` with ``StringIndexer``
-  (alphabetical order, so codes equal a sorted-distinct encoder's); the
-  fit is one count per distinct value;
-* median fill with Spark's exact ``median``: an exact percentile whose
-  buffer is a value -> frequency map, bounded by the number of distinct
-  values of these small integer features (ages in years, counts, a flag);
+* one aggregation fits both the label encoding of ``patient_sex`` and
+  ``country`` (sorted distinct values, so codes equal a sorted-distinct
+  encoder's) and the median fill (Spark's exact ``median``: an exact
+  percentile whose buffer is a value -> frequency map, bounded by the number
+  of distinct values of these small integer features);
 * the split assigns each report by a hash of its id, so it needs no
   shuffle and no per-class window.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,20 +29,31 @@ def fill_categories(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("Unknown")) for c in CATEGORICAL})
 
 
-def fit_medians(df: DataFrame) -> dict[str, float | None]:
-    row = df.agg(*[F.median(F.col(c)).alias(c) for c in NUMERIC]).first()
-    return {c: row[c] for c in NUMERIC}
+def fit(df: DataFrame) -> dict:
+    """One aggregation fits everything: the exact median of each numeric
+    feature and the sorted distinct values of each category. Both are
+    bounded by the number of distinct values (small integer domains, a few
+    hundred categories at most), whatever the row count."""
+    filled = fill_categories(df)
+    row = filled.agg(
+        *[F.median(F.col(c)).alias(c) for c in NUMERIC],
+        *[F.array_sort(F.collect_set(F.col(c))).alias(f"{c}_levels") for c in CATEGORICAL],
+    ).first()
+    return {
+        "medians": {c: row[c] for c in NUMERIC},
+        "levels": {c: list(row[f"{c}_levels"] or []) for c in CATEGORICAL},
+    }
 
 
-def fit_encoders(df: DataFrame):
-    """Alphabetical label encoders (codes 0..k-1 over sorted values)."""
-    idx = StringIndexer(
-        inputCols=CATEGORICAL,
-        outputCols=[f"{c}_idx" for c in CATEGORICAL],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    return idx.fit(fill_categories(df))
+def encode(col: str, levels: list[str]):
+    """Alphabetical label code 0..k-1 (a sorted-distinct label encoder);
+    a value unseen in the fit gets k."""
+    if not levels:
+        return F.lit(0.0)
+    kv = []
+    for i, v in enumerate(levels):
+        kv += [F.lit(v), F.lit(float(i))]
+    return F.coalesce(F.create_map(*kv)[F.col(col)], F.lit(float(len(levels))))
 
 
 def prepare_features(df: DataFrame, fit_on: DataFrame | None = None) -> tuple[DataFrame, dict]:
@@ -51,27 +61,25 @@ def prepare_features(df: DataFrame, fit_on: DataFrame | None = None) -> tuple[Da
 
     Encoders and medians are fitted on ``fit_on`` (default: all rows, as the
     reference does before splitting; pass the training split to avoid the
-    leakage). Encoded columns carry no nominal metadata, so tree models treat
-    the codes as ordered numbers, like the reference's models do.
+    leakage). Codes are plain numbers (no nominal metadata), so tree models
+    treat them as ordered values, like the reference's models do.
     """
-    fit_on = df if fit_on is None else fit_on
-    encoders = fit_encoders(fit_on)
-    medians = fit_medians(fit_on)
-    enc = encoders.transform(fill_categories(df))
+    fitted = fit(df if fit_on is None else fit_on)
+    med, levels = fitted["medians"], fitted["levels"]
+    filled = fill_categories(df)
     cols = {
-        "patient_age": F.coalesce(F.col("patient_age").cast("double"), F.lit(medians["patient_age"]).cast("double")),
-        "patient_sex": F.col("patient_sex_idx").alias("patient_sex", metadata={}),
-        "country": F.col("country_idx").alias("country", metadata={}),
+        "patient_sex": encode("patient_sex", levels["patient_sex"]),
+        "country": encode("country", levels["country"]),
     }
-    for c in ("num_drugs", "num_reactions", "has_suspect_drug"):
-        cols[c] = F.coalesce(F.col(c).cast("double"), F.lit(medians[c]).cast("double"))
-    out = enc.select(
+    for c in NUMERIC:
+        cols[c] = F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double"))
+    out = filled.select(
         F.col(ID),
-        *[cols[c].alias(c, metadata={}) for c in FEATURE_COLS],
+        *[cols[c].alias(c) for c in FEATURE_COLS],
         F.coalesce(F.col(TARGET_COL), F.lit(0)).cast("int").alias("label"),
     )
     out = VectorAssembler(inputCols=FEATURE_COLS, outputCol="features").transform(out)
-    return out, {"encoders": encoders, "medians": medians}
+    return out, fitted
 
 
 def split_flag(id_col: str = ID, seed: int = RANDOM_STATE, test_size: float = TEST_SIZE):

@@ -84,8 +84,12 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> D
 
 
 def cumulative_by_score(counts: DataFrame, max_ranges: int = MAX_RANGES) -> DataFrame:
-    """Per distinct score: positives and negatives with a score >= it
-    (``cum_pos``, ``cum_neg``), and negatives strictly below (``neg_below``)."""
+    """Per distinct score: its positives and negatives, and the positives
+    and negatives with a score >= it (``cum_pos``, ``cum_neg``)."""
+    # The distinct-score counts are read twice (quantiles, then the sums):
+    # write them once to the shared checkpoint folder instead of computing
+    # the whole input twice.
+    counts = counts.checkpoint(eager=True)
     qs = [i / max_ranges for i in range(1, max_ranges)]
     cuts = sorted(set(counts.approxQuantile("score", qs, 0.001))) if max_ranges > 1 else []
     splits = [float("-inf")] + [c for c in cuts] + [float("inf")]

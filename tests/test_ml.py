@@ -117,3 +117,17 @@ def test_run_records_and_export(spark, scratch):
     assert {"C", "n_estimators", "roc_auc", "accuracy", "f1"} <= set(flat.columns)
     assert M.best_run(runs).first().model_type == "RandomForest"
     assert M.export_runs(runs.where(F.lit(False)), f"{scratch}/none") == ""
+
+
+def test_auc_equals_spark_evaluator(spark):
+    from aevia.ml import models as M
+    from aevia.ml.features import prepare_features, train_test_split
+    from aevia.plans.queries import Ctx
+    from conftest import SF_SMALL
+
+    prep, _ = prepare_features(Ctx(spark, SF_SMALL).gold["ml_features"])
+    train, test = train_test_split(prep)
+    model = M.logistic_regression(train.count()).fit(train)
+    out = model.transform(test)
+    ours = ME.roc_auc(M.predict(model, test)).first().roc_auc
+    assert ours == round(M.evaluator_auc(out), 4)
