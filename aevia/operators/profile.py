@@ -270,3 +270,45 @@ def key_presence(raw_json: DataFrame, col: str = "props") -> DataFrame:
         "records",
         F.round(F.col("records") / F.lit(float(max(total, 1))) * 100, 2).alias("pct"),
     )
+
+
+# The top-k lists of the exploration notebooks.
+TOP_LISTS = {
+    "raw_countries": 20,
+    "raw_drugs": 25,
+    "raw_reactions": 25,
+    "silver_drugs": 15,
+    "silver_reactions": 15,
+}
+
+
+def top_values(df: DataFrame, col: str, k: int, list_name: str) -> DataFrame:
+    """TOP6: the k most frequent non-null values (value ascending breaks
+    ties); a per-partition top-k, no full sort."""
+    return (
+        df.where(F.col(col).isNotNull())
+        .groupBy(F.col(col).cast("string").alias("value"))
+        .agg(F.count(F.lit(1)).alias("count"))
+        .orderBy(F.desc("count"), "value")
+        .limit(k)
+        .select(F.lit(list_name).alias("list_name"), "value", "count")
+    )
+
+
+def top_value_lists(bronze: DataFrame, drugs: DataFrame, reactions: DataFrame) -> DataFrame:
+    raw = raw_flat(bronze)
+    raw_d = bronze.select(F.explode("patient.drug").alias("d")).select(X.drug_name("d.medicinalproduct").alias("v"))
+    raw_r = bronze.select(F.explode("patient.reaction").alias("r")).select(
+        X.reaction_name("r.reactionmeddrapt").alias("v")
+    )
+    parts = [
+        top_values(raw, "country", TOP_LISTS["raw_countries"], "raw_countries"),
+        top_values(raw_d.where(X.not_blank("v")), "v", TOP_LISTS["raw_drugs"], "raw_drugs"),
+        top_values(raw_r.where(X.not_blank("v")), "v", TOP_LISTS["raw_reactions"], "raw_reactions"),
+        top_values(drugs, "drug_name", TOP_LISTS["silver_drugs"], "silver_drugs"),
+        top_values(reactions, "reaction_name", TOP_LISTS["silver_reactions"], "silver_reactions"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

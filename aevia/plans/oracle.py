@@ -509,3 +509,17 @@ SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DO
 UNION ALL
 SELECT score, round(CAST(cn AS DOUBLE) / tot.nn, 6), round(CAST(cp AS DOUBLE) / tot.pp, 6) FROM cum, tot"""),
 })
+
+
+def _top(name: str, expr: str, frm: str, k: int) -> str:
+    return (f"SELECT * FROM (SELECT '{name}' AS list_name, CAST({expr} AS VARCHAR) AS value, count(*) AS count "
+            f"FROM {frm} WHERE ({expr}) IS NOT NULL GROUP BY 2 ORDER BY count DESC, value LIMIT {k})")
+
+
+ORACLE["prof_top_values"] = with_all("\nUNION ALL\n".join([
+    _top("raw_countries", "country", "raw_flat", 20),
+    _top("raw_drugs", "drug_name", "silver_drugs", 25),
+    _top("raw_reactions", "reaction_name", "silver_reactions", 25),
+    _top("silver_drugs", "drug_name", "silver_drugs", 15),
+    _top("silver_reactions", "reaction_name", "silver_reactions", 15),
+]))

@@ -122,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "prof_value_counts": _q(lambda c: P.value_count_profile(
         c.bronze, c.events, c.drugs, c.reactions, c.gold["ml_features"])),
     "prof_country_rate": _q(lambda c: P.country_seriousness(c.bronze)),
+    "prof_top_values": _q(lambda c: P.top_value_lists(c.bronze, c.drugs, c.reactions)),
     "prof_age_stats": _q(lambda c: P.age_stats(c.events)),
     "prof_drug_buckets": _q(lambda c: P.drug_buckets(c.bronze)),
     "prof_drugs_per_report": _q(lambda c: P.drugs_per_report(c.drugs)),
