@@ -55,6 +55,15 @@ def run_bronze_to_silver(spark: SparkSession, bronze_root: str, lake_root: str,
     return out
 
 
+def _period_count(spark: SparkSession, lake_root: str) -> int:
+    """Number of ``period=`` partitions of silver events, from the folder
+    listing (metadata only, no job)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{lake_root.rstrip('/')}/silver/adverse_events")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(1 for st in fs.listStatus(path) if st.isDirectory() and st.getPath().getName().startswith("period="))
+
+
 def read_silver(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
     """Silver tables in their declared schemas.
 
@@ -66,7 +75,7 @@ def read_silver(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
     """
     raw = {n: spark.read.parquet(f"{lake_root.rstrip('/')}/silver/{n}") for n in SILVER_TABLES}
     cols = {n: [f.name for f in T.SILVER[n].fields] for n in SILVER_TABLES}
-    if "period" not in raw["adverse_events"].columns:
+    if "period" not in raw["adverse_events"].columns or _period_count(spark, lake_root) <= 1:
         return {n: raw[n].select(*cols[n]) for n in SILVER_TABLES}
     ev = raw["adverse_events"]
     latest = (
