@@ -15,7 +15,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    scratch = tempfile.mkdtemp(prefix="aevia-test-")
+    scratch = tempfile.mkdtemp(prefix="aevia-test-")  # local test warehouse only
     s = (
         SparkSession.builder.master("local[4]")
         .appName("aevia-tests")
@@ -24,12 +24,14 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from aevia.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(s)  # the session's own setting, or a scratch one when unset
     yield s
     s.stop()
 
