@@ -163,10 +163,10 @@ def run_silver_shape(df: DataFrame, table: str) -> DataFrame:
     return run_rules(df, "silver_shape", f"silver_{table}", silver_shape_rules(table))
 
 
-def orphan_check(drugs: DataFrame, events: DataFrame, child: str = "drugs") -> DataFrame:
+def orphan_check(children: DataFrame, events: DataFrame, child: str = "drugs") -> DataFrame:
     """Referential check: child report ids must exist in events (null ids
     count as orphans). A left-anti join, counted."""
-    orphans = drugs.select("safety_report_id").join(
+    orphans = children.select("safety_report_id").join(
         events.select("safety_report_id"), "safety_report_id", "left_anti"
     )
     return run_rules(
