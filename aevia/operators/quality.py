@@ -169,10 +169,17 @@ def orphan_check(children: DataFrame, events: DataFrame, child: str = "drugs") -
     orphans = children.select("safety_report_id").join(
         events.select("safety_report_id"), "safety_report_id", "left_anti"
     )
-    return run_rules(
+    orphan_rule = run_rules(
         orphans, "referential", f"silver_{child}",
         [Rule("report_ids_exist_in_events", F.count(F.lit(1)), 0, "<=", "warn")],
     )
+    # child rows >= event rows: one aggregation over a tagged union of both
+    tagged = children.select(F.lit(1).alias("c")).unionByName(events.select(F.lit(-1).alias("c")))
+    rows_rule = run_rules(
+        tagged, "referential", f"silver_{child}",
+        [Rule("child_rows_at_least_events", F.sum("c"), 0, ">=", "warn")],
+    )
+    return orphan_rule.unionByName(rows_rule)
 
 
 def gold_rules() -> dict[str, list[Rule]]:

@@ -323,11 +323,16 @@ DQ_GOLD = _union([
 ])
 
 DQ_ORPHANS = _union([
-    _dq("referential", f"silver_{t}", "report_ids_exist_in_events",
-        f"count_if(c.safety_report_id IS NULL OR e.safety_report_id IS NULL)", 0, "<=", "warn",
-        f"silver_{t} c LEFT JOIN (SELECT DISTINCT safety_report_id FROM silver_events) e "
-        f"ON e.safety_report_id = c.safety_report_id")
+    part
     for t in ("drugs", "reactions")
+    for part in (
+        _dq("referential", f"silver_{t}", "report_ids_exist_in_events",
+            "count_if(c.safety_report_id IS NULL OR e.safety_report_id IS NULL)", 0, "<=", "warn",
+            f"silver_{t} c LEFT JOIN (SELECT DISTINCT safety_report_id FROM silver_events) e "
+            f"ON e.safety_report_id = c.safety_report_id"),
+        _dq("referential", f"silver_{t}", "child_rows_at_least_events",
+            f"(SELECT count(*) FROM silver_{t}) - (SELECT count(*) FROM silver_events)", 0, ">=", "warn", None),
+    )
 ])
 
 _PROF_SUMMARY = """
