@@ -6,9 +6,10 @@ task, so the prefix sums are computed in three distributed steps:
 
 1. aggregate to one row per distinct score (positives, negatives) - a
    score shared by a third of the rows is still one row;
-2. cut the distinct scores into ranges at approximate quantiles (a few
-   hundred boundaries at most, fetched to the driver), total each range, and
-   turn the range totals (one row per range, a proven bound) into offsets;
+2. cut the distinct scores into ranges at approximate quantiles (about
+   200k distinct scores per range, 256 to 8192 ranges; the boundaries are
+   fetched to the driver), total each range, and turn the range totals (one
+   row per range, a proven bound) into offsets;
 3. inside each range, a window partitioned by range adds the local running
    sum to the range's offset.
 
@@ -21,7 +22,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_RANGES = 256
+MIN_RANGES = 256
+MAX_RANGES = 8192  # offsets table size: bounded, so it is broadcast
+SCORES_PER_RANGE = 200_000  # distinct scores sorted by one window task
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -83,13 +86,17 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> D
     )
 
 
-def cumulative_by_score(counts: DataFrame, max_ranges: int = MAX_RANGES) -> DataFrame:
+def cumulative_by_score(counts: DataFrame, max_ranges: int | None = None) -> DataFrame:
     """Per distinct score: its positives and negatives, and the positives
     and negatives with a score >= it (``cum_pos``, ``cum_neg``)."""
     # The distinct-score counts are read twice (quantiles, then the sums):
     # write them once to the shared checkpoint folder instead of computing
     # the whole input twice.
     counts = counts.checkpoint(eager=True)
+    if max_ranges is None:
+        # about SCORES_PER_RANGE distinct scores per range, within bounds
+        n = counts.count()
+        max_ranges = min(MAX_RANGES, max(MIN_RANGES, n // SCORES_PER_RANGE + 1))
     qs = [i / max_ranges for i in range(1, max_ranges)]
     cuts = sorted(set(counts.approxQuantile("score", qs, 0.001))) if max_ranges > 1 else []
     splits = [float("-inf")] + [c for c in cuts] + [float("inf")]
