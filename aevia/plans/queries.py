@@ -88,9 +88,24 @@ class _LazyTables(Mapping):
         return len(self._builders)
 
 
+_CONTEXTS: dict[tuple[str, int, str], Ctx] = {}
+
+
+def context(spark: SparkSession, sf_dir: str) -> Ctx:
+    """One context per session and ``sf_dir``. It holds only lazy plan
+    objects over read-only inputs (no data is cached), so reusing it spares
+    rebuilding the same plans through thousands of driver-to-JVM calls;
+    every query still executes its whole chain from the tables."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    c = _CONTEXTS.get(key)
+    if c is None:
+        c = _CONTEXTS[key] = Ctx(spark, sf_dir)
+    return c
+
+
 def _q(fn: Callable[[Ctx], DataFrame]) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Ctx(spark, sf_dir))
+        return fn(context(spark, sf_dir))
 
     return q
 
