@@ -59,7 +59,6 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
 
 def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """ML12: per class precision, recall, F1 and support (rounded to 4)."""
-    y, p = F.col(label).cast("int"), F.col(prediction).cast("int")
     rows = []
     c = confusion(df, label, prediction)
     for cls in (0, 1):
@@ -75,7 +74,6 @@ def class_report(df: DataFrame, label: str = "label", prediction: str = "predict
                 (tp + fn).alias("support"),
             )
         )
-    del y, p
     return rows[0].unionByName(rows[1])
 
 

@@ -102,9 +102,11 @@ def run_record(spark: SparkSession, name: str, params: dict, metrics: dict, stat
         "run_id string, run_name string, status string, start_ms long, "
         "params map<string,string>, metrics map<string,double>",
     )
-    return raw.select(
+    out = raw.select(
         "run_id", "run_name", "status", F.timestamp_millis("start_ms").alias("start_time"), "params", "metrics"
     )
+    assert [f.name for f in out.schema] == [f.name for f in MODEL_RUNS.fields]
+    return out
 
 
 def train_and_log(spark: SparkSession, estimator, name: str, params: dict, train: DataFrame, test: DataFrame,
