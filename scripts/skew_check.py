@@ -57,6 +57,22 @@ def main() -> None:
         t0 = time.perf_counter()
         build().write.format("noop").mode("overwrite").save()
         out[f"{name}_sec"] = round(time.perf_counter() - t0, 2)
+    # de-duplication with a third of all reports under one id (different
+    # content, so the survivor rule matters)
+    from aevia.operators import silver as S
+    from aevia.sources import testbed
+
+    b = testbed.bronze(spark, sf_dir, children=False)
+    b.withColumn(
+        "safetyreportid",
+        F.when(F.abs(F.xxhash64("safetyreportid")) % 3 == 0, F.lit("HOT")).otherwise(F.col("safetyreportid")),
+    ).write.parquet(f"{root}/bronze_hot")
+    bh = spark.read.parquet(f"{root}/bronze_hot")
+    out["hot_share_of_reports"] = round(bh.where(F.col("safetyreportid") == "HOT").count() / bh.count(), 3)
+    S.silver_events(bh).write.format("noop").mode("overwrite").save()
+    t0 = time.perf_counter()
+    S.silver_events(bh).write.format("noop").mode("overwrite").save()
+    out["silver_events_dedup_sec"] = round(time.perf_counter() - t0, 2)
     print(json.dumps(out))
     spark.stop()
 
