@@ -130,7 +130,8 @@ def page_bodies(reports: DataFrame, order_col: str, page_size: int = 100) -> Dat
     return (
         reports.withColumn("page", F.floor(F.col(order_col) / page_size))
         .groupBy("page")
-        .agg(F.to_json(F.struct(F.collect_list(F.struct(*cols)).alias("results"))).alias("body"))
+        # sorted, so a recomputed page (lost executor) has the same text
+        .agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct(*cols))).alias("results"))).alias("body"))
     )
 
 
