@@ -131,3 +131,13 @@ def test_auc_equals_spark_evaluator(spark):
     out = model.transform(test)
     ours = ME.roc_auc(M.predict(model, test)).first().roc_auc
     assert ours == round(M.evaluator_auc(out), 4)
+
+
+def test_training_fit_on_train_split(spark):
+    from aevia.ml import models as M
+    from aevia.plans.queries import Ctx
+    from conftest import SF_SMALL
+
+    out = M.run_training(spark, Ctx(spark, SF_SMALL).gold["ml_features"], fit_on="train")
+    assert out["runs"].count() == 2
+    assert all(0.0 <= v <= 1.0 for v in out["RandomForest"]["metrics"].values() if v is not None)

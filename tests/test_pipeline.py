@@ -54,3 +54,30 @@ def test_resent_report_latest_period_wins(spark, scratch, bronze_of):
     assert len(r) == 1 and str(r[0].report_date) == "2024-02-05"
     names = [x.drug_name for x in s["drugs"].where(F.col("safety_report_id") == "r").collect()]
     assert names == ["NEW"]
+
+
+def test_pipeline_from_page_files(spark, scratch, tmp_path):
+    import json
+    import os
+
+    folder = tmp_path / "pages"
+    folder.mkdir()
+
+    def rec(i):
+        return {"safetyreportid": str(i), "receivedate": "20240301", "serious": "1" if i % 2 else "2",
+                "primarysourcecountry": "FR",
+                "patient": {"patientsex": "2", "patientonsetage": "50", "patientonsetageunit": "801",
+                            "drug": [{"medicinalproduct": "aspirin", "drugcharacterization": "1"}],
+                            "reaction": [{"reactionmeddrapt": "nausea"}]}}
+
+    for skip in (0, 100, 200):
+        (folder / f"page-{skip:05d}.json").write_text(json.dumps({"results": [rec(skip + j) for j in range(5)]}))
+    (folder / "page-00300.json").write_text(json.dumps({"results": []}))
+    (folder / "page-00400.json").write_text(json.dumps({"results": [rec(999)]}))  # after the empty page
+    out = P.run_pipeline(spark, 2024, 3, f"{scratch}/bronze", f"{scratch}/lake", pages_path=str(folder),
+                         publish_root=f"{scratch}/pub")
+    assert out["bronze"].endswith("year=2024/month=03")
+    gold = P.read_gold(spark, f"{scratch}/lake")
+    o = gold["safety_overview"].first()
+    assert o.total_reports == 15 and o.serious_reports == 6  # odd ids 1, 3, 101, 103, 201, 203
+    assert os.path.isdir(f"{scratch}/pub/published/drug_reaction_pairs".replace("file:", ""))
