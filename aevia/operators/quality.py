@@ -120,7 +120,7 @@ def _passed(op: str, observed: Column, threshold: float) -> Column:
 
 
 def run_rules(df: DataFrame, suite: str, table_name: str, rules: list[Rule],
-              required: list[str] | None = None) -> DataFrame:
+              required: list[str] | None = None, seq_base: int | None = None) -> DataFrame:
     """One aggregation over ``df`` -> one result row per rule.
 
     The required-columns rule is a schema check: it costs no job, and rules
@@ -152,11 +152,26 @@ def run_rules(df: DataFrame, suite: str, table_name: str, rules: list[Rule],
         )
         for check, obs, thr, op, sev in meta
     ]
-    return one.select(F.inline(F.array(*items))).select(*RESULT_COLUMNS)
+    out = one.select(F.inline(F.array(*items))).select(*RESULT_COLUMNS)
+    if seq_base is not None:
+        # rule order, kept when results are stored and read back
+        order = F.create_map(*[x for i, m in enumerate(meta) for x in (F.lit(m[0]), F.lit(seq_base + i))])
+        out = out.withColumn("seq", order[F.col("check_name")])
+    return out
+
+
+def run_suite(df: DataFrame, table: str, seq_base: int | None = None) -> DataFrame:
+    return run_rules(df, "silver", f"silver_{table}", SUITES[table](), REQUIRED_COLUMNS[table], seq_base)
 
 
-def run_suite(df: DataFrame, table: str) -> DataFrame:
-    return run_rules(df, "silver", f"silver_{table}", SUITES[table](), REQUIRED_COLUMNS[table])
+def silver_results(silver: dict[str, DataFrame]) -> DataFrame:
+    """The three silver suites as one result frame with a ``seq`` column in
+    the gate's order (events, drugs, reactions; rules in suite order)."""
+    out = None
+    for i, table in enumerate(("adverse_events", "drugs", "reactions")):
+        r = run_suite(silver[table], table, seq_base=100 * i)
+        out = r if out is None else out.unionByName(r)
+    return out
 
 
 def run_silver_shape(df: DataFrame, table: str) -> DataFrame:
@@ -241,7 +256,9 @@ def run_gold_suite(gold: dict[str, DataFrame]) -> DataFrame:
 
 def enforce(results: DataFrame) -> list[dict]:
     """Collect the (small, rule-count sized) result frame and raise on the
-    first failing error-level rule, in rule order."""
+    first failing error-level rule, in rule order (``seq`` when present)."""
+    if "seq" in results.columns:
+        results = results.orderBy("seq")
     rows = [r.asDict() for r in results.collect()]
     for r in rows:
         if r["severity"] == "error" and not r["passed"]:

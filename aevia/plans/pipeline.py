@@ -94,9 +94,21 @@ def read_silver(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
     return out
 
 
-def run_quality_gate(spark: SparkSession, lake_root: str) -> list[dict]:
-    """DQ12: raise ``DataQualityError`` before gold if a silver suite fails."""
-    return Q.quality_gate(read_silver(spark, lake_root))
+def run_quality_gate(spark: SparkSession, lake_root: str, period: str | None = None) -> list[dict]:
+    """DQ12: store the silver check results, then raise
+    ``DataQualityError`` before gold if a suite fails.
+
+    The results (one row per rule) are written to ``quality/silver_checks``
+    first, one partition per run period, so a failed gate leaves its
+    evidence; the gate then reads back the rule-sized table."""
+    results = Q.silver_results(read_silver(spark, lake_root))
+    path = f"{lake_root.rstrip('/')}/quality/silver_checks"
+    p = period or "all"
+    results.withColumn("period", F.lit(p)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("period").parquet(path)
+    stored = spark.read.parquet(path).where(F.col("period") == p).drop("period")
+    return Q.enforce(stored)
 
 
 def run_build_gold(spark: SparkSession, lake_root: str) -> dict[str, str]:
@@ -125,7 +137,7 @@ def run_pipeline(spark: SparkSession, year: int, month: int, bronze_root: str, l
         reports = B.read_pages(spark, pages_path)
         result["bronze"] = B.land_bronze(reports, bronze_root, year, month)
     result["silver"] = run_bronze_to_silver(spark, bronze_root, lake_root, year, month, mode=mode)
-    result["quality"] = run_quality_gate(spark, lake_root)
+    result["quality"] = run_quality_gate(spark, lake_root, result["period"])
     result["gold"] = run_build_gold(spark, lake_root)
     # output invariants of the written gold tables gate publishing
     result["gold_quality"] = Q.enforce(Q.run_gold_suite(read_gold(spark, lake_root)))

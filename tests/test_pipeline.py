@@ -81,3 +81,17 @@ def test_pipeline_from_page_files(spark, scratch, tmp_path):
     o = gold["safety_overview"].first()
     assert o.total_reports == 15 and o.serious_reports == 6  # odd ids 1, 3, 101, 103, 201, 203
     assert os.path.isdir(f"{scratch}/pub/published/drug_reaction_pairs".replace("file:", ""))
+
+
+def test_gate_results_are_stored(spark, scratch, bronze_of):
+    from conftest import report
+
+    bronze_root, lake = f"{scratch}/bronze", f"{scratch}/lake"
+    B.land_bronze(bronze_of([report(str(i)) for i in range(5)]), bronze_root, 2024, 4)
+    with pytest.raises(DataQualityError, match="row_count_minimum"):
+        P.run_pipeline(spark, 2024, 4, bronze_root, lake)
+    stored = spark.read.parquet(f"{lake}/quality/silver_checks").where(F.col("period") == "2024-04")
+    rows = {(r.table_name, r.check_name): r for r in stored.collect()}
+    assert rows[("silver_adverse_events", "row_count_minimum")].passed is False
+    assert rows[("silver_adverse_events", "row_count_minimum")].observed == 5.0
+    assert len(rows) == 13  # 6 events + 4 drugs (one warning) + 3 reactions rules
