@@ -102,13 +102,7 @@ def run_quality_gate(spark: SparkSession, lake_root: str, period: str | None = N
     first, one partition per run period, so a failed gate leaves its
     evidence; the gate then reads back the rule-sized table."""
     results = Q.silver_results(read_silver(spark, lake_root))
-    path = f"{lake_root.rstrip('/')}/quality/silver_checks"
-    p = period or "all"
-    results.withColumn("period", F.lit(p)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("period").parquet(path)
-    stored = spark.read.parquet(path).where(F.col("period") == p).drop("period")
-    return Q.enforce(stored)
+    return _store_and_enforce(spark, results, f"{lake_root.rstrip('/')}/quality/silver_checks", period or "all")
 
 
 def run_build_gold(spark: SparkSession, lake_root: str) -> dict[str, str]:
@@ -118,6 +112,20 @@ def run_build_gold(spark: SparkSession, lake_root: str) -> dict[str, str]:
     return {name: T.write_table(gold[name], lake_root, "gold", name) for name in T.GOLD_ORDER}
 
 
+def _store_and_enforce(spark: SparkSession, results: DataFrame, path: str, period: str) -> list[dict]:
+    results.withColumn("period", F.lit(period)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("period").parquet(path)
+    return Q.enforce(spark.read.parquet(path).where(F.col("period") == period).drop("period"))
+
+
+def run_gold_gate(spark: SparkSession, lake_root: str, period: str | None = None) -> list[dict]:
+    """DQ13 as a gate: store the gold check results (``quality/gold_checks``),
+    then raise if a gold invariant fails, before anything is published."""
+    results = Q.run_gold_suite(read_gold(spark, lake_root), with_seq=True)
+    return _store_and_enforce(spark, results, f"{lake_root.rstrip('/')}/quality/gold_checks", period or "all")
+
+
 def read_gold(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
     return {n: T.read_table(spark, lake_root, "gold", n) for n in T.GOLD_ORDER}
 
@@ -140,7 +148,7 @@ def run_pipeline(spark: SparkSession, year: int, month: int, bronze_root: str, l
     result["quality"] = run_quality_gate(spark, lake_root, result["period"])
     result["gold"] = run_build_gold(spark, lake_root)
     # output invariants of the written gold tables gate publishing
-    result["gold_quality"] = Q.enforce(Q.run_gold_suite(read_gold(spark, lake_root)))
+    result["gold_quality"] = run_gold_gate(spark, lake_root, result["period"])
     if publish_root:
         result["published"] = T.publish_gold(read_gold(spark, lake_root), publish_root)
     return result

@@ -18,6 +18,8 @@ def test_pipeline_end_to_end(spark, scratch):
                                 "drug_reaction_pairs", "ml_features"}
     gold = P.read_gold(spark, lake)
     assert gold["safety_overview"].count() == 1
+    checks = spark.read.parquet(f"{lake}/quality/gold_checks").where(F.col("period") == "2024-01")
+    assert checks.count() == 22 and checks.where(~F.col("passed")).count() == 0
     n_features = gold["ml_features"].count()
     # rerun is idempotent
     P.run_pipeline(spark, 2024, 1, bronze_root, lake)
@@ -95,3 +97,7 @@ def test_gate_results_are_stored(spark, scratch, bronze_of):
     assert rows[("silver_adverse_events", "row_count_minimum")].passed is False
     assert rows[("silver_adverse_events", "row_count_minimum")].observed == 5.0
     assert len(rows) == 13  # 6 events + 4 drugs (one warning) + 3 reactions rules
+    # the gate stopped the run, so no gold checks were stored
+    from aevia.sources.storage import path_exists
+
+    assert not path_exists(spark, f"{lake}/quality/gold_checks")
