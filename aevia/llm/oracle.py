@@ -45,10 +45,10 @@ FROM o JOIN h1 USING (host) LEFT JOIN hit ON hit.page_id = o.page_id
 
 ORACLE["op10_exact_topk"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, e -> floor(256 * e::DOUBLE)) AS x
+  SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS x
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, e -> e IS NOT NULL AND isfinite(e))) = len(embedding)),
+    AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = len(embedding)),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.x) = len(c.x))
