@@ -6,8 +6,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aevia.llm import quality_rules, topk, url_filters
-from aevia.llm.common import read_table, use_package
+from aevia.llm import byte_bpe, packing, quality_classifier, quality_rules, token_counts, token_output, topk, url_filters
+from aevia.llm.common import read_table, use_package, vocabulary_path
+from aevia.sources.storage import scratch_path
+
+
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_package(spark)
+    path = scratch_path(spark, "op1-packed")
+    token_output.write_packed(read_table(spark, sf_dir, "documents"), path, vocabulary_path("byte_bpe_50k.json"),
+                              end_id=2, vocabulary=50_257)
+    return token_output.with_starts(token_output.read_packed(spark, path))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_package(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_classifier.classify(docs, quality_classifier.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_package(spark)
+    return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"),
+                                    end_id=1, capacity=4096)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +37,18 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, quality_rules.fit_log_ratios(docs, trusted))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_package(spark)
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.tiktoken"))
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(vocabulary_path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), bpe)
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(read_table(spark, sf_dir, "pages")).drop("bad_bound")
 
@@ -27,7 +60,12 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_output": op1_token_output,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_token_counts": op7_token_counts,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_url_filters": op9_url_filters,
     "op10_exact_topk": op10_exact_topk,
 }
