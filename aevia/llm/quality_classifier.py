@@ -1,15 +1,16 @@
 """Quality classifier: supervised subword embeddings.
 
 A text is the average of learned vectors of its hashed features: every word,
-and the character n-grams of the word with its borders marked, plus one
-feature that every text has. A softmax layer over the average gives the
+and the character n-grams of the word with its borders marked, one feature
+for a word that repeats the word before it (a word pair of one bucket), and
+one that every text has. A softmax layer over the average gives the
 label. Vectors and output layer are trained together by stochastic gradient
 descent in numpy, on the driver, over a bounded sample of labelled rows
 (``SAMPLE_ROWS`` at most, whatever the table); features of the sample are
 made on the executors.
 
 The score of a text only needs, for every word, the sum of its features'
-projections on the output layer and their number. Both are kept per worker
+projections on the output layer and their number (and which words repeat). Both are kept per worker
 and word, so each whole text costs one lookup a word. The model that is
 shipped is one number a bucket. Nothing is shuffled for scoring.
 """
@@ -35,6 +36,7 @@ NGRAMS = (3, 4)
 EPOCHS = 8
 RATE = 0.3
 EVERY_TEXT = 0  # the feature that every text has
+REPEATED = 1  # the feature of a word equal to the one before
 
 
 def held_out(doc_id: Column) -> Column:
@@ -46,7 +48,7 @@ def word_features(word: str) -> list[int]:
     """Buckets of a word and of its character n-grams."""
     marked = f"<{word}>"
     grams = [marked, *(marked[i: i + n] for n in NGRAMS for i in range(len(marked) - n + 1))]
-    return [1 + zlib.crc32(g.encode("utf-8", "surrogatepass")) % (BUCKETS - 1) for g in grams]
+    return [2 + zlib.crc32(g.encode("utf-8", "surrogatepass")) % (BUCKETS - 2) for g in grams]
 
 
 class FeatureTable(UnitTable):
@@ -66,7 +68,9 @@ class FeatureTable(UnitTable):
         rows = self.rows(words)
         n, start = self.length.data[rows], self.start.data[rows]
         ends = np.cumsum(n)
-        return self.features.data[np.arange(n.sum()) + np.repeat(start - (ends - n), n)]
+        own = self.features.data[np.arange(n.sum()) + np.repeat(start - (ends - n), n)]
+        again = np.full(np.count_nonzero(rows[1:] == rows[:-1]), REPEATED, np.int32)
+        return np.concatenate((own, again, [EVERY_TEXT]))
 
 
 def sample_features(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list:
@@ -82,7 +86,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
         table = cached("op4-features", FeatureTable)
         for batch in batches:
             keys, texts, labels_ = (batch.column(i).to_pylist() for i in range(3))
-            out = [np.unique(np.append(table.of((t or "").split()), EVERY_TEXT), return_counts=True) for t in texts]
+            out = [np.unique(table.of((t or "").split()), return_counts=True) for t in texts]
             yield pa.record_batch([
                 pa.array(keys, pa.int64()), pa.array(labels_, pa.int32()),
                 pa.array([b.astype("<i4").tobytes() for b, _ in out], pa.binary()),
@@ -156,10 +160,19 @@ class WordScores(UnitTable):
             counts.append(len(w))
         rows = self.rows(words)
         ends = np.cumsum(counts)
-        total = np.concatenate(([0.0], np.cumsum(self.sum.data[rows])))
-        number = np.concatenate(([0], np.cumsum(self.number.data[rows])))
         begin = ends - counts
-        mean = (total[ends] - total[begin] + self.weight[EVERY_TEXT]) / (number[ends] - number[begin] + 1)
+        again = np.zeros(len(rows), np.int64)
+        again[1:] = rows[1:] == rows[:-1]
+        again[begin[begin < len(rows)]] = 0  # the first word of a text has none before it
+
+        def sums(values: np.ndarray) -> np.ndarray:
+            out, full = np.zeros(len(counts), values.dtype), ends > begin
+            if len(values):
+                out[full] = np.add.reduceat(values, begin[full])
+            return out
+
+        projected = sums(self.sum.data[rows] + again * float(self.weight[REPEATED])) + float(self.weight[EVERY_TEXT])
+        mean = projected / (sums(self.number.data[rows] + again) + 1)
         return 1 / (1 + np.exp(-np.clip(mean, -30, 30)))
 
 
