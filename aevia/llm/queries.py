@@ -6,7 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aevia.llm import byte_bpe, packing, quality_classifier, quality_rules, token_counts, token_output, topk, url_filters
+from aevia.llm import (
+    byte_bpe,
+    jaccard_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    token_output,
+    topk,
+    url_filters,
+)
 from aevia.llm.common import read_table, use_package, vocabulary_path
 from aevia.sources.storage import scratch_path
 
@@ -19,6 +29,11 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.with_starts(token_output.read_packed(spark, path))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_package(spark)
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_package(spark)
     docs = read_table(spark, sf_dir, "documents")
@@ -61,6 +76,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
