@@ -17,7 +17,7 @@ from aevia.llm import (
     topk,
     url_filters,
 )
-from aevia.llm.common import read_table, use_package, vocabulary_path
+from aevia.llm.common import read_table, saved, use_package, vocabulary_path
 from aevia.sources.storage import scratch_path
 
 
@@ -26,7 +26,7 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "op1-packed")
     token_output.write_packed(read_table(spark, sf_dir, "documents"), path, vocabulary_path("byte_bpe_50k.json"),
                               end_id=2, vocabulary=50_257)
-    return token_output.with_starts(token_output.read_packed(spark, path))
+    return token_output.with_starts(saved(token_output.read_packed(spark, path), "op1-read"))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
-UNIT_LIMIT = 600_000
+UNIT_LIMIT = 900_000
 #: Characters handled together: bounds the arrays of one step.
 SLICE_CHARS = 2_000_000
 
@@ -59,11 +59,23 @@ class Grown:
         self.n += len(values)
 
 
+class _Index(dict):
+    """Numbers units in the order they are first met."""
+
+    def __init__(self):
+        self.new = []
+
+    def __missing__(self, unit):
+        self[unit] = at = len(self)
+        self.new.append(unit)
+        return at
+
+
 class UnitTable:
     """Rows of the units seen; ``compute`` adds rows for a list of new ones."""
 
     def __init__(self, limit: int = UNIT_LIMIT):
-        self.limit, self.index = limit, {}
+        self.limit, self.index = limit, _Index()
         self.reset()
 
     def reset(self) -> None:
@@ -73,17 +85,14 @@ class UnitTable:
         raise NotImplementedError
 
     def rows(self, units: list) -> np.ndarray:
-        new = set(units).difference(self.index)
-        if len(self.index) + len(new) > self.limit:
-            self.index.clear()
+        if len(self.index) > self.limit:
+            self.index = _Index()
             self.reset()
-            new = set(units)
-        if new:
-            new = list(new)
-            at = len(self.index)
+        rows = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
+        if self.index.new:
+            new, self.index.new = self.index.new, []
             self.compute(new)
-            self.index.update(zip(new, range(at, at + len(new))))
-        return np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
+        return rows
 
 
 # A blank before a non-blank always starts a new piece of the byte-level
@@ -91,21 +100,21 @@ class UnitTable:
 # by itself. Pieces are merged separately, so the ids of a text are the ids of
 # its units in order. The blanks of Python's \s include all of the pattern's.
 _BLANK = re.compile(r" (?=\S)")
-_ODD_BREAK = re.compile(r"(?<!\S)\n|\n(?!\S)")
+_ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
 _BREAK = ("\n",)
 
 
 def byte_level_units(text: str) -> list:
     """Units of a text: a string stands for itself after a blank, a tuple of
     one string for itself alone."""
-    if _ODD_BREAK.search(text):
+    if _ODD.search(text):
         first, *rest = _BLANK.split(text)
         return [(first,), *rest]
     units = []
     for line in text.split("\n"):
-        first, *rest = _BLANK.split(line)
-        units.append((first,))
-        units += rest
+        words = line.split(" ")
+        words[0] = (words[0],)
+        units += words
         units.append(_BREAK)
     units.pop()
     return units
@@ -117,26 +126,77 @@ _PLAIN_BLANKS = re.compile("[ \t\n\x0b\x0c\r]+")
 
 def word_level_units(text: str) -> list:
     """Units for the tokenizer whose pieces never hold white space."""
-    words = _PLAIN_BLANKS.split(text) if _SEPARATORS.search(text) else text.split()
-    return words
+    return _PLAIN_BLANKS.split(text) if _SEPARATORS.search(text) else text.split()
 
 
 class TokenTable(UnitTable):
-    """Token ids of units, by a tokenizer of the tokenizers library."""
+    """Token ids of units, by a tokenizer of the tokenizers library.
+
+    A unit of letters is one piece to the tokenizer, so many are encoded as
+    one text and told apart by the piece numbers of the tokens. A comma or
+    full stop after Latin letters is a piece by itself.
+    """
+
+    RUN = 400  # units encoded as one text
 
     def __init__(self, tokenizer_json: bytes, blank: str, limit: int = UNIT_LIMIT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.blank = Tokenizer.from_str(tokenizer_json.decode()), blank
+        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ",."}
         super().__init__(limit)
 
     def reset(self) -> None:
         self.ids, self.start, self.length = Grown(np.uint32), Grown(np.int64), Grown(np.int64)
 
-    def compute(self, units: list) -> None:
+    def encode_run(self, words: list[str], alone: bool) -> list[list[int]]:
+        """Ids of words of letters, each after a blank or alone."""
+        if alone or not self.blank:
+            # a line break between letters is a piece, or nothing, by itself
+            found = self.tokenizer.encode("\n".join(words), add_special_tokens=False)
+            every = 2 if self.blank else 1
+        else:
+            found = self.tokenizer.encode(self.blank + self.blank.join(words), add_special_tokens=False)
+            every = 1
+        pieces = np.array(found.word_ids, np.int64)
+        if not len(pieces) or pieces[-1] != every * (len(words) - 1):
+            return self.encode_each([(w,) if alone else w for w in words])
+        cuts = np.searchsorted(pieces, np.arange(0, every * len(words), every))
+        ends = np.searchsorted(pieces, np.arange(0, every * len(words), every), "right")
+        ids = found.ids
+        return [ids[a:b] for a, b in zip(cuts.tolist(), ends.tolist())]
+
+    def encode_each(self, units: list) -> list[list[int]]:
         texts = [u[0] if isinstance(u, tuple) else self.blank + u for u in units]
-        found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def compute(self, units: list) -> None:
+        found: list = [None] * len(units)
+        plain: dict = {False: {}, True: {}}  # by kind: word of letters -> the units it is in
+        others = []
+        for i, u in enumerate(units):
+            alone = isinstance(u, tuple)
+            w = u[0] if alone else u
+            mark = self.marks.get(w[-1:])
+            if mark is not None and w[-2:-1] < "\u0250" and w[-2:-1].lower().isalpha():
+                w = w[:-1]
+            else:
+                mark = ()
+            if w.isalpha():
+                plain[alone].setdefault(w, []).append((i, mark))
+            else:
+                others.append(i)
+        for alone, words in plain.items():
+            order = list(words)
+            for at in range(0, len(order), self.RUN):
+                run = order[at: at + self.RUN]
+                for w, ids in zip(run, self.encode_run(run, alone)):
+                    for i, mark in words[w]:
+                        found[i] = [*ids, *mark]
+        if others:
+            for i, ids in zip(others, self.encode_each([units[i] for i in others])):
+                found[i] = ids
         length = np.fromiter(map(len, found), np.int64, len(found))
         self.start.add(self.ids.n + np.cumsum(length) - length)
         self.length.add(length)
