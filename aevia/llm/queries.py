@@ -12,6 +12,7 @@ from aevia.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    substring_dedup,
     token_counts,
     token_output,
     topk,
@@ -29,6 +30,11 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.with_starts(saved(token_output.read_packed(spark, path), "op1-read"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_package(spark)
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"), size=50)
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_package(spark)
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
@@ -76,6 +82,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_best_fit_packing": op5_best_fit_packing,
