@@ -19,12 +19,11 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aevia.llm.common import read_bytes, saved
+from aevia.llm.common import bind, read_bytes, saved
 
 TABLE_WORDS = 300_000
 RANK_BUCKETS = 1 << 14
@@ -39,11 +38,6 @@ def java_pattern(pattern: str) -> str:
             .replace(r"|\s+", f"|[{WHITE}]+"))
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def literal_map(entries: dict, buckets: int, value_type: str) -> Column:
     """A constant map, dealt into small maps by the keys' checksums. It is
     parsed once per plan; bind it, so that a plan holds it once."""

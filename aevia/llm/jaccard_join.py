@@ -47,7 +47,7 @@ from aevia.llm.shingles import mix, shingle_set, word_hashes
 WORDS = 3
 PERCENT = 90
 #: Shingles in a block of a cell: 8 bytes each in a task's memory.
-BLOCK_SHINGLES = 1 << 20
+BLOCK_SHINGLES = 1 << 18
 BAND = 1.6
 MAX_CUTS = 64
 

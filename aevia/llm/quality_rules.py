@@ -20,10 +20,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aevia.llm.common import WORD_SPLIT, words_of
+from aevia.llm.common import bind, words_of
 
 BUCKETS = 1 << 16
-MIN_SCORE = -0.15
+PRIOR = 100
+MIN_SCORE = -0.1
 TRUSTED_ROWS = 20_000
 WINDOW = 8
 MIN_WORDS = 20
@@ -54,8 +55,9 @@ def bucket(h: Column, buckets: int) -> Column:
 
 
 def fit_log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """log(target share / raw share) by bucket, both smoothed by one count
-    a bucket spread as the raw corpus is. All documents count as raw."""
+    """log(target share / raw share) by bucket. ``PRIOR`` n-grams of the
+    overall mix are added to every bucket, so buckets that are rarely met say
+    little. All documents count as raw."""
     grams = (
         docs.join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("good"))), "doc_id", "left")
         .select(F.coalesce("good", F.lit(0)).alias("good"), hashed(words_of(F.col("text"))).alias("h"))
@@ -63,15 +65,13 @@ def fit_log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS)
     )
     counts = grams.groupBy(bucket(F.col("h"), buckets).alias("b")).agg(
         F.count("*").alias("raw"), F.sum("good").alias("target")).collect()
-    raw, target = [1.0] * buckets, [0.0] * buckets
+    raw, target = [0] * buckets, [0] * buckets
     for b, r, t in counts:
-        raw[b] += r
-        target[b] += t
-    all_raw, all_target = sum(raw), sum(target)
-    if not all_target:
+        raw[b], target[b] = r, t
+    if not sum(target):
         return [0.0] * buckets
-    prior = [r / all_raw for r in raw]
-    return [math.log((t + buckets * p) / (all_target + buckets) / p) for t, p in zip(target, prior)]
+    share = sum(target) / sum(raw)
+    return [math.log((t + PRIOR * share) / ((r + PRIOR) * share)) for t, r in zip(target, raw)]
 
 
 def repeat_words(h4: Column, n: Column) -> Column:
@@ -95,8 +95,7 @@ def repeat_words(h4: Column, n: Column) -> Column:
             F.transform(p, lambda i, k: F.least(F.coalesce(F.get(p, k + 1) - i, F.lit(WINDOW)), F.lit(WINDOW)).cast("long")),
             F.lit(0).cast("long"), lambda a, b: a + b)
 
-    # an array of one element lets a lambda hold a value that is used many times
-    covered = F.transform(F.transform(F.array(at), twice), union)[0]
+    covered = bind(bind(at, twice), union)
     return F.when((n >= WINDOW) & (F.size(F.array_distinct(runs)) < F.size(runs)), covered).otherwise(F.lit(0).cast("long"))
 
 
@@ -113,26 +112,31 @@ def quality_rules(docs: DataFrame, log_ratios: list[float], min_score: float = M
     buckets = len(log_ratios)
     ratios = F.from_json(F.lit(json.dumps(log_ratios)), "array<double>")
 
-    def total(hashes: str) -> Column:
+    def total(hashes: Column) -> Column:
         return F.aggregate(hashes, F.lit(0.0), lambda a, h: a + F.element_at(ratios, bucket(h, buckets) + 1))
 
-    extra = [F.struct(*docs.columns).alias("doc")] if carry else []
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
-    n = F.col("n_words")
-    judged = (
-        docs.select(*extra, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .withColumn("w", words_of(F.col("text")))
-        .select(
-            *(["doc"] if carry else []), "doc_id", hashed(F.col("w")).alias("h1"), F.size("w").cast("long").alias("n_words"),
-            F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
-            (F.length("text") - F.length(F.regexp_replace("text", "[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
-            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"))
-        .withColumn("h2", joined(F.col("h1"), 1))
-        .withColumn("h4", joined(F.col("h2"), 2))
-        .withColumn("n_repeat_words", repeat_words(F.col("h4"), n))
-        .withColumn("score", F.when(n > 0, (total("h1") + total("h2")) / (2 * n)).otherwise(0.0))
-    )
-    failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
+    def judge(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        figures = bind(hashed(words), lambda h1: bind(joined(h1, 1), lambda h2: bind(joined(h2, 2), lambda h4: F.struct(
+            n.alias("n_words"),
+            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+            repeat_words(h4, n).alias("n_repeat_words"),
+            F.when(n > 0, (total(h1) + total(h2)) / (2 * n)).otherwise(0.0).alias("score")))))
+        return bind(figures, decide)
+
+    def decide(f: Column) -> Column:
+        failed = (f["n_words"] < MIN_WORDS) | (100 * f["n_repeat_words"] > MAX_REPEAT_PERCENT * f["n_words"])
+        names = ["n_words", "word_chars", "n_repeat_words", "score"]
+        return F.struct(*[f[c].alias(c) for c in names], failed.alias("base_failed"),
+                        (~failed & (f["score"] >= min_score)).alias("kept"))
+
+    text = F.coalesce("text", F.lit(""))
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
+    mine = [F.struct(*docs.columns).alias("doc")] if carry else []
+    judged = docs.select(
+        *mine, "doc_id", bind(words_of(text), judge).alias("v"),
+        (F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
+        bind(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"))
     return judged.select(
-        *(["doc"] if carry else []), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        (~failed & (F.col("score") >= min_score)).alias("kept"), "score")
+        *(["doc"] if carry else []), "doc_id", "v.n_words", "v.word_chars", "n_symbols", "n_dup_lines",
+        "v.n_repeat_words", "v.base_failed", "v.kept", "v.score")
