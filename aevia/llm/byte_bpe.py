@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from aevia.llm.common import bind, read_bytes, saved
 
-TABLE_WORDS = 300_000
-RANK_BUCKETS = 1 << 14
-WORD_BUCKETS = 1 << 16
+TABLE_WORDS = 450_000
+RANK_BUCKETS = 1 << 16
+WORD_BUCKETS = 1 << 17
 #: White space as the pattern's engine has it; ``\\s`` of Java is ASCII only.
 WHITE = r"\s\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
@@ -44,12 +44,20 @@ def literal_map(entries: dict, buckets: int, value_type: str) -> Column:
     dealt: list[dict] = [{} for _ in range(buckets)]
     for key, value in entries.items():
         dealt[zlib.crc32(key.encode()) & (buckets - 1)][key] = value
-    return F.from_json(F.lit(json.dumps(dealt, separators=(",", ":"))), f"array<map<string,{value_type}>>")
+    return parsed(json.dumps(dealt, separators=(",", ":")), value_type)
+
+
+def parsed(text: str, value_type: str) -> Column:
+    return F.from_json(F.lit(text), f"array<map<string,{value_type}>>")
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.crc32(key).bitwiseAND(F.lit(buckets - 1)).cast("int")
 
 
 def look_up(table: Column, buckets: int, key: Column) -> Column:
     """The value of a key in such a map, null if absent."""
-    return F.element_at(F.element_at(table, (F.crc32(key).bitwiseAND(F.lit(buckets - 1)) + 1).cast("int")), key)
+    return F.element_at(F.element_at(table, bucket_of(key, buckets) + 1), key)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -105,27 +113,31 @@ class ByteBpe:
 
         return bind(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ids)
 
-    def frequent_words(self, docs: DataFrame, limit: int) -> dict[str, list[int]]:
-        """Ids of the most frequent words of all documents: all words above
-        the lowest count that leaves ``limit`` of them at most."""
+    def frequent_words(self, docs: DataFrame, limit: int) -> Column:
+        """Map of the ids of the most frequent words of all documents: all
+        words above the lowest count that leaves ``limit`` of them at most.
+        Executors fold the words and write the map's text."""
         counts = saved(
             docs.select(F.explode(self.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
             .where("n > 1"), "op8-words")
-        levels = counts.groupBy("n").agg(F.count("*").alias("words")).collect()
         total, least = 0, None
-        for n, words in sorted(levels, reverse=True):
+        for n, words in sorted(counts.groupBy("n").agg(F.count("*")).collect(), reverse=True):
             if total + words > limit:
                 break
             total, least = total + words, n
-        if least is None:
-            return {}
-        ids = bind(self.ranks, lambda ranks: self.fold(F.col("word"), ranks))
-        return {r[0]: r[1] for r in counts.where(F.col("n") >= least).select("word", ids).collect()}
+        dealt = ["{}"] * WORD_BUCKETS
+        if least is not None:
+            ids = bind(self.ranks, lambda ranks: self.fold(F.col("word"), ranks))
+            entries = F.map_from_entries(F.collect_list(F.struct("word", ids.alias("ids"))))
+            known = counts.where(F.col("n") >= least).groupBy(bucket_of(F.col("word"), WORD_BUCKETS)).agg(F.to_json(entries))
+            for b, text in known.toLocalIterator():
+                dealt[b] = text
+        return parsed("[" + ",".join(dealt) + "]", "array<int>")
 
     def encode(self, docs: DataFrame, table_words: int = TABLE_WORDS) -> DataFrame:
         """``docs`` of ``(doc_id, text)`` with a column ``ids``. Null and
         empty texts have none."""
-        known = literal_map(self.frequent_words(docs, table_words), WORD_BUCKETS, "array<int>")
+        known = self.frequent_words(docs, table_words)
         worded = docs.select("doc_id", self.words(F.col("text")).alias("words"))
 
         def ids(tables: Column) -> Column:

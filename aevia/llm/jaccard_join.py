@@ -331,4 +331,4 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         classes.join(found, classes["least"] == found["node"], "left")
         .select("key", F.coalesce("component", "least").alias("component")), "op3-components")
     return rows.join(named, "key", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -85,9 +85,8 @@ def rounds(batch: Batch, number: int = ROUNDS):
         name = sym[at]
         long_ = length > 1
         name[long_] = mix(name[long_] * MIX + length[long_].astype(np.uint64) + np.uint64(r << 40))
-        sep, low, high = sep[at], low[at], high[last]
-        # a run ends where its neighbours differ
-        low, high = np.append(low[:1], low[:-1]), np.append(high[1:], high[-1:])
+        # a run ends where its neighbours differ: it depends on one symbol on either side
+        sep, low, high = sep[at], low[np.maximum(at - 1, 0)], high[np.minimum(last + 1, len(sep) - 1)]
         # pairs: a left symbol looks at the next one, a right symbol at the one before
         left = (mix(name + np.uint64(2 * r + 1)) >> np.uint64(63)).astype(bool) & ~sep
         pair = np.append(left[:-1] & ~left[1:] & ~sep[1:], False)

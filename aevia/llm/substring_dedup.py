@@ -87,18 +87,21 @@ def candidates(docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             shared = batch.column(3)
             for first, run in _sequences(batch.column(2)):
+                # rows that repeat an id with another text are not the one meant
+                meant = [_digest(w) == d.as_py() for w, d in zip(run, batch.column(1).slice(first, len(run)))]
+                run = [w if m else [] for w, m in zip(run, meant)]
                 b = Batch([word_hashes(w) for w in run])
                 starts, doc = b.windows(size)
                 mine = shared.slice(first, len(run)).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
                 keep = np.isin(anchors(b, starts, size), mine)
                 starts, doc = starts[keep], doc[keep]
                 one, two = (RangeHashes(b.words, second).of(starts, starts + size) for second in (False, True))
-                yield pa.record_batch([
+                yield pa.RecordBatch.from_arrays([
                     *(batch.column(i).slice(first, len(run)) for i in range(3)),
                     _lists(starts - b.begin[doc], doc, len(run), pa.int32()),
                     _lists(one.view(np.int64), doc, len(run), pa.int64()),
                     _lists(two.view(np.int64), doc, len(run), pa.int64())],
-                    names=["doc_id", "digest", "text", "starts", "one", "two"])
+                    names=["doc_id", "digest", "text", "starts", "one", "two"]).filter(pa.array(meant, pa.bool_()))
 
     return docs.mapInArrow(
         rows, "doc_id long, digest binary, text binary, starts array<int>, one array<long>, two array<long>")

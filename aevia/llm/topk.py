@@ -48,7 +48,7 @@ def threshold_topk(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.
         new[lists[n - depth:].ravel()] = True
         new[lists[:depth].ravel()] = True
         new &= ~seen
-        if 2 * (seen.sum() + new.sum()) >= n:
+        if depth == n or 2 * (seen.sum() + new.sum()) >= n:
             new = ~seen
         at = np.flatnonzero(new)
         seen |= new
