@@ -24,69 +24,73 @@ log = logging.getLogger(__name__)
 SILVER_TABLES = ("adverse_events", "drugs", "reactions")
 
 
+def period_of(year: int, month: int) -> str:
+    return f"{int(year):04d}-{int(month):02d}"
+
+
 def run_bronze_to_silver(spark: SparkSession, bronze_root: str, lake_root: str, year: int, month: int,
-                         mode: str = "dynamic", dedupe_reports: bool = False) -> dict[str, str]:
-    """JOB1: one month of bronze -> three silver tables.
+                         mode: str = "dynamic", dedupe_reports: bool = False, max_corrupt: int = 0) -> dict[str, str]:
+    """JOB1: one month of bronze (line or array files) -> three silver
+    tables.
 
     ``mode="dynamic"`` (default) keeps a ``period`` partition per run month
-    and replaces only that month; ``mode="replace"`` rewrites the tables
-    whole, so gold sees only the last month processed.
+    and replaces that month whole, also by nothing; ``mode="replace"``
+    rewrites the tables whole, so gold sees only the last month processed.
     ``dedupe_reports`` also drops repeated reports from the child tables
-    (the default keeps them, as the source semantics do).
+    (the default keeps them, as the source semantics do). The load audit is
+    stored first, and more than ``max_corrupt`` unreadable records stop the
+    month.
     """
-    raw = B.read_bronze(spark, bronze_root, year, month)
-    # The three builders read the same month: parse the JSON once.
-    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    period = period_of(year, month)
+    # The audit and the three builders read the same month: parse the JSON once.
+    raw = B.read_bronze_raw(spark, bronze_root, year, month).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        src = raw
-        if dedupe_reports:
-            src = raw.dropDuplicates()
-        tables = S.build_silver(src)
-        out = {}
-        for name in SILVER_TABLES:
-            df = tables[name]
-            if mode == "dynamic":
-                df = df.withColumn("period", F.lit(f"{int(year):04d}-{int(month):02d}"))
-                out[name] = T.write_table(df, lake_root, "silver", name, ["period"], dynamic=True)
-            else:
-                out[name] = T.write_table(df, lake_root, "silver", name)
+        store_audit(spark, B.audit_bronze(raw), lake_root, "bronze", period, max_corrupt)
+        src = raw.where(F.col(B.CORRUPT).isNull()).select(*B.REPORT_COLS)
+        tables = S.build_silver(src.dropDuplicates() if dedupe_reports else src)
+        if mode == "dynamic":
+            return {n: T.replace_period(tables[n], lake_root, "silver", n, period) for n in SILVER_TABLES}
+        return {n: T.write_table(tables[n], lake_root, "silver", n) for n in SILVER_TABLES}
     finally:
         raw.unpersist()
-    return out
 
 
-def _period_count(spark: SparkSession, lake_root: str) -> int:
-    """Number of ``period=`` partitions of silver events, from the folder
-    listing (metadata only, no job)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{lake_root.rstrip('/')}/silver/adverse_events")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sum(1 for st in fs.listStatus(path) if st.isDirectory() and st.getPath().getName().startswith("period="))
+def store_audit(spark: SparkSession, audit: DataFrame, lake_root: str, source: str, period: str, max_corrupt: int = 0) -> dict:
+    """Keep a load audit row (``quality/load_audit``, one partition per
+    source and period), then raise ``DataQualityError`` if records could not
+    be read or pages are missing."""
+    path = f"{lake_root.rstrip('/')}/quality/load_audit/source={source}/period={period}"
+    audit.write.mode("overwrite").parquet(path)
+    row = spark.read.parquet(path).first().asDict()
+    if row["corrupt"] > max_corrupt or row["missing_pages"]:
+        raise Q.DataQualityError(f"load audit of {source} {period} failed: {row}")
+    return row
 
 
-def read_silver(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
-    """Silver tables in their declared schemas.
+def read_silver(spark: SparkSession, lake_root: str, period: str | None = None) -> dict[str, DataFrame]:
+    """Silver tables in their declared schemas: one ``period``, or all.
 
-    When silver keeps one ``period`` partition per run month, a report id
-    sent again in a later month exists in several periods: the latest
-    period wins (de-duplicated like within a month, period first), and
-    drug and reaction rows are kept only from that period (a semi join on
-    id and period; rows without an id are kept as they are).
+    A report id sent again in a later month exists in several periods: the
+    latest period wins (de-duplicated like within a month, period first),
+    and drug and reaction rows are kept only from that period (a semi join
+    on id and period; rows without an id are kept as they are). The plan is
+    the same for one period and for many.
     """
     raw = {n: spark.read.parquet(f"{lake_root.rstrip('/')}/silver/{n}") for n in SILVER_TABLES}
     cols = {n: [f.name for f in T.SILVER[n].fields] for n in SILVER_TABLES}
-    if "period" not in raw["adverse_events"].columns or _period_count(spark, lake_root) <= 1:
+    if period is not None:
+        return {n: raw[n].where(F.col("period") == period).select(*cols[n]) for n in SILVER_TABLES}
+    if "period" not in raw["adverse_events"].columns:  # written by mode="replace"
         return {n: raw[n].select(*cols[n]) for n in SILVER_TABLES}
-    ev = raw["adverse_events"]
+    ev = raw["adverse_events"].withColumn("period", F.col("period").cast("string"))
+    rest = [c for c in cols["adverse_events"] if c != "safety_report_id"]
     latest = (
-        ev.groupBy("safety_report_id")
-        .agg(F.max(F.struct("period", *[c for c in cols["adverse_events"] if c != "safety_report_id"])).alias("_s"))
-        .select("safety_report_id", "_s.*")
+        ev.groupBy("safety_report_id").agg(F.max(F.struct("period", *rest)).alias("_s")).select("safety_report_id", "_s.*")
     )
     keys = latest.select("safety_report_id", "period")
     out = {"adverse_events": latest.select(*cols["adverse_events"])}
     for n in ("drugs", "reactions"):
-        df = raw[n]
+        df = raw[n].withColumn("period", F.col("period").cast("string"))
         kept = df.join(keys, ["safety_report_id", "period"], "left_semi").unionByName(
             df.where(F.col("safety_report_id").isNull())
         )
@@ -95,19 +99,22 @@ def read_silver(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
 
 
 def run_quality_gate(spark: SparkSession, lake_root: str, period: str | None = None) -> list[dict]:
-    """DQ12: store the silver check results, then raise
-    ``DataQualityError`` before gold if a suite fails.
+    """DQ12: store the silver check results of ``period`` (or of the whole
+    tables), then raise ``DataQualityError`` before gold if a suite fails.
 
     The results (one row per rule) are written to ``quality/silver_checks``
     first, one partition per run period, so a failed gate leaves its
     evidence; the gate then reads back the rule-sized table."""
-    results = Q.silver_results(read_silver(spark, lake_root))
+    results = Q.silver_results(read_silver(spark, lake_root, period))
     return _store_and_enforce(spark, results, f"{lake_root.rstrip('/')}/quality/silver_checks", period or "all")
 
 
 def run_build_gold(spark: SparkSession, lake_root: str) -> dict[str, str]:
-    """JOB2: silver -> the six gold tables."""
-    s = read_silver(spark, lake_root)
+    """JOB2: silver -> the six gold tables. The periods are merged once, into
+    ``silver_current``; all gold tables read that."""
+    for name, df in read_silver(spark, lake_root).items():
+        T.write_table(df, lake_root, "silver_current", name)
+    s = {n: T.read_table(spark, lake_root, "silver_current", n) for n in SILVER_TABLES}
     gold = G.build_gold(s["adverse_events"], s["drugs"], s["reactions"])
     return {name: T.write_table(gold[name], lake_root, "gold", name) for name in T.GOLD_ORDER}
 
@@ -140,12 +147,12 @@ def run_pipeline(spark: SparkSession, year: int, month: int, bronze_root: str, l
     gold tables pass their own suite.
     """
     B.check_period(year, month)
-    result: dict = {"period": f"{int(year):04d}-{int(month):02d}"}
+    result: dict = {"period": period_of(year, month)}
     if pages_path:
-        reports = B.read_pages(spark, pages_path)
-        result["bronze"] = B.land_bronze(reports, bronze_root, year, month)
+        store_audit(spark, B.audit_pages(B.read_page_files(spark, pages_path)), lake_root, "pages", result["period"])
+        result["bronze"] = B.land_bronze(B.read_pages(spark, pages_path), bronze_root, year, month)
     result["silver"] = run_bronze_to_silver(spark, bronze_root, lake_root, year, month, mode=mode)
-    result["quality"] = run_quality_gate(spark, lake_root, result["period"])
+    result["quality"] = run_quality_gate(spark, lake_root, result["period"] if mode == "dynamic" else None)
     result["gold"] = run_build_gold(spark, lake_root)
     # output invariants of the written gold tables gate publishing
     result["gold_quality"] = run_gold_gate(spark, lake_root, result["period"])

@@ -5,16 +5,19 @@
   partition overwrite, so a rerun replaces only the months it touches.
 * Reading goes through the root folder with a declared schema, so a filter
   on ``year`` / ``month`` prunes whole partitions before any file is opened.
-* A monthly file that is one JSON array (the source format) is read with
-  ``multiLine``; page files ``{"results": [...]}`` are unwrapped with an
-  explode.
+* A monthly file that is one JSON array (the source format) is found by its
+  first line and read with ``multiLine``; page files ``{"results": [...]}``
+  are unwrapped with an explode.
+* Nothing is dropped silently: text that does not parse is kept in
+  ``_corrupt`` and counted, with missing and empty pages, in a load audit
+  that gates the month.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from aevia.schemas import BRONZE_REPORT, PAGE_BODY
 
@@ -48,39 +51,80 @@ def period_path(root: str, year: int, month: int) -> str:
     return f"{root.rstrip('/')}/year={int(year)}/month={int(month):02d}"
 
 
+#: Columns of a load audit, all counts.
+AUDIT = ["files", "pages", "empty_pages", "missing_pages", "corrupt", "reports"]
+REPORT_COLS = [f.name for f in BRONZE_REPORT.fields]
+CORRUPT = "_corrupt"
+PAGE_SIZE = 100  # reports a page of the source API
+
+
 def land_bronze(reports: DataFrame, root: str, year: int | None = None, month: int | None = None) -> str:
     """SNK1 + SRC6: write raw reports to their monthly partition.
 
     With ``year``/``month`` every report lands in that run period; without
-    them, ``year``/``month`` columns of ``reports`` decide. Raises
-    ``ValueError`` when there is nothing to land.
+    them, ``year``/``month`` columns of ``reports`` decide. Rows are brought
+    together by month before the write, so a month is a few files and not
+    one per task. Raises ``ValueError`` when there is nothing to land (what
+    was landed before stays). The input is computed once: rows are counted
+    while they are written.
     """
     if year is not None:
         check_period(year, month)
         reports = reports.withColumn("year", F.lit(int(year))).withColumn("month", F.lit(int(month)))
-    if reports.isEmpty():
-        raise ValueError("no reports to land")
-    cols = [f.name for f in BRONZE_REPORT.fields] + ["year", "month"]
+    rows = reports.select(*REPORT_COLS, "year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"))
+    written = Observation()
     (
-        reports.select(*cols)
-        .withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
+        rows.hint("rebalance", "year", "month")
+        .observe(written, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
         .json(root)
     )
+    if not written.get["n"]:
+        raise ValueError("no reports to land")
     return period_path(root, year, month) if year is not None else root
 
 
-def read_bronze(spark: SparkSession, root: str, year: int | None = None, month: int | None = None,
-                multi_line: bool = False) -> DataFrame:
-    """SRC1: reports of one month (or all), schema declared, partitions
-    pruned by the filter."""
-    df = spark.read.schema(PARTITIONED_BRONZE).option("multiLine", multi_line).json(root)
+def read_bronze_raw(spark: SparkSession, root: str, year: int | None = None, month: int | None = None) -> DataFrame:
+    """Reports of one month (or all) with ``_corrupt``, the text of what did
+    not parse (null for a report), and ``_file``.
+
+    Files are JSON Lines, or one JSON array each (indented or not). A file
+    whose first line is ``[`` is an indented array: such files are read
+    whole, the others by line, so a month may hold both.
+    """
+    schema = StructType([*PARTITIONED_BRONZE.fields, StructField(CORRUPT, StringType())])
+    where = F.lit(True)
     if year is not None:
         check_period(year, month)
-        df = df.where((F.col("year") == int(year)) & (F.col("month") == int(month)))
-    return df
+        where = (F.col("year") == int(year)) & (F.col("month") == int(month))
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    lines = reader.json(root).where(where).withColumn("_file", F.input_file_name())
+    # files of the import format, one a month; all else is read by line alone
+    opening = spark.read.schema("value string, year int, month int").text(root).where(where)
+    arrays = [r[0] for r in opening.where(F.trim("value") == "[").select(F.input_file_name()).distinct().collect()]
+    if not arrays:
+        return lines
+    whole = reader.option("multiLine", True).option("basePath", root).json(arrays).withColumn("_file", F.input_file_name())
+    return lines.where(~F.col("_file").isin(arrays)).unionByName(whole)
+
+
+def read_bronze(spark: SparkSession, root: str, year: int | None = None, month: int | None = None) -> DataFrame:
+    """SRC1: reports of one month (or all), schema declared, partitions
+    pruned by the filter, line and array files alike. Text that does not
+    parse is left out here and counted by ``audit_bronze``."""
+    raw = read_bronze_raw(spark, root, year, month)
+    return raw.where(F.col(CORRUPT).isNull()).select(*REPORT_COLS, "year", "month")
+
+
+def audit_bronze(raw: DataFrame) -> DataFrame:
+    """The load audit of a month's raw reports, one row."""
+    return raw.agg(
+        F.count_distinct("_file").alias("files"),
+        F.count(CORRUPT).alias("corrupt"),
+        F.count_if(F.col(CORRUPT).isNull()).alias("reports"),
+    ).select("files", *[F.lit(0).cast("long").alias(c) for c in ("pages", "empty_pages", "missing_pages")], "corrupt", "reports").select(*AUDIT)
 
 
 def unwrap_pages(bodies: DataFrame, body_col: str = "body", page_col: str | None = "page") -> DataFrame:
@@ -97,29 +141,42 @@ def unwrap_pages(bodies: DataFrame, body_col: str = "body", page_col: str | None
     return out.select(*([page_col] if page_col else []), "pos", "r.*")
 
 
-def read_pages(spark: SparkSession, path: str, cap: int | None = None,
-               stop_at_first_empty: bool = True) -> DataFrame:
-    """SRC4: every page file under ``path`` (``page-<skip>.json``, one JSON
-    object each) read in parallel and unwrapped.
-
-    Paging stops at the first empty page, as sequential fetching does:
-    pages whose skip lies beyond the first empty one are ignored. ``cap``
-    keeps the first ``cap`` reports in (skip, position) order — the
-    ingestion cap of the source, used only when asked for.
-    """
-    raw = spark.read.schema(PAGE_BODY).option("multiLine", True).json(path)
-    pages = raw.select(
-        F.regexp_extract(F.input_file_name(), r"page-(\d+)\.json", 1).cast("long").alias("skip"),
-        F.coalesce(F.col("results"), F.array()).alias("results"),
+def read_page_files(spark: SparkSession, path: str) -> DataFrame:
+    """Every page file under ``path`` (``page-<skip>.json``, one JSON object
+    each): ``skip`` (null if the name has none), ``results`` (empty without
+    the key), ``_corrupt`` (the text, if it does not parse)."""
+    schema = StructType([*PAGE_BODY.fields, StructField(CORRUPT, StringType())])
+    raw = (
+        spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT)
+        .option("recursiveFileLookup", True).json(path)
     )
-    if stop_at_first_empty:
-        first_empty = pages.where(F.size("results") == 0).agg(F.min("skip")).first()[0]
-        if first_empty is not None:
-            pages = pages.where(F.col("skip") < F.lit(int(first_empty)))
-    reports = pages.select("skip", F.posexplode("results").alias("pos", "r")).select("skip", "pos", "r.*")
-    if cap is not None:
-        reports = reports.orderBy("skip", "pos").limit(int(cap))
-    return reports
+    return raw.select(
+        F.regexp_extract(F.input_file_name(), r"page-(\d+)\.json", 1).try_cast("long").alias("skip"),
+        F.coalesce("results", F.array()).alias("results"), CORRUPT)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """SRC4: the reports of all page files, read in parallel. Empty, missing
+    and corrupt pages take nothing from the others; ``audit_pages`` counts
+    them."""
+    return read_page_files(spark, path).select("skip", F.posexplode("results").alias("pos", "r")).select("skip", "pos", "r.*")
+
+
+def audit_pages(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """The load audit of page files, one row. A page is missing when its
+    skip lies below the largest one and no file has it; a file without a
+    skip in its name counts as corrupt."""
+    named = F.col("skip").isNotNull()
+    bad = F.col(CORRUPT).isNotNull() | ~named
+    expected = F.coalesce(F.floor(F.max("skip") / page_size) + 1, F.lit(0))
+    return pages.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count_if(~bad).alias("pages"),
+        F.count_if(~bad & (F.size("results") == 0)).alias("empty_pages"),
+        F.greatest(expected - F.count_distinct("skip"), F.lit(0)).cast("long").alias("missing_pages"),
+        F.count_if(bad).alias("corrupt"),
+        F.coalesce(F.sum(F.size("results")), F.lit(0)).cast("long").alias("reports"),
+    ).select(*AUDIT)
 
 
 def page_bodies(reports: DataFrame, order_col: str, page_size: int = 100) -> DataFrame:

@@ -77,6 +77,15 @@ def write_table(df: DataFrame, root: str, layer: str, name: str, partition_by: l
     return path
 
 
+def replace_period(df: DataFrame, root: str, layer: str, name: str, period: str) -> str:
+    """SNK2: write one ``period`` partition whole. An empty ``df`` leaves an
+    empty partition, never the rows of an earlier run."""
+    path = f"{root.rstrip('/')}/{layer}/{name}"
+    df.write.mode("overwrite").parquet(f"{path}/period={period}")
+    log.info("written %s.%s period %s to %s", layer, name, period, path)
+    return path
+
+
 def read_table(spark: SparkSession, root: str, layer: str, name: str, schema: StructType | None = None) -> DataFrame:
     """SRC2: read a table with its declared schema (extra partition columns,
     if any, are dropped)."""
@@ -106,10 +115,13 @@ def publish_gold(gold: dict[str, DataFrame], root: str, tables: list[str] | None
 
 
 def publish_to_catalog(spark: SparkSession, gold: dict[str, DataFrame], database: str,
-                       tables: list[str] | None = None) -> list[str]:
+                       tables: list[str] | None = None, location: str | None = None) -> list[str]:
     """SNK4 / SNK5 through the catalog: replace each table whole
-    (``saveAsTable`` in overwrite mode; the schema comes from the frame)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    (``saveAsTable`` in overwrite mode; the schema comes from the frame).
+    A new database is made at ``location``, else in the warehouse folder
+    that the cluster sets."""
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
     names = []
     for name in tables or GOLD_ORDER:
         if name in gold:

@@ -1,82 +1,43 @@
 """Incremental bronze -> silver with Structured Streaming.
 
-New bronze files landed under the bronze root are picked up as they
-arrive (file source; the offset log in the checkpoint makes each file count
-once, also across restarts and lost executors). Reports repeated across
-files are dropped within a watermark on their receive date, and each
-micro-batch is turned into the three silver tables by the same builders as
-the batch job, appended per run period.
-
-This is the incremental form of the monthly batch job; it adds no
-operator of its own.
+New bronze files landed under the bronze root are picked up as they arrive
+(file source; the offset log in the checkpoint makes each file count once,
+also across restarts and lost executors). A micro-batch only tells which run
+months have new files; each of these months is rebuilt whole by the monthly
+batch job, and replaces its period. Silver is therefore what the batch job
+makes of the same bronze, whatever the order of arrival: no report is late,
+reports without an id stay, and of repeated reports the same one survives.
+A batch replayed after a failure rebuilds the same periods again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aevia.operators import silver as S
-from aevia.sources.bronze import PARTITIONED_BRONZE
-from aevia.sources.storage import shared_dir
+from aevia.plans.pipeline import run_bronze_to_silver
 
 
 def bronze_stream(spark: SparkSession, bronze_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(PARTITIONED_BRONZE)
+    """The run months of newly landed bronze, a row for each line of text."""
+    reader = spark.readStream.schema("value string, year int, month int")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.json(bronze_root)
-
-
-def dedupe_within_watermark(reports: DataFrame, delay: str = "60 days") -> DataFrame:
-    """Drop a report id seen again within ``delay`` of event time (the
-    receive date). State is kept only while the watermark allows a copy to
-    arrive. Reports without a parsable date have no event time: they bypass
-    the de-duplication (and are never dropped as late)."""
-    ts = F.to_timestamp(F.try_to_date(F.col("receivedate"), "yyyyMMdd"))
-    dated = (
-        reports.withColumn("_received", ts)
-        .where(F.col("_received").isNotNull())
-        .withWatermark("_received", delay)
-        .dropDuplicatesWithinWatermark(["safetyreportid"])
-        .drop("_received")
-    )
-    undated = reports.where(ts.isNull())
-    return dated.unionByName(undated)
-
-
-def _writer(lake_root: str):
-    """foreachBatch sink: the three silver tables of one micro-batch, each
-    row keeping its bronze partition (year, month). Every batch writes its
-    own ``batch_id`` partition with dynamic overwrite, so a batch replayed
-    after a failure replaces its earlier output instead of adding to it."""
+    return reader.text(bronze_root).select("year", "month")
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            for name, df in S.build_silver(batch, carry=("year", "month")).items():
-                (
-                    df.withColumn("batch_id", F.lit(int(batch_id)))
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("year", "month", "batch_id")
-                    .parquet(f"{lake_root.rstrip('/')}/silver_stream/{name}")
-                )
-        finally:
-            batch.unpersist()
 
-    return write_batch
+def start_incremental_silver(spark: SparkSession, bronze_root: str, lake_root: str, checkpoint: str,
+                             available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the incremental job. ``checkpoint`` is the lake's own folder for
+    the stream's offsets. ``available_now`` processes everything present and
+    stops (a scheduled incremental run); otherwise it keeps running with the
+    default trigger."""
 
+    def rebuild(batch: DataFrame, batch_id: int) -> None:
+        for year, month in sorted(batch.distinct().collect()):  # a few run months, never data-sized
+            run_bronze_to_silver(batch.sparkSession, bronze_root, lake_root, year, month)
 
-def start_incremental_silver(spark: SparkSession, bronze_root: str, lake_root: str,
-                             checkpoint: str | None = None, available_now: bool = True,
-                             watermark: str = "60 days") -> StreamingQuery:
-    """Start the incremental job. ``available_now`` processes everything
-    present and stops (a scheduled incremental run); otherwise it keeps
-    running with the default trigger."""
-    checkpoint = checkpoint or f"{shared_dir(spark)}/aevia-streams/incremental-silver"
-    stream = dedupe_within_watermark(bronze_stream(spark, bronze_root), watermark)
-    w = stream.writeStream.foreachBatch(_writer(lake_root)).option("checkpointLocation", checkpoint)
+    w = bronze_stream(spark, bronze_root, max_files_per_trigger).writeStream.foreachBatch(rebuild)
+    w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()

@@ -26,16 +26,35 @@ def _write_page(folder, skip, body):
         f.write(json.dumps(body))
 
 
-def test_pages_unwrap_stop_and_cap(spark, tmp_path):
+def test_all_pages_are_read_and_audited(spark, tmp_path):
     folder = str(tmp_path / "pages")
     rec = lambda i: {"safetyreportid": str(i), "receivedate": "20240101", "patient": {"patientsex": "1"}}
     _write_page(folder, 0, {"results": [rec(i) for i in range(3)]})
-    _write_page(folder, 100, {"meta": {}})  # no results key: empty page, paging stops here
-    _write_page(folder, 200, {"results": [rec(9)]})
-    got = B.read_pages(spark, folder)
-    assert sorted(r.safetyreportid for r in got.collect()) == ["0", "1", "2"]
-    assert B.read_pages(spark, folder, stop_at_first_empty=False).count() == 4
-    assert [r.safetyreportid for r in B.read_pages(spark, folder, cap=2).collect()] == ["0", "1"]
+    _write_page(folder, 100, {"meta": {}})  # no results key: an empty page
+    _write_page(folder, 300, {"results": [rec(9)]})  # 200 is missing
+    audit = lambda: B.audit_pages(B.read_page_files(spark, folder)).first().asDict()
+    assert sorted(r.safetyreportid for r in B.read_pages(spark, folder).collect()) == ["0", "1", "2", "9"]
+    assert audit() == {"files": 3, "pages": 3, "empty_pages": 1, "missing_pages": 1, "corrupt": 0, "reports": 4}
+    with open(os.path.join(folder, "page-00200.json"), "w") as f:
+        f.write('{"results": [{"safetyreportid": "5"')  # truncated: nothing after it is lost
+    _write_page(folder, 400, {"results": []})
+    with open(os.path.join(folder, "notes.json"), "w") as f:
+        f.write(json.dumps({"results": [rec(77)]}))  # a name without a skip
+    assert {"0", "1", "2", "9", "77"} <= {r.safetyreportid for r in B.read_pages(spark, folder).collect()}
+    got = audit()
+    assert (got["files"], got["corrupt"], got["missing_pages"], got["empty_pages"]) == (6, 2, 0, 2)
+
+
+def test_corrupt_lines_are_counted(spark, tmp_path):
+    folder = tmp_path / "year=2024" / "month=05"
+    folder.mkdir(parents=True)
+    lines = [json.dumps({"safetyreportid": str(i)}) for i in range(4)] + ['{"safetyreportid": "x', "oops"]
+    (folder / "part-0.json").write_text("\n".join(lines))
+    raw = B.read_bronze_raw(spark, str(tmp_path), 2024, 5).cache()
+    assert B.audit_bronze(raw).first().asDict() == {
+        "files": 1, "pages": 0, "empty_pages": 0, "missing_pages": 0, "corrupt": 2, "reports": 4}
+    assert B.read_bronze(spark, str(tmp_path), 2024, 5).count() == 4
+    raw.unpersist()
 
 
 def test_unwrap_text_bodies(spark):
@@ -61,12 +80,18 @@ def test_land_read_prune_and_dynamic_overwrite(spark, scratch, bronze_of):
         B.land_bronze(bronze_of([report("1")]).where(F.lit(False)), root, 2024, 3)
 
 
-def test_multiline_json_array_month_file(spark, tmp_path):
+def test_json_array_month_files(spark, tmp_path):
     folder = tmp_path / "year=2024" / "month=03"
     folder.mkdir(parents=True)
-    (folder / "events.json").write_text(json.dumps([{"safetyreportid": "a"}, {"safetyreportid": "b"}]))
-    df = B.read_bronze(spark, str(tmp_path), 2024, 3, multi_line=True)
-    assert sorted(r.safetyreportid for r in df.collect()) == ["a", "b"]
+    (folder / "events.json").write_text(json.dumps([{"safetyreportid": "a"}, {"safetyreportid": "b"}], indent=2))
+    (folder / "compact.json").write_text(json.dumps([{"safetyreportid": "c"}, {"safetyreportid": "d"}]))
+    (folder / "lines.json").write_text('{"safetyreportid": "e"}\n{"safetyreportid": "f"}\n')
+    raw = B.read_bronze_raw(spark, str(tmp_path), 2024, 3).cache()
+    got = raw.select("safetyreportid", B.CORRUPT, "year", "month").collect()
+    assert sorted(r.safetyreportid for r in got) == list("abcdef")
+    assert all(r[B.CORRUPT] is None and (r.year, r.month) == (2024, 3) for r in got)
+    assert B.audit_bronze(raw).first().files == 3
+    raw.unpersist()
 
 
 def test_read_or_empty_and_publish(spark, scratch):
