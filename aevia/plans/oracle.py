@@ -454,6 +454,44 @@ ORACLE.update({
     "read_or_empty": with_gold("SELECT * FROM g_reactions"),
 })
 
+# Page files: which pages are cut short, and which hold nothing.
+_PAGES = """
+pg AS (SELECT *, k // 100 AS page FROM raw_flat),
+page_list AS (
+  SELECT page, count(*) AS n, page % 13 = 6 AS cut, page % 13 <> 6 AND (page % 7 = 3 OR page % 11 = 5) AS nothing
+  FROM pg GROUP BY page)
+"""
+
+# Two run months: every fifth order is sent again, serious, and every tenth
+# without reactions; the later month wins.
+_JOB_SILVER = (
+    SILVER_CTES.replace("silver_events AS (", "first_events AS (").replace("silver_reactions AS (", "first_reactions AS (")
+    + """,
+silver_events AS (
+  SELECT * REPLACE (CAST(CASE WHEN CAST(safety_report_id AS BIGINT) % 5 = 0 THEN 1 ELSE is_serious END AS INTEGER) AS is_serious)
+  FROM first_events),
+silver_reactions AS (
+  SELECT * FROM first_reactions WHERE safety_report_id IS NULL OR CAST(safety_report_id AS BIGINT) % 10 <> 0)
+""")
+
+_JOB_GOLD = {
+    "safety_overview": "g_overview", "monthly_trends": "g_monthly", "drug_summary": "g_drugs",
+    "reaction_summary": "g_reactions", "drug_reaction_pairs": "g_pairs", "ml_features": "g_features",
+}
+
+ORACLE.update({
+    **{f"job_gold_{n}": f"WITH {_JOB_SILVER},\n{GOLD_CTES}\nSELECT * FROM {g}" for n, g in _JOB_GOLD.items()},
+    "page_files": with_all(f""", {_PAGES}
+SELECT page * 100 AS skip, {_RAW_COLS} FROM pg JOIN page_list USING (page) WHERE NOT cut AND NOT nothing"""),
+    "load_audit": with_all(f""", {_PAGES}
+SELECT count(*) AS files, count_if(NOT cut)::BIGINT AS pages, count_if(nothing)::BIGINT AS empty_pages,
+       max(page) + 1 - count(*) AS missing_pages, count_if(cut)::BIGINT AS corrupt,
+       sum(CASE WHEN NOT cut AND NOT nothing THEN n ELSE 0 END)::BIGINT AS reports FROM page_list"""),
+    "month_array_file": with_all(
+        f"SELECT {_RAW_COLS}, r_year AS year, r_month AS month FROM raw_flat WHERE r_year = 1996 AND r_month = 2"),
+    "catalog_roundtrip": with_gold("SELECT * FROM g_reactions"),
+})
+
 # ---------------------------------------------------------------------------
 # Machine learning on the feature table
 # ---------------------------------------------------------------------------

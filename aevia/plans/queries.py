@@ -18,7 +18,8 @@ from aevia.operators import quality as Q
 from aevia.operators import reports as R
 from aevia.operators import silver as S
 from aevia.functions.exprs import size_or_zero
-from aevia.schemas import GOLD
+from aevia.plans import pipeline as PL
+from aevia.schemas import BRONZE_REPORT, GOLD
 from aevia.sources import bronze as B
 from aevia.sources import storage as T
 from aevia.sources import testbed
@@ -72,6 +73,42 @@ class Ctx:
         })
 
 
+    @cached_property
+    def page_folder(self) -> str:
+        """Page files of 100 order keys each, some empty, without the key or
+        cut short."""
+        path = T.scratch_path(self.spark, "pages")
+        body = (
+            F.when(F.col("page") % 13 == 6, F.substring("body", 1, 40))
+            .when(F.col("page") % 7 == 3, F.lit('{"meta": {}}'))
+            .when(F.col("page") % 11 == 5, F.lit('{"results": []}'))
+            .otherwise(F.col("body"))
+        )
+        pages = B.page_bodies(self.bronze_keyed, "_order_key").select((F.col("page") * B.PAGE_SIZE).alias("page"), body.alias("body"))
+        pages.write.partitionBy("page").text(path)
+        return path
+
+    @cached_property
+    def job_lake(self) -> str:
+        """The monthly job over two run months: all reports, then every
+        fifth order sent again, now serious, and every tenth of all without
+        reactions."""
+        root = T.scratch_path(self.spark, "jobs")
+        B.land_bronze(self.bronze, f"{root}/bronze", 2024, 1)
+        again = self.bronze_keyed.where(F.col("_order_key") % 5 == 0).withColumns({
+            "serious": F.lit("1"),
+            "patient": F.col("patient").withField(
+                "reaction", F.when(F.col("_order_key") % 10 != 0, F.col("patient.reaction"))),
+        })
+        B.land_bronze(again, f"{root}/bronze", 2024, 2)
+        for month in (1, 2):
+            PL.run_bronze_to_silver(self.spark, f"{root}/bronze", root, 2024, month)
+            PL.run_quality_gate(self.spark, root, PL.period_of(2024, month))
+        PL.run_build_gold(self.spark, root)
+        PL.run_gold_gate(self.spark, root)
+        return root
+
+
 class _LazyTables(Mapping):
     def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
         self._builders, self._built = builders, {}
@@ -201,7 +238,37 @@ def _read_or_empty(c: Ctx) -> DataFrame:
         T.read_or_empty(c.spark, f"{root}/gold/not_there", schema))
 
 
+def _page_files(c: Ctx) -> DataFrame:
+    return B.read_pages(c.spark, c.page_folder).select("skip", *raw_cols())
+
+
+def _load_audit(c: Ctx) -> DataFrame:
+    return B.audit_pages(B.read_page_files(c.spark, c.page_folder))
+
+
+def _month_array_file(c: Ctx) -> DataFrame:
+    """One month as the source writes it: an array over many lines."""
+    root = T.scratch_path(c.spark, "array")
+    month = testbed.parse_receivedate(c.bronze).where(B.in_month("_d", 1996, 2))
+    each = F.to_json(F.struct(*[f.name for f in BRONZE_REPORT.fields]))
+    whole = month.agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(each), ",\n"), F.lit("\n]")).alias("value"))
+    whole.write.text(B.period_path(root, 1996, 2))
+    return B.read_bronze(c.spark, root, 1996, 2).select(*raw_cols(), "year", "month")
+
+
+def _catalog_roundtrip(c: Ctx) -> DataFrame:
+    path = T.scratch_path(c.spark, "catalog")
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    T.publish_to_catalog(c.spark, c.gold, database, ["reaction_summary"], location=path)
+    return c.spark.table(f"{database}.reaction_summary")
+
+
 QUERIES.update({
+    **{f"job_gold_{name}": _q(lambda c, n=name: PL.read_gold(c.spark, c.job_lake)[n]) for name in T.GOLD_ORDER},
+    "page_files": _q(_page_files),
+    "load_audit": _q(_load_audit),
+    "month_array_file": _q(_month_array_file),
+    "catalog_roundtrip": _q(_catalog_roundtrip),
     "page_unwrap": _q(_page_unwrap),
     "offset_page": _q(_offset_page),
     "bronze_roundtrip": _q(_bronze_roundtrip),

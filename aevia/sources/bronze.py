@@ -142,8 +142,8 @@ def unwrap_pages(bodies: DataFrame, body_col: str = "body", page_col: str | None
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every page file under ``path`` (``page-<skip>.json``, one JSON object
-    each): ``skip`` (null if the name has none), ``results`` (empty without
+    """Every page file under ``path`` (``page-<skip>.json`` or, as Spark lays
+    files out, ``page=<skip>/...``; one JSON object each): ``skip`` (null if the name has none), ``results`` (empty without
     the key), ``_corrupt`` (the text, if it does not parse)."""
     schema = StructType([*PAGE_BODY.fields, StructField(CORRUPT, StringType())])
     raw = (
@@ -151,7 +151,7 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", True).json(path)
     )
     return raw.select(
-        F.regexp_extract(F.input_file_name(), r"page-(\d+)\.json", 1).try_cast("long").alias("skip"),
+        F.regexp_extract(F.input_file_name(), r"page[-=](\d+)", 1).try_cast("long").alias("skip"),
         F.coalesce("results", F.array()).alias("results"), CORRUPT)
 
 
