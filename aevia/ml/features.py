@@ -14,7 +14,7 @@ Everything is fitted with distributed aggregations:
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aevia.schemas import FEATURE_COLS, RANDOM_STATE, TARGET_COL, TEST_SIZE
@@ -82,15 +82,41 @@ def prepare_features(df: DataFrame, fit_on: DataFrame | None = None) -> tuple[Da
     return out, fitted
 
 
-def split_flag(id_col: str = ID, seed: int = RANDOM_STATE, test_size: float = TEST_SIZE):
-    """ML5: True for the test split. The md5 of ``id:seed`` read as a
-    32-bit fraction is uniform, so each class keeps about ``test_size`` of
-    its rows in test (stratified in expectation); the same hash text orders
-    identically in any SQL engine."""
-    cut = format(int(test_size * 0xFFFFFFFF), "08x")
-    return F.substring(F.md5(F.concat(F.col(id_col), F.lit(f":{seed}"))), 1, 8) < F.lit(cut)
+def split_hash(id_col: str = ID, seed: int = RANDOM_STATE):
+    """Eight hex digits that put the rows of a class in a fixed, shuffled
+    order; the same text orders identically in any SQL engine."""
+    return F.substring(F.md5(F.concat(F.col(id_col), F.lit(f":{seed}"))), 1, 8)
+
+
+def with_split(df: DataFrame, label: str = "label", seed: int = RANDOM_STATE, test_size: float = TEST_SIZE) -> DataFrame:
+    """ML5: adds ``is_test``, an exact stratified split: of each class the
+    first ``round(test_size * rows)`` by hash (then id) are test rows.
+
+    No class is sorted in one task. Rows are counted per class and leading
+    three hex digits (4,096 counts a class); the running counts give the one
+    prefix that holds the cut, and only the rows of that prefix are ranked.
+    """
+    h = df.select("*", split_hash(ID, seed).alias("_hash")).withColumn("_prefix", F.substring("_hash", 1, 3))
+    counts = h.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("n"))
+    by_class = Window.partitionBy(label)
+    before = by_class.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    quota = F.round(F.sum("n").over(by_class) * test_size) - F.coalesce(F.sum("n").over(before), F.lit(0))
+    # of each prefix: how many of its rows are test rows (none, some, all)
+    counts = counts.select(label, "_prefix", F.least(F.greatest(quota, F.lit(0)), F.col("n")).alias("_take"), F.col("n").alias("_n"))
+    rows = h.join(F.broadcast(counts), [label, "_prefix"])
+    place = F.row_number().over(Window.partitionBy(label, "_prefix").orderBy("_hash", ID))
+    cut = (F.col("_take") > 0) & (F.col("_take") < F.col("_n"))
+    whole = rows.where(~cut).withColumn("is_test", F.col("_take") > 0)
+    ranked = rows.where(cut).withColumn("is_test", place <= F.col("_take"))
+    return whole.unionByName(ranked).select(*df.columns, "is_test")
 
 
 def train_test_split(df: DataFrame, seed: int = RANDOM_STATE, test_size: float = TEST_SIZE):
-    flag = split_flag(ID, seed, test_size)
-    return df.where(~flag), df.where(flag)
+    """Training and test rows, stratified by the label (a missing target
+    counts as 0, as in ``prepare_features``)."""
+    if "label" in df.columns:
+        split = with_split(df, "label", seed, test_size)
+        return split.where(~F.col("is_test")).drop("is_test"), split.where("is_test").drop("is_test")
+    target = df.withColumn("label", F.coalesce(F.col(TARGET_COL), F.lit(0)).cast("int"))
+    train, test = train_test_split(target, seed, test_size)
+    return train.drop("label"), test.drop("label")

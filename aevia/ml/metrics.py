@@ -22,6 +22,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aevia.session import ensure_checkpoint_dir
+
 MIN_RANGES = 256
 MAX_RANGES = 8192  # offsets table size: bounded, so it is broadcast
 SCORES_PER_RANGE = 200_000  # distinct scores sorted by one window task
@@ -90,6 +92,7 @@ def cumulative_by_score(counts: DataFrame, max_ranges: int | None = None) -> Dat
     # The distinct-score counts are read twice (quantiles, then the sums):
     # write them once to the shared checkpoint folder instead of computing
     # the whole input twice.
+    ensure_checkpoint_dir(counts.sparkSession)
     counts = counts.checkpoint(eager=True)
     if max_ranges is None:
         # about SCORES_PER_RANGE distinct scores per range, within bounds

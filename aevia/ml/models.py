@@ -129,29 +129,46 @@ def train_and_log(spark: SparkSession, estimator, name: str, params: dict, train
     return metrics, model, rec
 
 
+MODELS = ("LogisticRegression", "RandomForest")
+
+
+def prepared_split(features: DataFrame, fit_on: str = "all") -> tuple[DataFrame, DataFrame]:
+    """Training and test rows. ``fit_on="train"`` fits encoders and medians
+    on the training split only."""
+    fitted = train_test_split(features)[0] if fit_on == "train" else None
+    return train_test_split(prepare_features(features, fit_on=fitted)[0])
+
+
+def estimator_for(name: str, train: DataFrame, n_train: int | None = None):
+    """One of ``MODELS``, unfitted; trees get a bin for every value that an
+    encoded category or a count takes."""
+    if name == "LogisticRegression":
+        return logistic_regression(train.count() if n_train is None else n_train)
+    levels = train.agg(*[F.count_distinct(c).alias(c) for c in FEATURE_COLS]).first()
+    return random_forest().setMaxBins(max(32, *[int(n) for n in levels]))
+
+
+def fit_model(name: str, train: DataFrame):
+    return estimator_for(name, train).fit(train)
+
+
 def run_training(spark: SparkSession, features: DataFrame, runs_path: str | None = None,
                  model_path: str | None = None, fit_on: str = "all") -> dict:
     """ML15: prepare, split, train both models, return their metrics (and
     the run rows). ``fit_on="train"`` fits encoders and medians on the
     training split only."""
-    if fit_on == "train":
-        tr_raw, _ = train_test_split(features)
-        prepared, _ = prepare_features(features, fit_on=tr_raw)
-    else:
-        prepared, _ = prepare_features(features)
-    prepared = prepared.cache()
-    train, test = train_test_split(prepared)
-    n_train = train.count()
-    out = {}
-    runs = []
-    for name, est, params in (
-        ("LogisticRegression", logistic_regression(n_train), LR_PARAMS),
-        ("RandomForest", random_forest(), RF_PARAMS),
-    ):
-        metrics, model, rec = train_and_log(spark, est, name, params, train, test, runs_path, model_path)
-        out[name] = {"metrics": metrics, "model": model}
-        runs.append(rec)
-    prepared.unpersist()
+    train, test = (df.cache() for df in prepared_split(features, fit_on))
+    out, runs = {}, []
+    try:
+        n_train = train.count()
+        for name, params in zip(MODELS, (LR_PARAMS, RF_PARAMS)):
+            metrics, model, rec = train_and_log(
+                spark, estimator_for(name, train, n_train), name, params, train, test, runs_path, model_path)
+            out[name] = {"metrics": metrics, "model": model}
+            runs.append(rec)
+    finally:
+        train.unpersist()
+        test.unpersist()
     out["runs"] = runs[0].unionByName(runs[1])
     return out
 

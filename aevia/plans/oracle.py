@@ -530,10 +530,13 @@ def _r(num: str, den: str) -> str:
 
 ORACLE.update({
     "ml_prepared": with_gold(_PREPARED),
-    "ml_split": with_gold(
-        "SELECT safety_report_id, CAST(coalesce(is_serious, 0) AS INTEGER) AS label, "
-        "CASE WHEN substr(md5(safety_report_id || ':42'), 1, 8) < '33333333' THEN 'test' ELSE 'train' END AS split "
-        "FROM g_features"),
+    "ml_split": with_gold("""
+, h AS (SELECT safety_report_id, CAST(coalesce(is_serious, 0) AS INTEGER) AS label,
+               substr(md5(safety_report_id || ':42'), 1, 8) AS hash FROM g_features)
+SELECT safety_report_id, label,
+       CASE WHEN row_number() OVER (PARTITION BY label ORDER BY hash, safety_report_id)
+                 <= round(count(*) OVER (PARTITION BY label) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split
+FROM h"""),
     "ml_metrics_fixed": with_gold(_RULE + f"""
 SELECT {_r('tp + tn', 'tp + fp + tn + fn')} AS accuracy, {_r('tp', 'tp + fp')} AS precision,
        {_r('tp', 'tp + fn')} AS recall, {_r('2 * tp', '2 * tp + fp + fn')} AS f1 FROM c"""),
@@ -554,6 +557,31 @@ SELECT score, round(CAST(cn AS DOUBLE) / tot.nn, 6), round(CAST(cp AS DOUBLE) /
 })
 
 
+# Runs of the rules "serious if at least n drugs are named", n = 1 to 5.
+_RUNS = f"""
+, cuts AS (SELECT unnest([1, 2, 3, 4, 5]) AS cut),
+m AS (SELECT cut, count_if(y AND p) AS tp, count_if(NOT y AND p) AS fp, count_if(NOT y AND NOT p) AS tn, count_if(y AND NOT p) AS fn
+      FROM (SELECT cut, coalesce(is_serious, 0) = 1 AS y, num_drugs >= cut AS p FROM g_features, cuts) GROUP BY cut),
+runs AS (
+  SELECT 'rule-' || cut AS run_id, 'drugs_' || cut AS run_name, 'FINISHED' AS status, '00:0' || cut || ':00' AS start_time,
+         'AtLeast' || cut AS model_type, CAST(cut AS VARCHAR) AS cut,
+         {_r('tp + tn', 'tp + fp + tn + fn')} AS accuracy, {_r('tp', 'tp + fp')} AS precision,
+         {_r('tp', 'tp + fn')} AS recall, {_r('2 * tp', '2 * tp + fp + fn')} AS f1,
+         round((CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0) + CAST(tn AS DOUBLE) / NULLIF(tn + fp, 0)) / 2, 4) AS roc_auc FROM m)
+"""
+_MEASURES = "accuracy, precision, recall, f1, roc_auc"
+
+ORACLE.update({
+    "runs_flat": with_gold(_RUNS + "SELECT * FROM runs"),
+    "best_run": with_gold(
+        _RUNS + f"SELECT run_id, model_type, {_MEASURES} FROM runs ORDER BY roc_auc DESC NULLS LAST, run_id LIMIT 1"),
+    "run_compare": with_gold(
+        _RUNS + f"SELECT model_type, Metric, Score FROM (SELECT model_type, {_MEASURES} FROM runs) "
+        f"UNPIVOT INCLUDE NULLS (Score FOR Metric IN ({_MEASURES}))"),
+    "run_history": with_gold(_RUNS + f"SELECT run_name, model_type, start_time, {_MEASURES} FROM runs"),
+})
+
+
 def _top(name: str, expr: str, frm: str, k: int) -> str:
     return (f"SELECT * FROM (SELECT '{name}' AS list_name, CAST({expr} AS VARCHAR) AS value, count(*) AS count "
             f"FROM {frm} WHERE ({expr}) IS NOT NULL GROUP BY 2 ORDER BY count DESC, value LIMIT {k})")

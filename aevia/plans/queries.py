@@ -301,44 +301,65 @@ def _prepared(c: Ctx) -> DataFrame:
 
 
 def _split(c: Ctx) -> DataFrame:
-    from aevia.ml.features import split_flag
+    from aevia.ml.features import with_split
 
-    return _prepared(c).select(
-        "safety_report_id", "label", F.when(split_flag(), F.lit("test")).otherwise(F.lit("train")).alias("split")
-    )
-
-
-def _trained(c: Ctx) -> dict:
-    from aevia.ml.models import run_training
-
-    return run_training(c.spark, c.gold["ml_features"])
+    return with_split(_prepared(c)).select(
+        "safety_report_id", "label", F.when(F.col("is_test"), "test").otherwise("train").alias("split"))
 
 
 def _predictions(name: str):
     def f(c: Ctx) -> DataFrame:
-        from aevia.ml.features import prepare_features, train_test_split
-        from aevia.ml.models import predict
+        from aevia.ml.models import fit_model, predict, prepared_split
 
-        t = _trained(c)
-        prepared, _ = prepare_features(c.gold["ml_features"])
-        _, test = train_test_split(prepared)
-        return predict(t[name]["model"], test)
+        train, test = prepared_split(c.gold["ml_features"])
+        return predict(fit_model(name, train), test)
 
     return f
 
 
 def _importance(c: Ctx) -> DataFrame:
-    from aevia.ml.models import feature_importances
+    from aevia.ml.models import feature_importances, fit_model, prepared_split
+
+    return feature_importances(c.spark, fit_model("RandomForest", prepared_split(c.gold["ml_features"])[0]))
+
+
+RULE_CUTS = (1, 2, 3, 4, 5)
+
+
+def _rule_runs(c: Ctx) -> DataFrame:
+    """A run table of fixed rules over the feature table: run ``n`` calls a
+    report serious if it names at least ``n`` drugs."""
+    from aevia.schemas import MODEL_RUNS
+
+    rows = c.gold["ml_features"].select(
+        (F.coalesce("is_serious", F.lit(0)) == 1).alias("y"), "num_drugs",
+        F.explode(F.array(*[F.lit(n) for n in RULE_CUTS])).alias("cut")).withColumn("p", F.col("num_drugs") >= F.col("cut"))
+    n = rows.groupBy("cut").agg(
+        F.count_if(F.expr("y and p")).alias("tp"), F.count_if(F.expr("not y and p")).alias("fp"),
+        F.count_if(F.expr("not y and not p")).alias("tn"), F.count_if(F.expr("y and not p")).alias("fn"))
+
+    def ratio(num: str, den: str):
+        return F.round(F.coalesce(F.try_divide(F.expr(num).cast("double"), F.expr(den)), F.lit(0.0)), 4)
 
-    return feature_importances(c.spark, _trained(c)["RandomForest"]["model"])
+    auc = F.round((F.try_divide(F.col("tp").cast("double"), F.expr("tp + fn"))
+                   + F.try_divide(F.col("tn").cast("double"), F.expr("tn + fp"))) / 2, 4)
+    metrics = {"accuracy": ratio("tp + tn", "tp + fp + tn + fn"), "precision": ratio("tp", "tp + fp"),
+               "recall": ratio("tp", "tp + fn"), "f1": ratio("2 * tp", "2 * tp + fp + fn"), "roc_auc": auc}
+    cut = F.col("cut").cast("string")
+    return n.select(
+        F.concat(F.lit("rule-"), cut).alias("run_id"), F.concat(F.lit("drugs_"), cut).alias("run_name"),
+        F.lit("FINISHED").alias("status"), F.timestamp_millis(F.col("cut") * 60_000).alias("start_time"),
+        F.create_map(F.lit("model_type"), F.concat(F.lit("AtLeast"), cut), F.lit("cut"), cut).alias("params"),
+        F.create_map(*[x for m, v in metrics.items() for x in (F.lit(m), v)]).alias("metrics"),
+    ).select(*[f.name for f in MODEL_RUNS.fields])
 
 
 def _runs_query(fn_name: str):
     def f(c: Ctx) -> DataFrame:
         from aevia.ml import models as M
 
-        runs = _trained(c)["runs"]
-        return runs if fn_name == "runs" else getattr(M, fn_name)(runs)
+        out = getattr(M, fn_name)(_rule_runs(c))
+        return out.withColumn("start_time", F.date_format("start_time", "HH:mm:ss")) if "start_time" in out.columns else out
 
     return f
 
@@ -362,7 +383,8 @@ QUERIES.update({
     "ml_logreg": _q(_predictions("LogisticRegression")),
     "ml_forest": _q(_predictions("RandomForest")),
     "ml_importance": _q(_importance),
-    "model_runs": _q(_runs_query("runs")),
+    "model_runs": _q(_rule_runs),
+    "runs_flat": _q(_runs_query("flatten_runs")),
     "best_run": _q(_runs_query("best_run")),
     "run_compare": _q(_runs_query("compare_runs")),
     "run_history": _q(_runs_query("run_history")),

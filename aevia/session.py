@@ -37,9 +37,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     Uses the cluster's ``spark.checkpoint.dir``, else a checkpoint folder
-    already set on the SparkContext. Only when neither exists (local tests)
-    a scratch folder is created and set on the context; the runtime conf
-    itself cannot be changed once the context runs.
+    already set on the SparkContext. When neither exists, a local master
+    (tests) gets a scratch folder of this machine; any other master raises,
+    as a folder of one machine is lost to the others.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cur = sc._jsc.sc().getCheckpointDir()
     if cur.isDefined():
         return cur.get()
+    if sc.master.split("[")[0] != "local":
+        raise RuntimeError("no shared folder: set spark.checkpoint.dir to one that the driver and all executors reach")
     d = tempfile.mkdtemp(prefix="aevia-ckpt-")
     sc.setCheckpointDir(d)
     return sc._jsc.sc().getCheckpointDir().get()

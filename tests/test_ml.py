@@ -75,7 +75,9 @@ def test_prepare_features_and_split(spark):
     assert sexes == {0.0, 1.0, 2.0}  # Female, Male, Unknown in alphabetical order
     train, test = train_test_split(prep)
     assert train.count() + test.count() == 200
-    assert 20 <= test.count() <= 60
+    sizes = {r.label: r["count"] for r in prep.groupBy("label").count().collect()}
+    taken = {r.label: r["count"] for r in test.groupBy("label").count().collect()}
+    assert taken == {y: round(0.2 * n) for y, n in sizes.items()}  # exact in each class
     again = {r.safety_report_id for r in train_test_split(prep)[1].collect()}
     assert again == {r.safety_report_id for r in test.collect()}
 
@@ -141,3 +143,22 @@ def test_training_fit_on_train_split(spark):
     out = M.run_training(spark, Ctx(spark, SF_SMALL).gold["ml_features"], fit_on="train")
     assert out["runs"].count() == 2
     assert all(0.0 <= v <= 1.0 for v in out["RandomForest"]["metrics"].values() if v is not None)
+
+
+def test_shared_folder_is_asked_for(spark, monkeypatch):
+    from aevia import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return self
+
+        def get(self, key, default):
+            return default
+
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {
+            "getCheckpointDir": lambda self: type("O", (), {"isDefined": lambda self: False})()})()})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(type("Session", (), {"sparkContext": Context()})())
