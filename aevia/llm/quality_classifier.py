@@ -36,6 +36,7 @@ NGRAMS = (3, 4)
 EPOCHS = 8
 RATE = 0.3
 EVERY_TEXT = 0  # the feature that every text has
+SAMPLE_WORDS, SCORED_WORDS = 100_000, 400_000  # words kept by a worker while sampling, scoring
 REPEATED = 1  # the feature of a word equal to the one before
 
 
@@ -83,7 +84,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     )
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = cached("op4-features", FeatureTable)
+        table = FeatureTable(SAMPLE_WORDS)
         for batch in batches:
             keys, texts, labels_ = (batch.column(i).to_pylist() for i in range(3))
             out = [np.unique(table.of((t or "").split()), return_counts=True) for t in texts]
@@ -140,7 +141,7 @@ def train(sample: list, seed: int = 7, epochs: int = EPOCHS, rate: float = RATE)
 class WordScores(UnitTable):
     def __init__(self, weight: np.ndarray):
         self.weight = weight
-        super().__init__()
+        super().__init__(SCORED_WORDS)
 
     def reset(self) -> None:
         self.sum, self.number = Grown(np.float64), Grown(np.int64)

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
-UNIT_LIMIT = 900_000
+UNIT_LIMIT = 700_000
 #: Characters handled together: bounds the arrays of one step.
 SLICE_CHARS = 2_000_000
 
@@ -22,10 +22,10 @@ _CACHE: dict = {}
 
 
 def cached(key, make: Callable):
-    """One object per worker process and key, kept from task to task."""
+    """An object kept by the worker process from task to task: one at a
+    time, so that steps that share a worker do not add up."""
     if key not in _CACHE:
-        if len(_CACHE) > 8:
-            _CACHE.clear()
+        _CACHE.clear()
         _CACHE[key] = make()
     return _CACHE[key]
 
