@@ -73,6 +73,14 @@ class Ctx:
         })
 
 
+    def written_silver(self) -> dict[str, DataFrame]:
+        """Silver written once to shared scratch, for queries that read it
+        many times."""
+        root = T.scratch_path(self.spark, "silver")
+        for name, df in S.build_silver(self.bronze).items():
+            T.write_table(df, root, "silver", name)
+        return {name: T.read_table(self.spark, root, "silver", name) for name in T.SILVER}
+
     @cached_property
     def page_folder(self) -> str:
         """Page files of 100 order keys each, some empty, without the key or
@@ -171,8 +179,7 @@ QUERIES: dict[str, Query] = {
     "rep_signal_scatter": _q(lambda c: R.signal_scatter(c.gold["drug_reaction_pairs"])),
     "rep_top_pairs": _q(lambda c: R.top_pairs(c.gold["drug_reaction_pairs"])),
     # profiles
-    "prof_value_counts": _q(lambda c: P.value_count_profile(
-        c.bronze, c.events, c.drugs, c.reactions, c.gold["ml_features"])),
+    "prof_value_counts": _q(lambda c: _value_counts(c)),
     "prof_country_rate": _q(lambda c: P.country_seriousness(c.bronze)),
     "prof_top_values": _q(lambda c: P.top_value_lists(c.bronze, c.drugs, c.reactions)),
     "prof_age_stats": _q(lambda c: P.age_stats(c.events)),
@@ -191,12 +198,22 @@ QUERIES: dict[str, Query] = {
         Q.run_silver_shape(c.events, "adverse_events"))),
     "dq_drugs": _q(lambda c: Q.run_suite(c.drugs, "drugs").unionByName(Q.run_silver_shape(c.drugs, "drugs"))),
     "dq_reactions": _q(lambda c: Q.run_suite(c.reactions, "reactions")),
-    "dq_gold": _q(lambda c: Q.run_gold_suite(c.gold)),
+    "dq_gold": _q(lambda c: Q.run_gold_suite(_gold_of(c.written_silver()))),
     "dq_orphans": _q(lambda c: Q.orphan_check(c.drugs, c.events, "drugs").unionByName(
         Q.orphan_check(c.reactions, c.events, "reactions"))),
 }
 
 
+def _gold_of(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return G.build_gold(silver["adverse_events"], silver["drugs"], silver["reactions"])
+
+
+def _value_counts(c: Ctx) -> DataFrame:
+    s = c.written_silver()
+    events, drugs, reactions = s["adverse_events"], s["drugs"], s["reactions"]
+    return P.value_count_profile(c.bronze, events, drugs, reactions, G.ml_features(events, drugs, reactions))
+
+
 def raw_cols() -> list:
     return [
         F.col("safetyreportid"), F.col("receivedate"), F.col("serious"), F.col("primarysourcecountry"),
