@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from aevia.plans.oracle import ORACLE
 from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -36,10 +37,10 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF_SMALL)
-    rel = con.execute(E.oracle_sql()[key])
+    rel = con.execute(ORACLE[key])
     ocols = [d[0] for d in rel.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(ocols, rel.fetchall())
