@@ -82,7 +82,7 @@ def class_report(df: DataFrame, label: str = "label", prediction: str = "predict
 def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     y = F.col(label).cast("int")
     return df.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg")
+        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
 
 
@@ -144,15 +144,16 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """ML11: (threshold, fpr, tpr) per distinct score, plus the (0, 0)
     start point (threshold null: above every score)."""
-    cum = cumulative_by_score(score_counts(df, label, score))
-    totals = cum.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    p, n = totals.first()
-    pts = cum.select(
-        F.col("score").alias("threshold"),
-        F.round(F.col("cum_neg") / F.lit(float(n)), 6).alias("fpr") if n else F.lit(None).cast("double").alias("fpr"),
-        F.round(F.col("cum_pos") / F.lit(float(p)), 6).alias("tpr") if p else F.lit(None).cast("double").alias("tpr"),
-    )
-    start = cum.limit(1).select(
-        F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return start.unionByName(pts)
+    counts = score_counts(df, label, score)
+    cum = cumulative_by_score(counts)
+    # one row; only the lowest score has all positives and negatives at or above it
+    totals = cum.agg(F.max("cum_pos").alias("P"), F.max("cum_neg").alias("N"))
+
+    def share(part: str, whole: str):
+        return F.round(F.try_divide(F.col(part).cast("double"), F.col(whole)), 6)
+
+    none = F.lit(None).cast("double")
+    start = df.sparkSession.range(1).select(none.alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    # a one-row side joined on a constant: no pass of its own over the input
+    points = cum.withColumn("_one", F.lit(1)).join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one")
+    return start.unionByName(points.select(F.col("score").alias("threshold"), share("cum_neg", "N").alias("fpr"), share("cum_pos", "P").alias("tpr")))

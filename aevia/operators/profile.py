@@ -9,7 +9,7 @@ whole years, so the buffer is bounded by the number of distinct values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aevia.functions import exprs as X
@@ -138,31 +138,21 @@ def drugs_per_report(drugs: DataFrame) -> DataFrame:
 
 
 def age_histogram(events: DataFrame, bins: int = HIST_BINS) -> DataFrame:
-    """AGG13: equal-width histogram of valid ages. The range is one small
-    aggregate (two scalars fetched to the driver); the counts are one
-    grouped aggregation."""
-    a = F.col("patient_age")
-    lo, hi = events.agg(F.min(a), F.max(a)).first()
-    if lo is None:
-        return events.where(F.lit(False)).select(
-            F.lit(0).alias("bin"), F.lit(0.0).alias("lower"), F.lit(0.0).alias("upper"), F.lit(0).cast("long").alias("count")
-        )
-    width = (float(hi) - float(lo)) / bins
-    idx = (
-        F.least(F.floor((a - F.lit(float(lo))) / F.lit(width)), F.lit(bins - 1)).cast("int")
-        if width > 0
-        else F.lit(0)
-    )
-    return (
-        events.where(a.isNotNull())
-        .groupBy(idx.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select(
-            "bin",
-            F.round(F.lit(float(lo)) + F.col("bin") * F.lit(width), 6).alias("lower"),
-            F.round(F.lit(float(lo)) + (F.col("bin") + 1) * F.lit(width), 6).alias("upper"),
-            "count",
-        )
+    """AGG13: equal-width histogram of valid ages. Reports are counted per
+    age first, in the one pass over the input; the range and the bins come
+    from those counts (whole years, 121 rows at most)."""
+    ages = events.where(F.col("patient_age").isNotNull()).groupBy("patient_age").agg(F.count(F.lit(1)).alias("n"))
+    every = Window.partitionBy(F.lit(1))
+    low = F.min("patient_age").over(every).cast("double")
+    width = (F.max("patient_age").over(every).cast("double") - low) / bins
+    binned = ages.select("n", "patient_age", low.alias("low"), width.alias("width")).select(
+        "n", "low", "width", F.when(F.col("width") > 0, F.least(
+            F.floor((F.col("patient_age") - F.col("low")) / F.col("width")), F.lit(bins - 1))).otherwise(0).cast("int").alias("bin"))
+    return binned.groupBy("bin", "low", "width").agg(F.sum("n").alias("count")).select(
+        "bin",
+        F.round(F.col("low") + F.col("bin") * F.col("width"), 6).alias("lower"),
+        F.round(F.col("low") + (F.col("bin") + 1) * F.col("width"), 6).alias("upper"),
+        "count",
     )
 
 
@@ -262,14 +252,13 @@ def shapes(tables: dict[str, DataFrame]) -> DataFrame:
 def key_presence(raw_json: DataFrame, col: str = "props") -> DataFrame:
     """AGG16: per top-level JSON key, the number and percentage of records
     that carry it. Keys come from ``json_object_keys`` on the raw text; the
-    record total is one count."""
-    total = raw_json.count()
-    keys = raw_json.select(F.explode(F.json_object_keys(F.col(col))).alias("key"))
-    return keys.groupBy("key").agg(F.count(F.lit(1)).alias("records")).select(
-        "key",
-        "records",
-        F.round(F.col("records") / F.lit(float(max(total, 1))) * 100, 2).alias("pct"),
-    )
+    record total is carried through the same pass, as the count of a null
+    key that every record gets."""
+    keys = F.array_distinct(F.coalesce(F.json_object_keys(F.col(col)), F.array().cast("array<string>")))
+    marked = raw_json.select(F.explode(F.concat(F.array(F.lit(None).cast("string")), keys)).alias("key"))
+    counts = marked.groupBy("key").agg(F.count(F.lit(1)).alias("records"))
+    total = F.max(F.when(F.col("key").isNull(), F.col("records"))).over(Window.partitionBy(F.lit(1)))
+    return counts.select("key", "records", F.round(F.col("records") / total * 100, 2).alias("pct")).where(F.col("key").isNotNull())
 
 
 # The top-k lists of the exploration notebooks.

@@ -128,14 +128,15 @@ def signal_pairs(pairs: DataFrame, min_count: int = 10, n: int = 20) -> DataFram
 
 
 def signal_pairs_sql(spark, pairs: DataFrame, min_count: int = 10, n: int = 20) -> DataFrame:
-    """TOP8 through Spark SQL over a temp view, as a warehouse user writes it."""
-    pairs.createOrReplaceTempView("drug_reaction_pairs")
+    """TOP8 through Spark SQL, as a warehouse user writes it; the frame is an
+    argument, so no view stays behind in the session."""
     return spark.sql(
-        f"""
+        """
         SELECT drug_name, reaction_name, pair_count, seriousness_rate_pct
-        FROM drug_reaction_pairs
-        WHERE pair_count >= {int(min_count)}
+        FROM {pairs}
+        WHERE pair_count >= {min_count}
         ORDER BY seriousness_rate_pct DESC NULLS LAST, drug_name, reaction_name
-        LIMIT {int(n)}
-        """
+        LIMIT {n}
+        """,
+        pairs=pairs, min_count=int(min_count), n=int(n),
     )
