@@ -130,7 +130,7 @@ class ByteBpe:
             ids = bind(self.ranks, lambda ranks: self.fold(F.col("word"), ranks))
             entries = F.map_from_entries(F.collect_list(F.struct("word", ids.alias("ids"))))
             known = counts.where(F.col("n") >= least).groupBy(bucket_of(F.col("word"), WORD_BUCKETS)).agg(F.to_json(entries))
-            for b, text in known.toLocalIterator():
+            for b, text in known.collect():
                 dealt[b] = text
         return parsed("[" + ",".join(dealt) + "]", "array<int>")
 
