@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from aevia.llm.common import bind, read_bytes, saved
 
-TABLE_WORDS = 450_000
-RANK_BUCKETS = 1 << 16
-WORD_BUCKETS = 1 << 17
+TABLE_WORDS = 200_000
+RANK_BUCKETS = 1 << 14
+WORD_BUCKETS = 1 << 16
 #: White space as the pattern's engine has it; ``\\s`` of Java is ASCII only.
 WHITE = r"\s\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
