@@ -20,8 +20,9 @@ of word shingles. The result is the connected component of every document.
 4. In a block, members are first held against the cell's leader; those that
    link to it are one component and need not be compared with each other.
    The others are queries: T-occurrence search over inverted lists of
-   shingles (``divide_skip``). Queries of a cell with several blocks are also
-   sent to its other blocks.
+   shingles (``divide_skip``). Queries of a cell with several blocks are dealt
+   into parts of a block's size, and every part is also held against every
+   other block: a task has one block and one part, however large the cell.
 5. Links (a spanning forest per block) are joined up into components by
    repeated least-neighbour contraction, one checkpointed table a round.
 
@@ -202,7 +203,7 @@ def _star_and_search(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 
 def _search_other_blocks(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Queries of other blocks against the members of this one."""
+    """A part of the queries of other blocks against the members of this one."""
     frame = frame.drop_duplicates("key").sort_values(["query", "key"], ignore_index=True)
     sets, keys, asks = _unpack(frame), frame["key"].tolist(), frame["query"].tolist()
     forest = Forest(len(frame))
@@ -244,6 +245,27 @@ def cells_of(rows: DataFrame) -> DataFrame:
     return members.join(sizes, "leader")
 
 
+#: What a task of the second search holds: a block and a part of the queries.
+SECOND_SEARCH = ["leader", "block", "part"]
+
+
+def other_blocks(first: DataFrame) -> DataFrame:
+    """(leader, block, part, key, shingles, query): the rows of the second
+    search. Every query goes, with its part, to the other blocks of its cell,
+    every member stays in its block, once a part."""
+    members = first.where("other is null").drop("other")
+    parts = F.ceil(F.sum(F.length("shingles")) / (8 * BLOCK_SHINGLES)).cast("int")
+    asked = saved(members.where("query").groupBy("leader").agg(parts.alias("parts")), "op3-queries")
+    part = F.pmod(F.xxhash64("key", F.lit("part")), F.col("parts")).cast("int")
+    stay = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(
+        F.col("block").alias("block"), p.alias("part"), F.lit(False).alias("query")))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("block"))
+    go = F.transform(others, lambda b: F.struct(b.alias("block"), part.alias("part"), F.lit(True).alias("query")))
+    return members.join(asked, "leader").select(
+        "leader", "key", "shingles", F.explode(F.when(F.col("query"), F.concat(stay, go)).otherwise(stay)).alias("b"),
+    ).select("leader", "key", "shingles", "b.*")
+
+
 def find_links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """(key, other): links that make up the components of the classes."""
     placed = (
@@ -275,12 +297,7 @@ def find_links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> Da
     first = saved(members.groupBy("leader", "block").applyInPandas(
         lambda f: _star_and_search(f, percent),
         "leader binary, block int, blocks int, key binary, shingles binary, query boolean, other binary"), "op3-links")
-    again = first.where("other is null").select(
-        "leader", "key", "shingles", F.explode(F.when(
-            F.col("query"), F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(
-                b.alias("block"), (b != F.col("block")).alias("query"))))
-            .otherwise(F.array(F.struct("block", F.lit(False).alias("query"))))).alias("b")).select("leader", "key", "shingles", "b.*")
-    more = again.groupBy("leader", "block").applyInPandas(
+    more = other_blocks(first).groupBy(*SECOND_SEARCH).applyInPandas(
         lambda f: _search_other_blocks(f, percent), "key binary, other binary")
     return first.where("other is not null").select("key", "other").unionByName(more)
 

@@ -83,6 +83,29 @@ def test_near_copies(llm, monkeypatch, seed, block):
     assert Counter(tuple(r) for r in got.collect()) == brute_components(docs)
 
 
+def test_second_search_holds_a_block_and_a_part(llm, monkeypatch):
+    """A cell of which no member links to the leader: no task holds more than
+    about two blocks, and every query meets every member of the other blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 400)
+    rng, blocks = np.random.default_rng(11), 16
+    rows = [(b"leader", n % blocks, blocks, b"%04d" % n, rng.integers(0, 2**60, 20, dtype=np.uint64).tobytes(), True, None)
+            for n in range(20 * blocks)]
+    first = llm.createDataFrame(rows, "leader binary, block int, blocks int, key binary, shingles binary, query boolean, other binary")
+    held = Counter()
+    met = set()
+    groups = {}
+    for r in jaccard_join.other_blocks(first).collect():
+        group = tuple(r[c] for c in jaccard_join.SECOND_SEARCH)
+        held[group] += len(r["shingles"]) // 8
+        groups.setdefault(group, ([], []))[r["query"]].append(bytes(r["key"]))
+    assert max(held.values()) <= 3 * 400 and sum(len(r[4]) // 8 for r in rows) == 16 * 400
+    for members, queries in groups.values():
+        assert not set(members) & set(queries)
+        met.update((q, m) for q in queries for m in members)
+    home = {r[3]: r[1] for r in rows}
+    assert met == {(q, m) for q in home for m in home if home[q] != home[m]}
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(4)
     for _ in range(3000):
