@@ -9,7 +9,8 @@ of word shingles. The result is the connected component of every document.
    (|A| + |B|)`` elements. Sizes fall into bands; in a band the hash range is
    cut into more than ``k`` parts, so linked sets agree on whole parts, and
    the hash of a part's elements is a signature they share. Spare parts cover
-   empty ones (which agree without saying anything); a set with more empty
+   empty ones (which agree without saying anything), as many as the least set
+   of the band is expected to leave; a set with more empty
    parts than spares is cut again by another hash, so every linked pair
    shares the signature of a part that holds elements. A set near the next
    band is signed in both. Unlike single shingles, parts are shared by near
@@ -33,6 +34,7 @@ is between two saved tables, which AQE splits; a hot cell is many blocks.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,6 +70,29 @@ def most_differences(n, percent: int):
     return n * (100 - percent) // (100 + percent)
 
 
+@functools.cache
+def parts_for(n: int, k: int) -> int:
+    """The least number of parts, ``k + 1`` and spares, of which a set of
+    ``n`` elements is expected to leave no more than the spares empty, with
+    two standard deviations to go; at least ``2 + k // 32`` are spares. For
+    sets too small for any number, that least."""
+    least = k + 3 + k // 32
+
+    def fits(parts: int) -> bool:
+        load = n / parts
+        empty = parts * np.exp(-load)
+        spread = parts * max(0.0, np.exp(-load) - (1 + load) * np.exp(-2 * load))
+        return empty + 2 * np.sqrt(spread) <= parts - k - 1
+
+    low, high = least, max(least, 4 * n)
+    if not fits(high):
+        return least
+    while low < high:  # more parts leave more of them filled
+        mid = (low + high) // 2
+        low, high = (low, mid) if fits(mid) else (mid + 1, high)
+    return low
+
+
 def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Hashes such that any linked sets share one at least (equal sets
     aside, which are one class)."""
@@ -84,8 +109,8 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         k = int(most_differences(2 * int(np.ceil(high)), percent))
         if k == 0:
             continue  # linked sets this small are equal
-        spare = 2 + k // 32
-        parts = k + 1 + spare
+        parts = parts_for(-(-percent * int(np.floor(low)) // 100), k)
+        spare = parts - k - 1
         for cut in range(MAX_CUTS):
             seed = np.uint64((band << 8 | cut) + 1)
             h = np.sort(mix(s ^ mix(np.full(1, seed, np.uint64))))

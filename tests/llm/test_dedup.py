@@ -118,6 +118,27 @@ def test_linked_sets_share_a_signature():
                 assert len(np.intersect1d(jaccard_join.signatures(a), jaccard_join.signatures(b))), (len(a), len(b))
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_long_sets_need_few_cuts(percent):
+    """No long set is posted under its single shingles, nor cut many times."""
+    rng = np.random.default_rng(12)
+    for n in (300, 1000, 1500, 2500, 5000, 8000, 10_000):
+        for _ in range(5):
+            s = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            assert len(jaccard_join.signatures(s, percent)) <= 3 * n, n
+
+
+def test_linked_sets_share_a_signature_at_80():
+    rng = np.random.default_rng(13)
+    for _ in range(1500):
+        n = int(rng.integers(1, 60)) if rng.random() < 0.8 else int(rng.integers(60, 2500))
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        drop = int(rng.integers(0, max(1, n // 5) + 1))
+        b = np.union1d(a[drop:], rng.integers(0, 2**63, int(rng.integers(0, max(1, n // 5) + 1)), dtype=np.uint64))
+        if (len(b) != len(a) or (a != b).any()) and jaccard_join.links(a, b, 80):
+            assert len(np.intersect1d(jaccard_join.signatures(a, 80), jaccard_join.signatures(b, 80))), (len(a), len(b))
+
+
 def test_divide_skip():
     rng = np.random.default_rng(5)
     for _ in range(40):
