@@ -264,12 +264,10 @@ def _load_audit(c: Ctx) -> DataFrame:
 
 
 def _month_array_file(c: Ctx) -> DataFrame:
-    """One month as the source writes it: an array over many lines."""
+    """One month as the source writes it: arrays over many lines."""
     root = T.scratch_path(c.spark, "array")
     month = testbed.parse_receivedate(c.bronze).where(B.in_month("_d", 1996, 2))
-    each = F.to_json(F.struct(*[f.name for f in BRONZE_REPORT.fields]))
-    whole = month.agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(each), ",\n"), F.lit("\n]")).alias("value"))
-    whole.write.text(B.period_path(root, 1996, 2))
+    B.write_array_files(month.withColumn("year", F.lit(1996)).withColumn("month", F.lit(2)), root)
     return B.read_bronze(c.spark, root, 1996, 2).select(*raw_cols(), "year", "month")
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from aevia.schemas import BRONZE_REPORT, PAGE_BODY
+from aevia.sources.storage import scratch_path
 
 PARTITIONED_BRONZE = StructType(
     list(BRONZE_REPORT.fields) + [StructField("year", IntegerType()), StructField("month", IntegerType())]
@@ -56,6 +57,7 @@ AUDIT = ["files", "pages", "empty_pages", "missing_pages", "corrupt", "reports"]
 REPORT_COLS = [f.name for f in BRONZE_REPORT.fields]
 CORRUPT = "_corrupt"
 PAGE_SIZE = 100  # reports a page of the source API
+ARRAY_REPORTS = 20_000  # reports an array file
 
 
 def land_bronze(reports: DataFrame, root: str, year: int | None = None, month: int | None = None) -> str:
@@ -86,6 +88,31 @@ def land_bronze(reports: DataFrame, root: str, year: int | None = None, month: i
     return period_path(root, year, month) if year is not None else root
 
 
+def write_array_files(reports: DataFrame, root: str, file_reports: int = ARRAY_REPORTS) -> str:
+    """Reports as the source writes them: every month (``year``, ``month``
+    of ``reports``) as array files over many lines, of about ``file_reports``
+    reports each, so neither a task nor a value grows with the month. A month
+    without reports has no file."""
+    spark, texts = reports.sparkSession, scratch_path(reports.sparkSession, "array-reports")
+    rows = reports.select("year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
+                          F.to_json(F.struct(*REPORT_COLS)).alias("report"))
+    rows.write.parquet(texts)
+    rows = spark.read.schema(rows.schema).parquet(texts)
+    # one row a month
+    months = rows.groupBy(F.col("year").alias("y"), F.col("month").alias("m")).agg(
+        F.ceil(F.count(F.lit(1)) / file_reports).cast("int").alias("files"))
+    # row numbers of written files, so a task run again deals alike; they spread copies of one report too
+    dealt = rows.withColumn("n", F.monotonically_increasing_id()).join(
+        F.broadcast(months), F.col("year").eqNullSafe(F.col("y")) & F.col("month").eqNullSafe(F.col("m"))).withColumn(
+        "file", F.pmod(F.xxhash64("n"), F.col("files")))
+    arrays = dealt.groupBy("year", "month", "file").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list("report"), ",\n"), F.lit("\n]")).alias("value"))
+    # one array a file
+    arrays.select("value", "year", "month").write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy(
+        "year", "month").text(root)
+    return root
+
+
 def read_bronze_raw(spark: SparkSession, root: str, year: int | None = None, month: int | None = None) -> DataFrame:
     """Reports of one month (or all) with ``_corrupt``, the text of what did
     not parse (null for a report), and ``_file``.
@@ -101,9 +128,11 @@ def read_bronze_raw(spark: SparkSession, root: str, year: int | None = None, mon
         where = (F.col("year") == int(year)) & (F.col("month") == int(month))
     reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
     lines = reader.json(root).where(where).withColumn("_file", F.input_file_name())
-    # files of the import format, one a month; all else is read by line alone
-    opening = spark.read.schema("value string, year int, month int").text(root).where(where)
-    arrays = [r[0] for r in opening.where(F.trim("value") == "[").select(F.input_file_name()).distinct().collect()]
+    # files of the import format, some a month; all else is read by line alone
+    opening = spark.read.text(root)
+    if "year" not in opening.columns:  # no period has been written
+        return lines
+    arrays = [r[0] for r in opening.where(where).where(F.trim("value") == "[").select(F.input_file_name()).distinct().collect()]
     if not arrays:
         return lines
     whole = reader.option("multiLine", True).option("basePath", root).json(arrays).withColumn("_file", F.input_file_name())

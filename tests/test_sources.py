@@ -94,6 +94,23 @@ def test_json_array_month_files(spark, tmp_path):
     raw.unpersist()
 
 
+def test_array_files_hold_a_bounded_number_of_reports(spark, bronze_of, scratch):
+    rows = [report(f"{m}-{n}") for m in (1, 2, 12) for n in range(100 * m)] + [report("copy")] * 300
+    months = F.when(F.col("safetyreportid") == "copy", 3).otherwise(F.split("safetyreportid", "-")[0].cast("int"))
+    reports = bronze_of(rows).repartition(3).withColumn("year", F.lit(2024)).withColumn("month", months)
+    B.write_array_files(reports, scratch, file_reports=50)
+    raw = B.read_bronze_raw(spark, scratch)
+    held = raw.groupBy("_file").agg(F.count("*").alias("n"), F.max("month").alias("month"), F.count_if(F.col("safetyreportid").isNull()).alias("bad")).collect()
+    assert max(r.n for r in held) <= 100 and not any(r.bad for r in held)
+    assert {m: sum(r.month == m for r in held) > 1 for m in (1, 2, 3, 12)} == {1: True, 2: True, 3: True, 12: True}
+    cols = ["safetyreportid", "year", "month"]
+    got = sorted(map(tuple, B.read_bronze(spark, scratch).select(cols).collect()))
+    assert got == sorted(map(tuple, reports.select(cols).collect()))
+    empty = f"{scratch}-empty"
+    B.write_array_files(reports.where("false"), empty)
+    assert B.read_bronze(spark, empty, 2024, 1).collect() == []
+
+
 def test_read_or_empty_and_publish(spark, scratch):
     from aevia.schemas import GOLD
 
