@@ -9,7 +9,8 @@ same fixed threshold.
 Only DataFrame functions. Counting explodes bucket numbers and combines them
 map-side into at most ``BUCKETS`` rows a task; the log ratios (one double a
 bucket, whatever the corpus) go back as a literal array, so scoring and the
-base counts are one map-only pass over the text. No document is shuffled.
+base counts are one map-only pass over the text. Documents are shuffled only
+to meet the trusted ids, and only where those are too many to broadcast.
 """
 
 from __future__ import annotations
@@ -20,24 +21,20 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aevia.llm.common import bind, words_of
+from aevia.llm.common import bind, saved, words_of
 
 BUCKETS = 1 << 16
 PRIOR = 100
 MIN_SCORE = -0.1
-TRUSTED_ROWS = 20_000
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``rows`` ids of documents labelled good, chosen by hash: the
-    bounded sample that the trusted target is fitted on."""
-    return (
-        labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    )
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The ids of all documents labelled good, each once, saved, so that the
+    join with the documents can be split at a hot id."""
+    return saved(labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "op6-trusted")
 
 
 def hashed(words: Column) -> Column:
@@ -57,9 +54,9 @@ def bucket(h: Column, buckets: int) -> Column:
 def fit_log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log(target share / raw share) by bucket. ``PRIOR`` n-grams of the
     overall mix are added to every bucket, so buckets that are rarely met say
-    little. All documents count as raw."""
+    little. All documents count as raw, all trusted ones as target."""
     grams = (
-        docs.join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("good"))), "doc_id", "left")
+        docs.join(trusted.select("doc_id", F.lit(1).alias("good")), "doc_id", "left")
         .select(F.coalesce("good", F.lit(0)).alias("good"), hashed(words_of(F.col("text"))).alias("h"))
         .select("good", F.explode(F.concat("h", joined(F.col("h"), 1))).alias("h"))
     )

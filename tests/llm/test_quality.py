@@ -47,6 +47,11 @@ def test_log_ratios_count_every_document(llm):
     assert np.allclose(ratios, [np.log((4 + 100 * 0.4) / ((10 + 100) * 0.4))])
 
 
+def test_every_good_label_is_trusted(llm):
+    labels = llm.range(30_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert quality_rules.trusted_ids(labels.unionByName(labels)).count() == 30_000
+
+
 def test_rules_keep_clean_documents(llm):
     labels = {r["doc_id"]: r["quality"] for r in llm.read.parquet(SF + "/labels.parquet").collect()}
     docs = {r["doc_id"]: r["text"] for r in llm.read.parquet(SF + "/documents.parquet").collect()}
