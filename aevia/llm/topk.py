@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aevia.llm.common import saved
+
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 4_096
 FIRST_DEPTH = 8
@@ -83,22 +85,34 @@ def whole_vectors(embeddings: DataFrame, scale: int = 256) -> DataFrame:
     )
 
 
+def distinct_vectors(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
+    """``(vec_id, x, dim, is_query, copies)``, saved: rows that repeat both id
+    and vector as one, with how many of them are candidates. No query can
+    list more than ``k`` of equal rows, so these are at most ``k``."""
+    rows = vectors.select("vec_id", "x", is_query.alias("is_query"))
+    return saved(rows.groupBy("vec_id", "x").agg(
+        F.bool_or("is_query").alias("is_query"), F.least(F.count("*"), F.lit(k)).cast("int").alias("copies"),
+    ).select("vec_id", "x", F.size("x").alias("dim"), "is_query", "copies"), "op10-vectors")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SHARD_ROWS,
           block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row of
     ``vectors(vec_id, x)`` where ``is_query`` holds, the ``k`` rows of other
     ids with the highest inner product (all, if fewer), ties to the smaller
     id. Vectors are compared with vectors of the same length only. Rows that
-    repeat an id are candidates each and queries each; equal queries give
+    repeat an id are candidates each and queries each (of rows that repeat the
+    vector too, the ``k`` that a query can list are held); equal queries give
     their answer once. An empty table gives no rows."""
-    vectors = vectors.select("vec_id", "x", F.size("x").alias("dim"), is_query.alias("is_query"))
-    n, n_queries = vectors.agg(F.count("*"), F.count_if("is_query")).first()
+    vectors = distinct_vectors(vectors, is_query, k)
+    n, n_queries = vectors.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count_if("is_query")).first()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n_queries // block_rows))
     spread = F.xxhash64("vec_id", "x")
-    rows = vectors.select(
-        F.lit(False).alias("is_query"), "vec_id", "x", "dim", F.pmod(spread, F.lit(shards)).cast("int").alias("shard"),
+    each = vectors.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    rows = each.select(
+        F.lit(False).alias("is_query"), "vec_id", "x", "dim", F.pmod(F.xxhash64("vec_id", "x", "copy"), F.lit(shards)).cast("int").alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    queries = vectors.where("is_query").dropDuplicates(["vec_id", "x"]).select(
+    queries = vectors.where("is_query").select(
         F.lit(True).alias("is_query"), "vec_id", "x", "dim",
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         F.pmod(spread, F.lit(blocks)).cast("int").alias("block"))

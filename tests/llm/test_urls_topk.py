@@ -86,6 +86,15 @@ def test_topk_edges(llm):
     assert none.collect() == []
 
 
+def test_repeated_rows_are_k_candidates(llm):
+    rows = [(0, [1.0, 2.0]), (100, [0.5, 0.5])] + [(7, [3.0, 1.0])] * 400 + [(n, [1.0, n / 8]) for n in range(1, 7)]
+    table = topk.whole_vectors(llm.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3))
+    held = topk.distinct_vectors(table, F.col("vec_id") % 50 == 0, 5)
+    assert {r["vec_id"]: r["copies"] for r in held.collect()} == {i: 5 if i == 7 else 1 for i, _ in rows}
+    got = topk.top_k(table, F.col("vec_id") % 50 == 0, 5, 4, 1)
+    assert {tuple(r) for r in got.collect()} == brute(rows, 5)
+
+
 def test_threshold_algorithm_stops_early_and_is_exact():
     rng = np.random.default_rng(9)
     x = rng.integers(-50, 50, (4000, 2)).astype(float)
