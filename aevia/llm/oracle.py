@@ -55,3 +55,18 @@ s AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """
+
+ORACLE["op11_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, payload_bytes,
+         translate(array_to_string(list_transform(range(0, 8), lambda i: to_base(CAST('0x' || substr(h, CAST(5 * i + 1 AS INTEGER), 5) AS BIGINT), 32, 4)), ''),
+                   '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest
+  FROM p),
+r AS (
+  SELECT *, row_number() OVER w AS place, first_value(page_id) OVER w AS original
+  FROM d WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN original END AS refers_to
+FROM r
+"""

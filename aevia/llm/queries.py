@@ -17,6 +17,7 @@ from aevia.llm import (
     token_output,
     topk,
     url_filters,
+    warc,
 )
 from aevia.llm.common import read_table, saved, use_package, vocabulary_path
 from aevia.sources.storage import scratch_path
@@ -80,6 +81,14 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_package(spark)
+    raw, own = scratch_path(spark, "op11-raw"), scratch_path(spark, "op11-own")
+    warc.write_responses(read_table(spark, sf_dir, "pages"), raw)
+    warc.deduplicate(spark, raw, own, min_bytes=0)
+    return warc.resolved(spark, own).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_substring_dedup": op2_substring_dedup,
@@ -91,4 +100,5 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_url_filters": op9_url_filters,
     "op10_exact_topk": op10_exact_topk,
+    "op11_warc": op11_warc,
 }
