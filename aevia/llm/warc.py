@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from aevia.llm.common import saved
 
 FILE_BYTES = 8 << 20  # compressed bytes after which a file is closed
-LEVEL = 2
+LEVEL = 6
 CAPTURED = "2000-01-01T00:00:00Z"  # pages say no time of capture
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PAGE_FIELD = "X-Page-Id"
