@@ -18,6 +18,7 @@ from aevia.llm import (
     topk,
     url_filters,
     warc,
+    whitening,
 )
 from aevia.llm.common import read_table, saved, use_package, vocabulary_path
 from aevia.sources.storage import scratch_path
@@ -89,6 +90,11 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(spark, own).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_package(spark)
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_substring_dedup": op2_substring_dedup,
@@ -101,4 +107,5 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_exact_topk": op10_exact_topk,
     "op11_warc": op11_warc,
+    "op12_whitening": op12_whitening,
 }
