@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aevia.llm import (
+    alignment,
     byte_bpe,
     jaccard_join,
     packing,
@@ -95,6 +96,12 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(read_table(spark, sf_dir, "embeddings"), components=32)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_package(spark)
+    return alignment.align(read_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"),
+                           vocabulary_path("piece_bpe_32k.model"))[0]
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_substring_dedup": op2_substring_dedup,
@@ -108,4 +115,5 @@ QUERIES = {
     "op10_exact_topk": op10_exact_topk,
     "op11_warc": op11_warc,
     "op12_whitening": op12_whitening,
+    "op13_alignment": op13_alignment,
 }
