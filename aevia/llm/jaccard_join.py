@@ -353,6 +353,22 @@ def components(pairs: DataFrame) -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+def keyed_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``jaccard_components`` with the key of each row's set (null for an
+    empty one)."""
+    rows = saved(shingle_rows(docs, words, percent), "op3-sets")
+    classes = saved(rows.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("least")), "op3-classes")
+    pairs = find_links(docs, rows, words, percent)
+    # a node is a class, by its least id; classes that rows of one id belong to stay apart
+    ids = classes.select("key", F.struct("least", "key").alias("a"))
+    pairs = pairs.join(ids, "key").join(ids.select(F.col("key").alias("other"), F.col("a").alias("b")), "other")
+    found = components(pairs.select("a", "b")).select(F.col("node.key").alias("key"), F.col("component.least").alias("component"))
+    named = saved(  # classes that link with no other are their own component
+        classes.join(found, "key", "left").select("key", F.coalesce("component", "least").alias("component")), "op3-components")
+    return rows.join(named, "key", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), "key")
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles,
     component_id (the least doc_id reachable by links, itself included).
@@ -363,14 +379,34 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     by their own text; rows without an id link with nothing. An empty table gives an empty result; further columns
     are not read.
     """
-    rows = saved(shingle_rows(docs, words, percent), "op3-sets")
-    classes = saved(rows.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("least")), "op3-classes")
-    pairs = find_links(docs, rows, words, percent)
-    ids = classes.select("key", F.col("least").alias("a"))
-    pairs = pairs.join(ids, "key").join(ids.select(F.col("key").alias("other"), F.col("a").alias("b")), "other")
-    found = components(pairs.select("a", "b"))
-    named = saved(  # classes that link with no other are their own component
-        classes.join(found, classes["least"] == found["node"], "left")
-        .select("key", F.coalesce("component", "least").alias("component")), "op3-components")
-    return rows.join(named, "key", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return keyed_components(docs, words, percent).drop("key")
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the
+    document of least id stays, with all its columns.
+
+    Every row is judged by its own text, also where ids repeat: of rows with
+    the component's id the least set stays, of rows that repeat id and set the
+    greatest row (null columns first, then in order of the columns). Rows
+    without an id, and those without words, link with nothing and stay, as
+    often as they come. An empty table gives an empty result.
+    """
+    found = saved(keyed_components(docs, words, percent).select("doc_id", "key", "component_id"), "op3-found")
+    known = found.where("doc_id is not null and key is not null")
+    ids = known.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("least"))
+    one = ids.where("n = 1 and least < doc_id").select("doc_id")
+    # ids that several rows share: these rows are told apart by their sets
+    shared = saved(ids.where("n > 1").select("doc_id"), "op3-shared-ids")
+    left = known.where("component_id = doc_id").join(shared, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("key").alias("key"))
+
+    @F.pandas_udf("binary")
+    def set_key(texts: pd.Series) -> pd.Series:
+        sets = (shingle_set(word_hashes((t or b"").lower().split()), words) for t in texts)
+        return pd.Series([xxhash.xxh3_128_digest(s.astype("<u8").tobytes()) if len(s) else None for s in sets])
+
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"))
+    plain = rows.join(one.unionByName(shared), "doc_id", "left_anti").select("doc.*")
+    told = rows.join(shared, "doc_id", "left_semi").withColumn("key", set_key(F.col("doc.text").cast("binary")))
+    chosen = told.join(left, ["doc_id", "key"]).groupBy("doc_id", "key").agg(F.max("doc").alias("doc"))
+    return plain.unionByName(told.where("key is null").select("doc.*")).unionByName(chosen.select("doc.*"))

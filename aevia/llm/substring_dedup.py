@@ -81,8 +81,8 @@ def anchored(docs: DataFrame, size: int) -> DataFrame:
 
 
 def candidates(docs: DataFrame, size: int) -> DataFrame:
-    """``docs(doc_id, digest, text, shared)`` with the windows at shared
-    anchors: their starts and the two halves of their names."""
+    """``docs(doc_id, digest, text, shared, copies)`` with the windows at
+    shared anchors: their starts and the two halves of their names."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shared = batch.column(3)
@@ -97,14 +97,14 @@ def candidates(docs: DataFrame, size: int) -> DataFrame:
                 starts, doc = starts[keep], doc[keep]
                 one, two = (RangeHashes(b.words, second).of(starts, starts + size) for second in (False, True))
                 yield pa.RecordBatch.from_arrays([
-                    *(batch.column(i).slice(first, len(run)) for i in range(3)),
+                    *(batch.column(i).slice(first, len(run)) for i in (0, 1, 2, 4)),
                     _lists(starts - b.begin[doc], doc, len(run), pa.int32()),
                     _lists(one.view(np.int64), doc, len(run), pa.int64()),
                     _lists(two.view(np.int64), doc, len(run), pa.int64())],
-                    names=["doc_id", "digest", "text", "starts", "one", "two"]).filter(pa.array(meant, pa.bool_()))
+                    names=["doc_id", "digest", "text", "copies", "starts", "one", "two"]).filter(pa.array(meant, pa.bool_()))
 
     return docs.mapInArrow(
-        rows, "doc_id long, digest binary, text binary, starts array<int>, one array<long>, two array<long>")
+        rows, "doc_id long, digest binary, text binary, copies long, starts array<int>, one array<long>, two array<long>")
 
 
 def covered(n: int, starts: list[int], size: int) -> np.ndarray:
@@ -136,20 +136,24 @@ def rebuilt(docs: DataFrame, size: int) -> DataFrame:
 def find_repeats(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """What to remove from ``docs(doc_id, text)``: one row per row of
     ``docs`` (doc_id, n_words, digest, first: the least id of its word
-    sequence), and one per document that keeps a part (doc_id, digest,
-    n_removed, kept)."""
+    sequence), and one per id and word sequence that keeps a part, however
+    many rows repeat them (doc_id, digest, n_removed, kept)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     rows = saved(anchored(docs, size), "op2-anchors")
-    classes = saved(rows.where("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first")), "op2-classes")
+    # of each word sequence the least id, and how many rows repeat both
+    classes = saved(
+        rows.where("doc_id is not null").groupBy("digest", "doc_id").agg(F.count("*").alias("n"))
+        .groupBy("digest").agg(F.min(F.struct("doc_id", "n")).alias("least"))
+        .select("digest", F.col("least.doc_id").alias("first"), F.col("least.n").alias("copies")), "op2-classes")
     spread = rows.where("doc_id is not null").select("doc_id", "digest", F.xxhash64("digest").alias("class"), F.explode("anchors").alias("anchor"))
     shared = saved(
         spread.groupBy("anchor").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a != b").select("anchor"),
         "op2-shared")
-    firsts = classes.select("digest", F.col("first").alias("doc_id"))
+    firsts = classes.select("digest", F.col("first").alias("doc_id"), "copies")
     held = spread.join(shared, "anchor").groupBy("doc_id", "digest").agg(F.collect_set("anchor").alias("shared"))
-    held = held.join(firsts, ["digest", "doc_id"], "left_semi")
+    held = held.join(firsts, ["digest", "doc_id"])
     windows = saved(candidates(
-        docs.join(held, "doc_id").select("doc_id", "digest", "text", "shared"), size), "op2-windows")
+        docs.join(held, "doc_id").select("doc_id", "digest", "text", "shared", "copies"), size), "op2-windows")
     each = windows.select("doc_id", "digest", F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select("doc_id", "digest", "w.*")
     least = saved(
         each.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
@@ -158,8 +162,11 @@ def find_repeats(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFr
         each.join(least, ["one", "two"]).where("least < doc_id")
         .groupBy("doc_id", "digest").agg(F.collect_set("starts").alias("gone"))
     )
-    parts = windows.join(gone, ["doc_id", "digest"]).select("doc_id", "digest", "text", "gone")
-    return rows.drop("anchors").join(classes, "digest", "left"), saved(rebuilt(parts, size), "op2-rebuilt")
+    # rows that repeat id and words are rebuilt once, for all of them
+    once = windows.where("copies = 1").select("doc_id", "digest", "text").unionByName(
+        windows.where("copies > 1").groupBy("doc_id", "digest").agg(F.min("text").alias("text")))
+    parts = once.join(gone, ["doc_id", "digest"]).select("doc_id", "digest", "text", "gone")
+    return rows.drop("anchors").join(classes.drop("copies"), "digest", "left"), saved(rebuilt(parts, size), "op2-rebuilt")
 
 
 def substring_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -168,7 +175,8 @@ def substring_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
     Words are ``[^\\x20\\x09-\\x0D]+``; null and empty texts have none. Rows
     without an id lose nothing and take nothing away; rows that repeat an id
-    are judged each and never against each other. An empty table gives an
+    are judged each, by their own text, and never against each other: as many
+    rows come out as go in. An empty table gives an
     empty result; further columns are not read.
     """
     rows, parts = find_repeats(docs, size)

@@ -188,3 +188,33 @@ def test_shared_passages(llm, size):
     docs = near_copies(8, groups=5, copies=12)
     got = substring_dedup.substring_dedup(llm.createDataFrame(docs, "doc_id long, text string").repartition(3), size)
     assert Counter(tuple(r) for r in got.collect()) == brute_dedup(docs, size)
+
+
+@pytest.mark.parametrize("copies", [3, 300])
+def test_repeated_rows_that_lose_a_part(llm, copies):
+    """As many rows come out as go in, and each is judged."""
+    rng = random.Random(21)
+    passage = prose(rng, 60)
+    docs = [(1, passage + " first tail"), (5, "head words " + passage + " other tail"), (7, "x " + passage)]
+    rows = [docs[0]] + [docs[1]] * copies + [docs[2], docs[2], (5, "another text of five"), (None, passage), (None, passage)]
+    rows += [(5, docs[1][1].replace(" ", "  "))] * 2  # the same words
+    frame = llm.createDataFrame([(i, t, "kept", i, b"digest", 1) for i, t in rows],
+                                "doc_id long, text string, kept string, copies long, digest binary, n long").repartition(3)
+    got = Counter(tuple(r) for r in substring_dedup.substring_dedup(frame).collect())
+    assert got == brute_dedup(rows) and sum(got.values()) == len(rows)
+
+
+@pytest.mark.parametrize("copies", [2, 300])
+def test_keep_one_of_rows_that_share_ids(llm, empty, copies):
+    """Of every component one row stays, also where ids repeat."""
+    rng = random.Random(22)
+    a, b, c, d = (prose(rng, 80) for _ in range(4))
+    near = a.rsplit(" ", 1)[0] + " end"
+    rows = [(5, a)] * copies + [(7, a)] * 2 + [(7, b), (9, near), (9, c), (2, d), (4, d + " "), (6, a + " more"), (8, None), (8, ""), (8, " ")]
+    rows += [(None, a), (None, a), (10, "Ab"), (10, "aB"), (11, "ab")]
+    frame = llm.createDataFrame([(i, t, "k", 1, "d") for i, t in rows], "doc_id long, text string, key string, n long, doc string").repartition(3)
+    kept = jaccard_join.keep_one(frame)
+    assert kept.dtypes == frame.dtypes
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert got == Counter([(5, a), (7, b), (9, c), (2, d), (8, None), (8, ""), (8, " "), (None, a), (None, a), (10, "aB")])
+    assert jaccard_join.keep_one(empty).collect() == []
