@@ -12,29 +12,32 @@ from aevia.llm.common import read_table, saved, use_package, vocabulary_path, wo
 
 
 def stage_quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones, accepts."""
+    """Documents that the classifier, fitted on the labelled ones, accepts:
+    every row by its own text, null and empty texts as well."""
     use_package(spark)
     model = quality_classifier.fit(docs, read_table(spark, sf_dir, "labels"))
     return quality_classifier.score(docs, model).where("score >= 0.5").select("doc.*")
 
 
 def stage_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep."""
+    """Documents that the rules keep; null and empty texts go."""
     trusted = quality_rules.trusted_ids(read_table(spark, sf_dir, "labels"))
     ratios = quality_rules.fit_log_ratios(docs, trusted)
     return quality_rules.quality_rules(docs, ratios, carry=True).where("kept").select("doc.*")
 
 
 def stage_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of every group of near copies."""
+    """One document, that of least id, of every group of near copies. Rows
+    that share an id are judged each by its own text; rows without an id or
+    without words stay (see ``jaccard_join.keep_one``)."""
     use_package(spark)
-    found = jaccard_join.jaccard_components(docs)
-    return docs.join(found.where("component_id < doc_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    return jaccard_join.keep_one(docs)
 
 
 def stage_substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the words of repeated passages; a document that
-    loses words has the kept ones joined by one space."""
+    loses words has the kept ones joined by one space. As many rows come out
+    as go in, repeated ones too; rows without an id lose nothing."""
     use_package(spark)
     rows, parts = substring_dedup.find_repeats(docs)
     whole = rows.where((F.col("first") < F.col("doc_id")) & (F.col("n_words") >= substring_dedup.WINDOW))
@@ -49,7 +52,8 @@ def stage_substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents and their places in sequences; an empty
+    table gives none."""
     use_package(spark)
     return packing.best_fit_packing(docs, vocabulary_path("word_bpe_49k.json"), end_id=1, capacity=4096)
 
