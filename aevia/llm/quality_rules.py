@@ -9,8 +9,8 @@ same fixed threshold.
 Only DataFrame functions. Counting explodes bucket numbers and combines them
 map-side into at most ``BUCKETS`` rows a task; the log ratios (one double a
 bucket, whatever the corpus) go back as a literal array, so scoring and the
-base counts are one map-only pass over the text. Documents are shuffled only
-to meet the trusted ids, and only where those are too many to broadcast.
+base counts are one map-only pass over the text. Only documents that a bitmap
+filter of the trusted ids lets through are shuffled, to meet these ids.
 """
 
 from __future__ import annotations
@@ -51,20 +51,48 @@ def bucket(h: Column, buckets: int) -> Column:
     return F.pmod(h, F.lit(buckets)).cast("int")
 
 
+#: Bits of the filter of trusted ids: 16 MB in all, whatever the corpus.
+FILTER_BITS = 1 << 27
+PIECE_BITS = 32_768  # of one bitmap of the SQL functions
+
+
+def perhaps_trusted(docs: DataFrame, trusted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``docs`` whose id may be trusted: all that are, and few
+    others. The ids' hashes are set in bitmaps of a fixed total size (a proven
+    bound, so they are broadcast), and the texts of other documents never
+    leave their task."""
+    def place(doc_id: Column) -> Column:
+        return F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(bits))
+
+    at = place(F.col("doc_id"))
+    pieces = trusted.select(at.alias("at")).groupBy(F.floor(F.col("at") / PIECE_BITS).alias("piece")).agg(
+        F.bitmap_construct_agg((F.col("at") % PIECE_BITS).cast("long")).alias("bitmap"))
+    rows = docs.select("doc_id", "text", at.alias("at")).withColumn("piece", F.floor(F.col("at") / PIECE_BITS))
+    bit = (F.col("at") % PIECE_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), bit % 8 + 1)) != 0
+    return rows.join(F.broadcast(pieces), "piece").where(held).select("doc_id", "text")
+
+
+def bucket_counts(texts: DataFrame, buckets: int) -> list[int]:
+    """How many words and word pairs of ``texts(text)`` fall into each
+    bucket."""
+    grams = texts.select(hashed(words_of(F.col("text"))).alias("h")).select(
+        F.explode(F.concat("h", joined(F.col("h"), 1))).alias("h"))
+    out = [0] * buckets
+    for b, n in grams.groupBy(bucket(F.col("h"), buckets).alias("b")).agg(F.count("*").alias("n")).collect():
+        out[b] = n
+    return out
+
+
 def fit_log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log(target share / raw share) by bucket. ``PRIOR`` n-grams of the
     overall mix are added to every bucket, so buckets that are rarely met say
     little. All documents count as raw, all trusted ones as target."""
-    grams = (
-        docs.join(trusted.select("doc_id", F.lit(1).alias("good")), "doc_id", "left")
-        .select(F.coalesce("good", F.lit(0)).alias("good"), hashed(words_of(F.col("text"))).alias("h"))
-        .select("good", F.explode(F.concat("h", joined(F.col("h"), 1))).alias("h"))
-    )
-    counts = grams.groupBy(bucket(F.col("h"), buckets).alias("b")).agg(
-        F.count("*").alias("raw"), F.sum("good").alias("target")).collect()
-    raw, target = [0] * buckets, [0] * buckets
-    for b, r, t in counts:
-        raw[b], target[b] = r, t
+    raw = bucket_counts(docs, buckets)
+    # a merge join at every size: both sides are split at a hot id
+    good = perhaps_trusted(docs, trusted).join(trusted.select(F.col("doc_id").cast("long")).hint("merge"), "doc_id", "left_semi")
+    target = bucket_counts(good, buckets)
     if not sum(target):
         return [0.0] * buckets
     share = sum(target) / sum(raw)

@@ -41,6 +41,7 @@ HEAD = struct.Struct("<4sIIIIQQ")
 BLOCK = np.dtype([("document", "<u4"), ("id", "<u8"), ("byte", "<u8")])
 BLOCK_IDS = 1 << 16
 SHARD_IDS = 1 << 22
+TABLE_UNITS = 900_000  # words a worker keeps: no other step shares it
 
 
 def bits_for(vocabulary: int) -> int:
@@ -121,7 +122,7 @@ def write_packed(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, v
     tokenizer, bits = read_bytes(tokenizer_path), bits_for(vocabulary)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, "byte", end_id)
+        enc = encoder(tokenizer, "byte", end_id, TABLE_UNITS)
         partition = TaskContext.get().partitionId()
         first, doc_ids, counts, parts, size = 0, [], [], [], 0
 

@@ -227,5 +227,5 @@ class Encoder:
         return ids, np.diff(last, prepend=0) + 1
 
 
-def encoder(tokenizer_json: bytes, level: str, end_id: int) -> Encoder:
-    return cached((hash(tokenizer_json), level, end_id), lambda: Encoder(tokenizer_json, level, end_id))
+def encoder(tokenizer_json: bytes, level: str, end_id: int, limit: int = UNIT_LIMIT) -> Encoder:
+    return cached((hash(tokenizer_json), level, end_id, limit), lambda: Encoder(tokenizer_json, level, end_id, limit))

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from aevia.llm import quality_classifier, quality_rules
 from aevia.llm.queries import op4_quality_classifier, op6_quality_rules
@@ -47,6 +48,48 @@ def test_log_ratios_count_every_document(llm):
     assert np.allclose(ratios, [np.log((4 + 100 * 0.4) / ((10 + 100) * 0.4))])
 
 
+def test_scores_against_plain_python(llm, odd):
+    """Counts, log ratios, score and verdict, worked out in plain Python from
+    the buckets that Spark hashes the n-grams to."""
+    from pyspark.sql import functions as F
+
+    from aevia.llm.common import words_of as spark_words
+
+    good = [23, 31, 45]
+    trusted = llm.createDataFrame([(i,) for i in good], "doc_id long")
+    n_buckets = 512
+    ratios = quality_rules.fit_log_ratios(odd, trusted, n_buckets)
+    h = quality_rules.hashed(spark_words(F.col("text")))
+    grams = odd.select("doc_id", "text", F.transform(h, lambda x: quality_rules.bucket(x, n_buckets)).alias("one"),
+                       F.transform(quality_rules.joined(h, 1), lambda x: quality_rules.bucket(x, n_buckets)).alias("two")).collect()
+    raw, target = Counter(), Counter()
+    for r in grams:
+        raw.update(r["one"] + r["two"])
+        if r["doc_id"] in good:
+            target.update(r["one"] + r["two"])
+    share = sum(target.values()) / sum(raw.values())
+    plain = [np.log((target[b] + 100 * share) / ((raw[b] + 100) * share)) for b in range(n_buckets)]
+    assert np.allclose(ratios, plain)
+    got = Counter()
+    for r in quality_rules.quality_rules(odd, ratios).collect():
+        got[r["doc_id"], r["n_words"], round(r["score"], 9), r["kept"]] += 1
+    want = Counter()
+    for r in grams:
+        hits = r["one"] + r["two"]
+        score = sum(plain[b] for b in hits) / len(hits) if hits else 0.0
+        want[r["doc_id"], len(r["one"]), round(score, 9), not base(r["text"])[-1] and score >= -0.1] += 1
+    assert got == want
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 27])
+def test_filter_lets_every_trusted_document_through(llm, bits):
+    docs = llm.range(3000).selectExpr("id as doc_id", "'t' as text")
+    trusted = llm.range(0, 6000, 7).selectExpr("id as doc_id")
+    ids = {r["doc_id"] for r in quality_rules.perhaps_trusted(docs, trusted, bits).collect()}
+    assert ids >= set(range(0, 3000, 7)) and len(ids) < 600
+    assert quality_rules.perhaps_trusted(docs, trusted.where("false"), bits).count() == 0
+
+
 def test_every_good_label_is_trusted(llm):
     labels = llm.range(30_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
     assert quality_rules.trusted_ids(labels.unionByName(labels)).count() == 30_000
