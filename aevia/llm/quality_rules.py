@@ -51,8 +51,8 @@ def bucket(h: Column, buckets: int) -> Column:
     return F.pmod(h, F.lit(buckets)).cast("int")
 
 
-#: Bits of the filter of trusted ids: 16 MB in all, whatever the corpus.
-FILTER_BITS = 1 << 27
+#: Bits of the filter of trusted ids: 4 MB in all, whatever the corpus.
+FILTER_BITS = 1 << 25
 PIECE_BITS = 32_768  # of one bitmap of the SQL functions
 
 
@@ -91,7 +91,8 @@ def fit_log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS)
     little. All documents count as raw, all trusted ones as target."""
     raw = bucket_counts(docs, buckets)
     # a merge join at every size: both sides are split at a hot id
-    good = perhaps_trusted(docs, trusted).join(trusted.select(F.col("doc_id").cast("long")).hint("merge"), "doc_id", "left_semi")
+    # (an inner join with distinct ids: a semi join would be moved below the filter)
+    good = perhaps_trusted(docs, trusted).join(trusted.select(F.col("doc_id").cast("long")).hint("merge"), "doc_id")
     target = bucket_counts(good, buckets)
     if not sum(target):
         return [0.0] * buckets
