@@ -474,6 +474,25 @@ silver_reactions AS (
   SELECT * FROM first_reactions WHERE safety_report_id IS NULL OR CAST(safety_report_id AS BIGINT) % 10 <> 0)
 """)
 
+# Three run months, the second of them run again: the last version that is
+# still there wins.
+_RESEND_SILVER = (
+    SILVER_CTES.replace("silver_events AS (", "first_events AS (").replace("silver_reactions AS (", "first_reactions AS (")
+    .replace("silver_drugs AS (", "first_drugs AS (")
+    + """,
+held AS (
+  SELECT *, CAST(safety_report_id AS BIGINT) AS k,
+         CASE WHEN CAST(safety_report_id AS BIGINT) % 3 = 0 THEN 3
+              WHEN CAST(safety_report_id AS BIGINT) % 5 = 0 AND CAST(safety_report_id AS BIGINT) % 25 <> 0 THEN 2 ELSE 1 END AS v
+  FROM first_events),
+silver_events AS (
+  SELECT * EXCLUDE (k, v) REPLACE (CAST(CASE v WHEN 3 THEN 0 WHEN 2 THEN 1 ELSE is_serious END AS INTEGER) AS is_serious) FROM held),
+silver_reactions AS (
+  SELECT r.* FROM first_reactions r LEFT JOIN held USING (safety_report_id) WHERE NOT coalesce(v = 2 AND k % 10 = 0, false)),
+silver_drugs AS (
+  SELECT d.* FROM first_drugs d LEFT JOIN held USING (safety_report_id) WHERE NOT coalesce(v = 3 AND k % 6 = 0, false))
+""")
+
 _JOB_GOLD = {
     "safety_overview": "g_overview", "monthly_trends": "g_monthly", "drug_summary": "g_drugs",
     "reaction_summary": "g_reactions", "drug_reaction_pairs": "g_pairs", "ml_features": "g_features",
@@ -481,6 +500,7 @@ _JOB_GOLD = {
 
 ORACLE.update({
     **{f"job_gold_{n}": f"WITH {_JOB_SILVER},\n{GOLD_CTES}\nSELECT * FROM {g}" for n, g in _JOB_GOLD.items()},
+    **{f"resend_gold_{n}": f"WITH {_RESEND_SILVER},\n{GOLD_CTES}\nSELECT * FROM {g}" for n, g in _JOB_GOLD.items()},
     "page_files": with_all(f""", {_PAGES}
 SELECT page * 100 AS skip, {_RAW_COLS} FROM pg JOIN page_list USING (page) WHERE NOT cut AND NOT nothing"""),
     "load_audit": with_all(f""", {_PAGES}

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from aevia.operators import gold as G
 from aevia.operators import quality as Q
 from aevia.operators import silver as S
+from aevia.plans.incremental_gold import update_gold
 from aevia.sources import bronze as B
 from aevia.sources import storage as T
 
@@ -49,7 +50,8 @@ def run_bronze_to_silver(spark: SparkSession, bronze_root: str, lake_root: str,
         src = raw.where(F.col(B.CORRUPT).isNull()).select(*B.REPORT_COLS)
         tables = S.build_silver(src.dropDuplicates() if dedupe_reports else src)
         if mode == "dynamic":
-            return {n: T.replace_period(tables[n], lake_root, "silver", n, period) for n in SILVER_TABLES}
+            paths = T.together(spark, [lambda n=n: T.replace_period(tables[n], lake_root, "silver", n, period) for n in SILVER_TABLES])
+            return dict(zip(SILVER_TABLES, paths))
         return {n: T.write_table(tables[n], lake_root, "silver", n) for n in SILVER_TABLES}
     finally:
         raw.unpersist()
@@ -109,14 +111,21 @@ def run_quality_gate(spark: SparkSession, lake_root: str, period: str | None = N
     return _store_and_enforce(spark, results, f"{lake_root.rstrip('/')}/quality/silver_checks", period or "all")
 
 
-def run_build_gold(spark: SparkSession, lake_root: str) -> dict[str, str]:
-    """JOB2: silver -> the six gold tables. The periods are merged once, into
-    ``silver_current``; all gold tables read that."""
+def run_build_gold(spark: SparkSession, lake_root: str, period: str | None = None) -> dict[str, str]:
+    """JOB2: silver -> the six gold tables.
+
+    With the run ``period``, gold takes up what the period adds and drops what
+    it supersedes (``incremental_gold``). Without, all is built anew: the
+    periods are merged once, into ``silver_current``, which all gold tables
+    read."""
+    if period is not None:
+        return update_gold(spark, lake_root, period)
     for name, df in read_silver(spark, lake_root).items():
         T.write_table(df, lake_root, "silver_current", name)
     s = {n: T.read_table(spark, lake_root, "silver_current", n) for n in SILVER_TABLES}
     gold = G.build_gold(s["adverse_events"], s["drugs"], s["reactions"])
-    return {name: T.write_table(gold[name], lake_root, "gold", name) for name in T.GOLD_ORDER}
+    paths = T.together(spark, [lambda n=n: T.write_table(gold[n], lake_root, "gold", n) for n in T.GOLD_ORDER])
+    return dict(zip(T.GOLD_ORDER, paths))
 
 
 def _store_and_enforce(spark: SparkSession, results: DataFrame, path: str, period: str) -> list[dict]:
@@ -153,7 +162,7 @@ def run_pipeline(spark: SparkSession, year: int, month: int, bronze_root: str, l
         result["bronze"] = B.land_bronze(B.read_pages(spark, pages_path), bronze_root, year, month)
     result["silver"] = run_bronze_to_silver(spark, bronze_root, lake_root, year, month, mode=mode)
     result["quality"] = run_quality_gate(spark, lake_root, result["period"] if mode == "dynamic" else None)
-    result["gold"] = run_build_gold(spark, lake_root)
+    result["gold"] = run_build_gold(spark, lake_root, result["period"] if mode == "dynamic" else None)
     # output invariants of the written gold tables gate publishing
     result["gold_quality"] = run_gold_gate(spark, lake_root, result["period"])
     if publish_root:

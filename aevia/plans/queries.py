@@ -110,9 +110,37 @@ class Ctx:
         })
         B.land_bronze(again, f"{root}/bronze", 2024, 2)
         for month in (1, 2):
-            PL.run_bronze_to_silver(self.spark, f"{root}/bronze", root, 2024, month)
-            PL.run_quality_gate(self.spark, root, PL.period_of(2024, month))
-        PL.run_build_gold(self.spark, root)
+            self._run_month(root, month)
+        PL.run_gold_gate(self.spark, root)
+        return root
+
+    def _run_month(self, root: str, month: int) -> None:
+        PL.run_bronze_to_silver(self.spark, f"{root}/bronze", root, 2024, month)
+        PL.run_quality_gate(self.spark, root, PL.period_of(2024, month))
+        PL.run_build_gold(self.spark, root, PL.period_of(2024, month))
+
+    @cached_property
+    def resend_lake(self) -> str:
+        """The monthly job over three run months, one of them run again: all
+        reports, then every fifth order sent again (serious, every tenth
+        without reactions), then every third (not serious, every sixth without
+        drugs); then the second month comes again without every 25th order,
+        whose first version holds again."""
+        root = T.scratch_path(self.spark, "resend")
+        key = F.col("_order_key")
+
+        def second(rows: DataFrame) -> DataFrame:
+            return rows.withColumns({"serious": F.lit("1"), "patient": F.col("patient").withField(
+                "reaction", F.when(key % 10 != 0, F.col("patient.reaction")))})
+
+        B.land_bronze(self.bronze, f"{root}/bronze", 2024, 1)
+        B.land_bronze(second(self.bronze_keyed.where(key % 5 == 0)), f"{root}/bronze", 2024, 2)
+        B.land_bronze(self.bronze_keyed.where(key % 3 == 0).withColumns({"serious": F.lit("2"), "patient": F.col("patient").withField(
+            "drug", F.when(key % 6 != 0, F.col("patient.drug")))}), f"{root}/bronze", 2024, 3)
+        for month in (1, 2, 3):
+            self._run_month(root, month)
+        B.land_bronze(second(self.bronze_keyed.where((key % 5 == 0) & (key % 25 != 0))), f"{root}/bronze", 2024, 2)
+        self._run_month(root, 2)
         PL.run_gold_gate(self.spark, root)
         return root
 
@@ -280,6 +308,7 @@ def _catalog_roundtrip(c: Ctx) -> DataFrame:
 
 QUERIES.update({
     **{f"job_gold_{name}": _q(lambda c, n=name: PL.read_gold(c.spark, c.job_lake)[n]) for name in T.GOLD_ORDER},
+    **{f"resend_gold_{name}": _q(lambda c, n=name: PL.read_gold(c.spark, c.resend_lake)[n]) for name in T.GOLD_ORDER},
     "page_files": _q(_page_files),
     "load_audit": _q(_load_audit),
     "month_array_file": _q(_month_array_file),

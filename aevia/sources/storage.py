@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -62,6 +65,26 @@ def has_parquet_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def together(spark: SparkSession, jobs: Iterable[Callable], threads: int = 4) -> list:
+    """The results of independent jobs, a few of them on the cluster at a
+    time: small tables do not wait for one another. An error of one is
+    raised when all are done."""
+    with ThreadPoolExecutor(threads) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [f.result() for f in futures]
+
+
+def list_periods(spark: SparkSession, path: str) -> list[str]:
+    """The periods of a period-partitioned table, ascending (a folder
+    listing; a missing table has none)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(hpath)]
+    return sorted(n.removeprefix("period=") for n in names if n.startswith("period="))
+
+
 def write_table(df: DataFrame, root: str, layer: str, name: str, partition_by: list[str] | None = None,
                 dynamic: bool = True) -> str:
     """SNK2 / SNK3: overwrite one table. With ``partition_by`` and
