@@ -614,3 +614,18 @@ ORACLE["prof_top_values"] = with_all("\nUNION ALL\n".join([
     _top("silver_drugs", "drug_name", "silver_drugs", 15),
     _top("silver_reactions", "reaction_name", "silver_reactions", 15),
 ]))
+
+# Sizes of the split that both trained models log; each is one run, however
+# often it is trained, and its saved model gives the logged metrics again.
+ORACLE.update({
+    "ml_fixed_score": with_gold(f"""
+, x AS ({_PREPARED}),
+z AS (SELECT safety_report_id, label, 1 / (1 + exp(-(-1.0::DOUBLE + 0.01::DOUBLE * patient_age - 0.25::DOUBLE * patient_sex
+        + 0.03::DOUBLE * country + 0.4::DOUBLE * num_drugs - 0.3::DOUBLE * num_reactions + 0.75::DOUBLE * has_suspect_drug))) AS p FROM x)
+SELECT safety_report_id, label, CAST(p > 0.5 AS INTEGER) AS prediction, round(p, 6) AS score FROM z"""),
+    "ml_registry": with_gold("""
+, y AS (SELECT coalesce(is_serious, 0) AS label, count(*) AS n FROM g_features GROUP BY 1),
+t AS (SELECT CAST(sum(n) AS BIGINT) AS n, CAST(sum(round(n * 0.2::DOUBLE)) AS BIGINT) AS test FROM y)
+SELECT model_type, n - test AS train_size, test AS test_size, CAST(1 AS BIGINT) AS runs, true AS same_metrics
+FROM t, (VALUES ('LogisticRegression'), ('RandomForest')) m(model_type)"""),
+})

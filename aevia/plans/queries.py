@@ -351,20 +351,53 @@ def _split(c: Ctx) -> DataFrame:
         "safety_report_id", "label", F.when(F.col("is_test"), "test").otherwise("train").alias("split"))
 
 
+def _trained(c: Ctx, name: str):
+    """A registry of its own with one run, and the run's id."""
+    from aevia.ml.registry import Registry, write_matrix
+
+    root = T.scratch_path(c.spark, "ml")
+    registry = Registry(c.spark, root)
+    return registry, registry.train(name, write_matrix(c.gold["ml_features"], root))
+
+
 def _predictions(name: str):
     def f(c: Ctx) -> DataFrame:
-        from aevia.ml.models import fit_model, predict, prepared_split
-
-        train, test = prepared_split(c.gold["ml_features"])
-        return predict(fit_model(name, train), test)
+        registry, run = _trained(c, name)
+        return registry.predictions(run)
 
     return f
 
 
 def _importance(c: Ctx) -> DataFrame:
-    from aevia.ml.models import feature_importances, fit_model, prepared_split
+    from aevia.ml.models import feature_importances
+
+    registry, run = _trained(c, "RandomForest")
+    return feature_importances(c.spark, registry.model(run, "RandomForest"))
+
+
+def _registry(c: Ctx) -> DataFrame:
+    """Both models trained and logged twice; the second time finds the runs.
+    Saved models must give the logged metrics again."""
+    from aevia.ml.registry import Registry, train_models
+
+    root = T.scratch_path(c.spark, "registry")
+    first, again = (train_models(c.spark, c.gold["ml_features"], root) for _ in range(2))
+    if first != again:
+        raise ValueError("the same training gave other runs")
+    return Registry(c.spark, root).audit(f"{root}/matrix")
+
+
+#: Fixed coefficients of the scored key.
+FIXED_WEIGHTS = {"patient_age": 0.01, "patient_sex": -0.25, "country": 0.03, "num_drugs": 0.4, "num_reactions": -0.3,
+                 "has_suspect_drug": 0.75}
+FIXED_INTERCEPT = -1.0
+
+
+def _fixed_score(c: Ctx) -> DataFrame:
+    from aevia.ml.registry import logistic_score
 
-    return feature_importances(c.spark, fit_model("RandomForest", prepared_split(c.gold["ml_features"])[0]))
+    scored = logistic_score(_prepared(c), FIXED_WEIGHTS, FIXED_INTERCEPT)
+    return scored.withColumn("score", F.round("score", 6))
 
 
 RULE_CUTS = (1, 2, 3, 4, 5)
@@ -427,6 +460,8 @@ QUERIES.update({
     "ml_logreg": _q(_predictions("LogisticRegression")),
     "ml_forest": _q(_predictions("RandomForest")),
     "ml_importance": _q(_importance),
+    "ml_fixed_score": _q(_fixed_score),
+    "ml_registry": _q(_registry),
     "model_runs": _q(_rule_runs),
     "runs_flat": _q(_runs_query("flatten_runs")),
     "best_run": _q(_runs_query("best_run")),
