@@ -620,7 +620,7 @@ ORACLE["prof_top_values"] = with_all("\nUNION ALL\n".join([
 ORACLE.update({
     "ml_fixed_score": with_gold(f"""
 , x AS ({_PREPARED}),
-z AS (SELECT safety_report_id, label, 1 / (1 + exp(-(-1.0::DOUBLE + 0.01::DOUBLE * patient_age - 0.25::DOUBLE * patient_sex
+z AS (SELECT safety_report_id, label, 1 / (1 + exp(-(-1.0003::DOUBLE + 0.01::DOUBLE * patient_age - 0.25::DOUBLE * patient_sex
         + 0.03::DOUBLE * country + 0.4::DOUBLE * num_drugs - 0.3::DOUBLE * num_reactions + 0.75::DOUBLE * has_suspect_drug))) AS p FROM x)
 SELECT safety_report_id, label, CAST(p > 0.5 AS INTEGER) AS prediction, round(p, 6) AS score FROM z"""),
     "ml_registry": with_gold("""
