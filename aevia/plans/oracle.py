@@ -501,6 +501,7 @@ _JOB_GOLD = {
 ORACLE.update({
     **{f"job_gold_{n}": f"WITH {_JOB_SILVER},\n{GOLD_CTES}\nSELECT * FROM {g}" for n, g in _JOB_GOLD.items()},
     **{f"resend_gold_{n}": f"WITH {_RESEND_SILVER},\n{GOLD_CTES}\nSELECT * FROM {g}" for n, g in _JOB_GOLD.items()},
+    **{f"bucketed_{n}": with_gold(f"SELECT * FROM {_JOB_GOLD[n]}") for n in ("drug_summary", "drug_reaction_pairs", "ml_features")},
     "page_files": with_all(f""", {_PAGES}
 SELECT page * 100 AS skip, {_RAW_COLS} FROM pg JOIN page_list USING (page) WHERE NOT cut AND NOT nothing"""),
     "load_audit": with_all(f""", {_PAGES}

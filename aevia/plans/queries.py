@@ -145,6 +145,16 @@ class Ctx:
         return root
 
 
+    @cached_property
+    def bucketed_silver(self) -> dict[str, DataFrame]:
+        """Silver published as catalog tables bucketed by report id."""
+        path = T.scratch_path(self.spark, "bucketed")
+        database = path.rsplit("/", 1)[1].replace("-", "_")
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        T.publish_silver(self.spark, S.build_silver(self.bronze), database, buckets, location=path)
+        return T.read_published_silver(self.spark, database)
+
+
 class _LazyTables(Mapping):
     def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
         self._builders, self._built = builders, {}
@@ -232,8 +242,8 @@ QUERIES: dict[str, Query] = {
 }
 
 
-def _gold_of(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return G.build_gold(silver["adverse_events"], silver["drugs"], silver["reactions"])
+def _gold_of(silver: dict[str, DataFrame], side_by_side: bool = False) -> dict[str, DataFrame]:
+    return G.build_gold(silver["adverse_events"], silver["drugs"], silver["reactions"], side_by_side)
 
 
 def _value_counts(c: Ctx) -> DataFrame:
@@ -309,6 +319,8 @@ def _catalog_roundtrip(c: Ctx) -> DataFrame:
 QUERIES.update({
     **{f"job_gold_{name}": _q(lambda c, n=name: PL.read_gold(c.spark, c.job_lake)[n]) for name in T.GOLD_ORDER},
     **{f"resend_gold_{name}": _q(lambda c, n=name: PL.read_gold(c.spark, c.resend_lake)[n]) for name in T.GOLD_ORDER},
+    **{f"bucketed_{name}": _q(lambda c, n=name: _gold_of(c.bucketed_silver, side_by_side=True)[n])
+       for name in ("drug_summary", "drug_reaction_pairs", "ml_features")},
     "page_files": _q(_page_files),
     "load_audit": _q(_load_audit),
     "month_array_file": _q(_month_array_file),

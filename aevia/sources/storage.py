@@ -153,6 +153,32 @@ def publish_to_catalog(spark: SparkSession, gold: dict[str, DataFrame], database
     return names
 
 
+#: The column that all silver tables are laid out by.
+REPORT_ID = "safety_report_id"
+
+
+def publish_silver(spark: SparkSession, silver: dict[str, DataFrame], database: str, buckets: int,
+                   location: str | None = None) -> list[str]:
+    """SNK4 for silver: catalog tables bucketed and sorted by report id, all
+    into the same number of ``buckets``. Joins and aggregates by report id
+    then read matching buckets side by side and exchange nothing. Rows are
+    brought together by bucket before the write, so a bucket is one file (a
+    hot id's bucket is as large as its rows)."""
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
+    names = []
+    for name, df in silver.items():
+        (df.repartition(buckets, REPORT_ID).write.mode("overwrite").format("parquet").bucketBy(buckets, REPORT_ID)
+         .sortBy(REPORT_ID).saveAsTable(f"{database}.{name}"))
+        names.append(f"{database}.{name}")
+    return names
+
+
+def read_published_silver(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """The bucketed silver tables, in their declared columns."""
+    return {n: spark.table(f"{database}.{n}").select(*schema.fieldNames()) for n, schema in SILVER.items()}
+
+
 def copy_parquet_table(spark: SparkSession, src: str, dst: str) -> str:
     """SNK6 re-aimed: move a Parquet table between storage URIs with Spark
     (distributed read and write; data files only). A source without

@@ -78,3 +78,37 @@ def test_dedup_combines_map_side(spark, bronze_of):
     plan = _plan(ev)
     assert "partial_max" in plan
     assert ev.count() == 2
+
+
+def test_bucketed_silver_is_read_side_by_side(spark, scratch, bronze_of):
+    """Over silver tables bucketed by report id nothing is exchanged by it:
+    the summaries and features read matching buckets, and the pairs exchange
+    crowded reports alone."""
+    import re
+
+    from aevia.sources import storage as T
+
+    hot = [report("hot", serious="1", drugs=[(f"d{i}", "1", None) for i in range(25)], reactions=["x", "y"])]
+    rest = [report(str(i), serious="2" if i % 2 else "1", drugs=[("c", "3", None), ("a", "1", None)], reactions=["x"]) for i in range(50)]
+    silver = S.build_silver(bronze_of(hot + rest + [report(None, drugs=[("n", "1", None)])]))
+    database = scratch.rsplit("/", 1)[1].replace("-", "_")
+    names = T.publish_silver(spark, silver, database, buckets=4, location=scratch)
+    assert names == [f"{database}.{n}" for n in ("adverse_events", "drugs", "reactions")]
+    s = T.read_published_silver(spark, database)
+    ev, dr, rx = s["adverse_events"], s["drugs"], s["reactions"]
+    plain = G.build_gold(silver["adverse_events"], silver["drugs"], silver["reactions"])
+    for t in (ev, dr, rx):
+        assert t.count() > 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, df in G.build_gold(ev, dr, rx, side_by_side=True).items():
+            assert sorted(map(str, df.collect())) == sorted(map(str, plain[name].collect()))
+            exchanged = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(df).split("Initial Plan")[0])
+            assert not [e for e in exchanged if e.startswith("safety_report_id")], (name, exchanged)
+        split = G.drug_reaction_pairs(ev, dr, rx, part=10)  # the hot report is crowded
+        assert sorted(map(str, split.collect())) == sorted(map(str, plain["drug_reaction_pairs"].collect()))
+        exchanged = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(split).split("Initial Plan")[0])
+        by_id = [e for e in exchanged if e.startswith("safety_report_id")]
+        assert len(by_id) == 2 and all(", part" in e for e in by_id)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
