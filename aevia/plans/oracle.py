@@ -452,6 +452,7 @@ ORACLE.update({
         "SELECT * FROM silver_events WHERE report_date BETWEEN DATE '1996-02-01' AND DATE '1996-02-29'"),
     "publish_roundtrip": with_gold("SELECT * FROM g_pairs"),
     "read_or_empty": with_gold("SELECT * FROM g_reactions"),
+    "snapshot_roundtrip": with_gold("SELECT drug_name, reaction_name, pair_count, serious_count FROM g_pairs"),
 })
 
 # Page files: which pages are cut short, and which hold nothing.

@@ -19,6 +19,7 @@ from aevia.operators import silver as S
 from aevia.plans.incremental_gold import update_gold
 from aevia.sources import bronze as B
 from aevia.sources import storage as T
+from aevia.sources.snapshots import Snapshots
 
 log = logging.getLogger(__name__)
 
@@ -148,12 +149,13 @@ def read_gold(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
 
 def run_pipeline(spark: SparkSession, year: int, month: int, bronze_root: str, lake_root: str,
                  pages_path: str | None = None, publish_root: str | None = None,
-                 mode: str = "dynamic") -> dict:
+                 mode: str = "dynamic", snapshots: bool = False) -> dict:
     """JOB3: ingest -> silver -> quality -> gold -> publish for one month.
 
     With ``pages_path`` the month is first landed from page files; gold is
     built only when the silver gate passes, and published only when the
-    gold tables pass their own suite.
+    gold tables pass their own suite: in place, or with ``snapshots`` as one
+    snapshot of all tables (``sources.snapshots``), whose number is returned.
     """
     B.check_period(year, month)
     result: dict = {"period": period_of(year, month)}
@@ -165,6 +167,8 @@ def run_pipeline(spark: SparkSession, year: int, month: int, bronze_root: str, l
     result["gold"] = run_build_gold(spark, lake_root, result["period"] if mode == "dynamic" else None)
     # output invariants of the written gold tables gate publishing
     result["gold_quality"] = run_gold_gate(spark, lake_root, result["period"])
-    if publish_root:
+    if publish_root and snapshots:
+        result["published"] = Snapshots(spark, publish_root).publish(read_gold(spark, lake_root))
+    elif publish_root:
         result["published"] = T.publish_gold(read_gold(spark, lake_root), publish_root)
     return result

@@ -23,6 +23,7 @@ from aevia.schemas import BRONZE_REPORT, GOLD
 from aevia.sources import bronze as B
 from aevia.sources import storage as T
 from aevia.sources import testbed
+from aevia.sources.snapshots import Snapshots
 from aevia.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -285,6 +286,22 @@ def _publish_roundtrip(c: Ctx) -> DataFrame:
     return T.read_table(c.spark, root, "published", "drug_reaction_pairs")
 
 
+def _snapshot_roundtrip(c: Ctx) -> DataFrame:
+    """Pairs by month of the report, published month by month; then one month
+    is staged again, twice as many rows, and never committed."""
+    root = T.scratch_path(c.spark, "snapshots")
+    s, shots = c.written_silver(), Snapshots(c.spark, root)
+    month = F.coalesce(F.month("report_date"), F.lit(0))
+    for n in range(0, 13, 4):
+        events = s["adverse_events"].where(month.between(n, n + 3))
+        shots.publish({"drug_reaction_pairs": G.drug_reaction_pairs(events, s["drugs"].join(events.select(G.ID), G.ID, "left_semi"), s["reactions"])},
+                      part=f"{n:02d}")
+    lost = shots.read("drug_reaction_pairs", parts=["04"])
+    shots.stage(lost.unionByName(lost), "drug_reaction_pairs")
+    pairs = shots.read("drug_reaction_pairs", number=shots.numbers()[-1])
+    return pairs.groupBy("drug_name", "reaction_name").agg(F.sum("pair_count").alias("pair_count"), F.sum("serious_count").alias("serious_count"))
+
+
 def _read_or_empty(c: Ctx) -> DataFrame:
     root = T.scratch_path(c.spark, "gold")
     path = T.write_table(c.gold["reaction_summary"], root, "gold", "reaction_summary")
@@ -331,6 +348,7 @@ QUERIES.update({
     "month_window": _q(_month_window),
     "publish_roundtrip": _q(_publish_roundtrip),
     "read_or_empty": _q(_read_or_empty),
+    "snapshot_roundtrip": _q(_snapshot_roundtrip),
 })
 
 

@@ -102,13 +102,34 @@ def write_table(df: DataFrame, root: str, layer: str, name: str, partition_by: l
 
 def replace_period(df: DataFrame, root: str, layer: str, name: str, period: str) -> str:
     """SNK2: write one ``period`` partition whole. An empty ``df`` leaves an
-    empty partition, never the rows of an earlier run."""
-    path = f"{root.rstrip('/')}/{layer}/{name}"
-    df.write.mode("overwrite").parquet(f"{path}/period={period}")
+    empty partition, never the rows of an earlier run.
+
+    The rows are staged in a folder that readers skip and take the period's
+    place when they are all there: a job that fails leaves the period as it
+    was."""
+    path, spark = f"{root.rstrip('/')}/{layer}/{name}", df.sparkSession
+    staged, old, target = (f"{path}/{d}" for d in (f"_staged-{uuid.uuid4().hex}", f"_old-{uuid.uuid4().hex}", f"period={period}"))
+    df.write.parquet(staged)
+    if path_exists(spark, target):
+        _rename(spark, target, old)
+    _rename(spark, staged, target)
+    _drop(spark, old)
     log.info("written %s.%s period %s to %s", layer, name, period, path)
     return path
 
 
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(path(source), path(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_table(spark: SparkSession, root: str, layer: str, name: str, schema: StructType | None = None) -> DataFrame:
     """SRC2: read a table with its declared schema (extra partition columns,
     if any, are dropped)."""
