@@ -76,7 +76,9 @@ class FeatureTable(UnitTable):
 
 def sample_features(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list:
     """``(label, buckets, counts)`` of at most ``rows`` labelled documents
-    that are not held out, chosen by hash of the id."""
+    that are not held out, chosen by hash of the id. Empty texts have the one
+    feature that every text has; of an id that repeats, or has two labels,
+    each row counts, within the bound."""
     chosen = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .select("doc_id", F.col("quality").cast("int").alias("label"))
@@ -95,8 +97,10 @@ def sample_features(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
                 names=["doc_id", "label", "buckets", "counts"])
 
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    # rows that repeat a chosen id count too, up to the same bound
     found = sample.select("doc_id", "text", "label").mapInArrow(
-        features, "doc_id long, label int, buckets binary, counts binary").collect()
+        features, "doc_id long, label int, buckets binary, counts binary").orderBy(
+        F.xxhash64("doc_id"), "doc_id", "label", "buckets", "counts").limit(rows).collect()
     found.sort(key=lambda r: (r["doc_id"], r["label"], bytes(r["buckets"]), bytes(r["counts"])))
     return [(r["label"], np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["counts"], "<f4")) for r in found]
 

@@ -147,3 +147,25 @@ def test_features_and_training():
     scores = quality_classifier.WordScores(quality_classifier.train(sample).weight).score([good, "", bad, good + " prose prose"])
     assert scores[0] > 0.9 and scores[2] < 0.1 and 0 < scores[1] < 1
     assert table.of(["a", "a"]).tolist().count(quality_classifier.REPEATED) == 1
+
+
+def test_sample_is_bounded_whatever_repeats(llm):
+    """An id that holds most rows adds no more to the sample than the bound."""
+    docs = llm.createDataFrame([(3, f"text {n % 7}") for n in range(500)] + [(n, f"own {n}") for n in range(100, 160)], "doc_id long, text string")
+    labels = llm.createDataFrame([(3, 1, 0)] + [(n, n % 2, 0) for n in range(100, 160)], "doc_id long, quality int, toxic int")
+    for rows in (1, 20, 300):
+        assert len(quality_classifier.sample_features(docs, labels, rows)) <= rows
+
+
+def test_scores_are_plain_averages(llm):
+    """A score is the logistic of the average weight over a text's features,
+    counted one by one."""
+    rng = np.random.default_rng(2)
+    model = quality_classifier.Model(rng.normal(size=quality_classifier.BUCKETS))
+    texts = ["one two two three", "", None, "a a a a", "été 中文 x" * 3]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in quality_classifier.classify(docs, model).collect():
+        words = (texts[r["doc_id"]] or "").split()
+        hits = [f for w in words for f in quality_classifier.word_features(w)]
+        hits += [quality_classifier.REPEATED] * sum(a == b for a, b in zip(words, words[1:])) + [quality_classifier.EVERY_TEXT]
+        assert abs(r["score"] - 1 / (1 + np.exp(-np.mean(model.weight[hits])))) < 1e-9
