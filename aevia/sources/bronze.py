@@ -15,12 +15,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from aevia.schemas import BRONZE_REPORT, PAGE_BODY
-from aevia.sources.storage import scratch_path
+from aevia.sources.storage import scratch_path, take_places
 
 PARTITIONED_BRONZE = StructType(
     list(BRONZE_REPORT.fields) + [StructField("year", IntegerType()), StructField("month", IntegerType())]
@@ -67,23 +69,17 @@ def land_bronze(reports: DataFrame, root: str, year: int | None = None, month: i
     them, ``year``/``month`` columns of ``reports`` decide. Rows are brought
     together by month before the write, so a month is a few files and not
     one per task. Raises ``ValueError`` when there is nothing to land (what
-    was landed before stays). The input is computed once: rows are counted
-    while they are written.
+    was landed before stays). The input is computed once, into a staged
+    folder that readers skip; its months take their places when all is there,
+    so a landing that fails leaves the months as they were.
     """
     if year is not None:
         check_period(year, month)
         reports = reports.withColumn("year", F.lit(int(year))).withColumn("month", F.lit(int(month)))
     rows = reports.select(*REPORT_COLS, "year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"))
-    written = Observation()
-    (
-        rows.hint("rebalance", "year", "month")
-        .observe(written, F.count(F.lit(1)).alias("n"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month")
-        .json(root)
-    )
-    if not written.get["n"]:
+    staged = f"{root.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    rows.hint("rebalance", "year", "month").write.partitionBy("year", "month").json(staged)
+    if not take_places(reports.sparkSession, staged, root, levels=2):
         raise ValueError("no reports to land")
     return period_path(root, year, month) if year is not None else root
 

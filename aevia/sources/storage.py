@@ -118,6 +118,28 @@ def replace_period(df: DataFrame, root: str, layer: str, name: str, period: str)
     return path
 
 
+def take_places(spark: SparkSession, staged: str, root: str, levels: int) -> list[str]:
+    """The partitions of a staged folder (``levels`` deep) replace those of
+    ``root``, each whole; the staged folder goes. Gives their paths below
+    ``root``: a few folders, as many as the write touched."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [""]
+    for _ in range(levels):
+        found = [f"{d}/{x.getPath().getName()}" for d in found for x in fs.listStatus(path(staged + d))
+                 if x.isDirectory() and "=" in x.getPath().getName()]
+    for d in sorted(found):
+        target, old = f"{root.rstrip('/')}{d}", f"{root.rstrip('/')}/_old-{uuid.uuid4().hex}"
+        if fs.exists(path(target)):
+            _rename(spark, target, old)
+        else:
+            fs.mkdirs(path(target).getParent())
+        _rename(spark, staged + d, target)
+        _drop(spark, old)
+    _drop(spark, staged)
+    return sorted(found)
+
+
 def _rename(spark: SparkSession, source: str, target: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
