@@ -8,10 +8,11 @@ lookup reads one or two entries. Byte strings are held as text of the code
 points 0-255, one a byte.
 
 Distinct words are folded once: the words of the whole corpus are counted,
-and the most frequent (``TABLE_WORDS`` at most, a bound on the plan's size)
-go with their ids into a second literal map. Words outside it are folded
-where they stand, so the bound decides cost, never ids. Decoding joins the
-byte pieces of the ids. Documents are never shuffled.
+and the most frequent (``TABLE_WORDS`` at most, some 64 bytes each) go with
+their ids into a second map of the same form, the one value of a scalar
+subquery, so that no plan spells it out. Words outside it are folded where
+they stand, so the bound decides cost, never ids. Decoding joins the byte
+pieces of the ids. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from pyspark.sql import functions as F
 
 from aevia.llm.common import bind, read_bytes, saved
 
-TABLE_WORDS = 200_000
+TABLE_WORDS = 1_000_000
 RANK_BUCKETS = 1 << 14
-WORD_BUCKETS = 1 << 16
+WORD_BUCKETS = 1 << 18
+CLASSES = 16  # classes of word counts to a doubling
 #: White space as the pattern's engine has it; ``\\s`` of Java is ASCII only.
 WHITE = r"\s\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
@@ -115,36 +117,39 @@ class ByteBpe:
 
     def frequent_words(self, docs: DataFrame, limit: int) -> Column:
         """Map of the ids of the most frequent words of all documents: all
-        words above the lowest count that leaves ``limit`` of them at most.
-        Executors fold the words and write the map's text."""
+        words above the lowest class of counts that leaves ``limit`` of them
+        at most (the driver reads one row a class, 1,024 at most). Executors
+        fold the words and make the map."""
+        spark = docs.sparkSession
         counts = saved(
             docs.select(F.explode(self.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-            .where("n > 1"), "op8-words")
+            .where("n > 1").select("word", F.floor(CLASSES * F.log2("n")).cast("int").alias("class")), "op8-words")
         total, least = 0, None
-        for n, words in sorted(counts.groupBy("n").agg(F.count("*")).collect(), reverse=True):
+        for c, words in sorted(counts.groupBy("class").agg(F.count("*")).collect(), reverse=True):
             if total + words > limit:
                 break
-            total, least = total + words, n
-        dealt = ["{}"] * WORD_BUCKETS
-        if least is not None:
-            ids = bind(self.ranks, lambda ranks: self.fold(F.col("word"), ranks))
-            entries = F.map_from_entries(F.collect_list(F.struct("word", ids.alias("ids"))))
-            known = counts.where(F.col("n") >= least).groupBy(bucket_of(F.col("word"), WORD_BUCKETS)).agg(F.to_json(entries))
-            for b, text in known.collect():
-                dealt[b] = text
-        return parsed("[" + ",".join(dealt) + "]", "array<int>")
+            total, least = total + words, c
+        ids = bind(self.ranks, lambda ranks: self.fold(F.col("word"), ranks))
+        known = saved(counts.where(F.lit(False) if least is None else F.col("class") >= least).select(
+            bucket_of(F.col("word"), WORD_BUCKETS).alias("bucket"), "word", ids.alias("ids")), "op8-known")
+        every = spark.range(WORD_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+        entries = every.join(known, "bucket", "left").groupBy("bucket").agg(
+            F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word", "ids"))).alias("entries"))
+        # one row of bounded size
+        dealt = entries.agg(F.sort_array(F.collect_list(F.struct("bucket", "entries"))).alias("dealt"))
+        return dealt.select(F.transform("dealt", lambda d: F.map_from_entries(d["entries"]))).scalar()
 
     def encode(self, docs: DataFrame, table_words: int = TABLE_WORDS) -> DataFrame:
         """``docs`` of ``(doc_id, text)`` with a column ``ids``. Null and
         empty texts have none."""
         known = self.frequent_words(docs, table_words)
-        worded = docs.select("doc_id", self.words(F.col("text")).alias("words"))
+        worded = docs.select("doc_id", self.words(F.col("text")).alias("words"), known.alias("known"))
 
         def ids(tables: Column) -> Column:
             return F.flatten(F.transform("words", lambda w: F.coalesce(
                 look_up(tables["known"], WORD_BUCKETS, w), self.fold(w, tables["ranks"]))))
 
-        return worded.select("doc_id", bind(F.struct(known.alias("known"), self.ranks.alias("ranks")), ids).alias("ids"))
+        return worded.select("doc_id", bind(F.struct("known", self.ranks.alias("ranks")), ids).alias("ids"))
 
     def decode(self, ids: Column) -> Column:
         """The bytes that the ids stand for."""
