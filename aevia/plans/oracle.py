@@ -631,3 +631,11 @@ t AS (SELECT CAST(sum(n) AS BIGINT) AS n, CAST(sum(round(n * 0.2::DOUBLE)) AS BI
 SELECT model_type, n - test AS train_size, test AS test_size, CAST(1 AS BIGINT) AS runs, true AS same_metrics
 FROM t, (VALUES ('LogisticRegression'), ('RandomForest')) m(model_type)"""),
 })
+
+ORACLE.update({
+    "bound_top_pairs": ORACLE["rep_top_pairs"],
+    "bound_signal_pairs": ORACLE["signal_pairs"],
+    "wide_medians": " UNION ALL ".join(
+        f"SELECT '{c}' AS name, round(CAST(median({c}) AS DOUBLE), 4) AS median FROM {t}"
+        for t, c in (("lineitem", "l_extendedprice"), ("lineitem", "l_quantity"), ("orders", "o_totalprice"), ("customer", "c_acctbal"))),
+})

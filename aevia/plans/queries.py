@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aevia.operators import gold as G
+from aevia.operators import medians as M
 from aevia.operators import profile as P
 from aevia.operators import quality as Q
 from aevia.operators import reports as R
 from aevia.operators import silver as S
+from aevia.operators import top_pairs as TP
 from aevia.functions.exprs import size_or_zero
 from aevia.plans import pipeline as PL
 from aevia.schemas import BRONZE_REPORT, GOLD
@@ -187,6 +189,20 @@ def context(spark: SparkSession, sf_dir: str) -> Ctx:
     return c
 
 
+def _tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {"events": silver["adverse_events"], "drugs": silver["drugs"], "reactions": silver["reactions"]}
+
+
+#: Columns of many distinct values, by table.
+WIDE_COLUMNS = {"lineitem": ["l_extendedprice", "l_quantity"], "orders": ["o_totalprice"], "customer": ["c_acctbal"]}
+
+
+def _wide_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(name, None if m is None else round(m, 4)) for t, cols in WIDE_COLUMNS.items()
+            for name, m in M.exact_medians(table(spark, sf_dir, t), cols).items()]
+    return spark.createDataFrame(rows, "name string, median double")
+
+
 def _q(fn: Callable[[Ctx], DataFrame]) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(context(spark, sf_dir))
@@ -216,6 +232,9 @@ QUERIES: dict[str, Query] = {
     "rep_drug_detail": _q(lambda c: R.drug_detail(c.gold["drug_summary"])),
     "rep_top_reactions": _q(lambda c: R.top_reactions(c.gold["reaction_summary"])),
     "rep_signal_scatter": _q(lambda c: R.signal_scatter(c.gold["drug_reaction_pairs"])),
+    "bound_top_pairs": _q(lambda c: TP.top_pairs_by_bound(**_tables(c.written_silver()))),
+    "bound_signal_pairs": _q(lambda c: TP.signal_pairs_by_bound(**_tables(c.written_silver()))),
+    "wide_medians": _q(lambda c: _wide_medians(c.spark, c.sf_dir)),
     "rep_top_pairs": _q(lambda c: R.top_pairs(c.gold["drug_reaction_pairs"])),
     # profiles
     "prof_value_counts": _q(lambda c: _value_counts(c)),
