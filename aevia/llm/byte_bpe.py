@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from aevia.llm.common import bind, read_bytes, saved
 
-TABLE_WORDS = 1_000_000
+TABLE_WORDS = 600_000
 RANK_BUCKETS = 1 << 14
 WORD_BUCKETS = 1 << 18
 CLASSES = 16  # classes of word counts to a doubling
@@ -62,6 +62,10 @@ def look_up(table: Column, buckets: int, key: Column) -> Column:
     return F.element_at(F.element_at(table, bucket_of(key, buckets) + 1), key)
 
 
+def word_bucket(word: Column) -> Column:
+    return F.hash(word).bitwiseAND(F.lit(WORD_BUCKETS - 1))
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, read_bytes(path).splitlines()) if a}
 
@@ -131,7 +135,7 @@ class ByteBpe:
             total, least = total + words, c
         ids = bind(self.ranks, lambda ranks: self.fold(F.col("word"), ranks))
         known = saved(counts.where(F.lit(False) if least is None else F.col("class") >= least).select(
-            bucket_of(F.col("word"), WORD_BUCKETS).alias("bucket"), "word", ids.alias("ids")), "op8-known")
+            word_bucket(F.col("word")).alias("bucket"), "word", ids.alias("ids")), "op8-known")
         every = spark.range(WORD_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
         entries = every.join(known, "bucket", "left").groupBy("bucket").agg(
             F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word", "ids"))).alias("entries"))
@@ -147,7 +151,7 @@ class ByteBpe:
 
         def ids(tables: Column) -> Column:
             return F.flatten(F.transform("words", lambda w: F.coalesce(
-                look_up(tables["known"], WORD_BUCKETS, w), self.fold(w, tables["ranks"]))))
+                F.element_at(F.element_at(tables["known"], word_bucket(w) + 1), w), self.fold(w, tables["ranks"]))))
 
         return worded.select("doc_id", bind(F.struct("known", self.ranks.alias("ranks")), ids).alias("ids"))
 
