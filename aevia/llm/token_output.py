@@ -41,7 +41,7 @@ HEAD = struct.Struct("<4sIIIIQQ")
 BLOCK = np.dtype([("document", "<u4"), ("id", "<u8"), ("byte", "<u8")])
 BLOCK_IDS = 1 << 16
 SHARD_IDS = 1 << 22
-TABLE_UNITS = 1_600_000  # words a worker keeps: no other step shares it
+TABLE_UNITS = 1_200_000  # words a worker keeps: no other step shares it
 
 
 def bits_for(vocabulary: int) -> int:

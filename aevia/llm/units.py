@@ -100,16 +100,18 @@ class UnitTable:
 # by itself. Pieces are merged separately, so the ids of a text are the ids of
 # its units in order. The blanks of Python's \s include all of the pattern's.
 _BLANK = re.compile(r" (?=\S)")
-_ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
 _BREAK = ("\n",)
 
 
 def byte_level_units(text: str) -> list:
     """Units of a text: a string stands for itself after a blank, a tuple of
     one string for itself alone."""
-    if _ODD.search(text):
+    words = text.split()
+    if " ".join(words) != text.replace("\n", " "):  # other white space, or not one between two words
         first, *rest = _BLANK.split(text)
         return [(first,), *rest]
+    if "\n" not in text:
+        return [(words[0],), *words[1:]] if words else [("",)]
     units = []
     for line in text.split("\n"):
         words = line.split(" ")

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import os
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -180,3 +181,15 @@ def test_byte_bpe(odd, empty, table_words):
     assert Counter(tuple(r) for r in byte_bpe.round_trip(odd, bpe, table_words).collect()) == want
     if not table_words:
         assert byte_bpe.round_trip(empty, bpe).collect() == []
+
+
+def test_byte_level_units():
+    """Units put together are the text; only plain texts are cut at line breaks."""
+    rng = random.Random(6)
+    odd = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
+    for _ in range(20_000):
+        text = "".join(rng.choice("ab\u00e9 \n\t\u00a0\x1c") for _ in range(rng.randint(0, 8)))
+        found = units.byte_level_units(text)
+        assert "".join(u[0] if isinstance(u, tuple) else " " + u for u in found) == text
+        if not odd.search(text):
+            assert found.count(("\n",)) == text.count("\n")
