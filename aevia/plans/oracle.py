@@ -639,3 +639,9 @@ ORACLE.update({
         f"SELECT '{c}' AS name, round(CAST(median({c}) AS DOUBLE), 4) AS median FROM {t}"
         for t, c in (("lineitem", "l_extendedprice"), ("lineitem", "l_quantity"), ("orders", "o_totalprice"), ("customer", "c_acctbal"))),
 })
+
+ORACLE["distinct_sketches"] = with_silver(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS n_values, count(DISTINCT {c}) AS n_distinct, "
+    f"TRUE AS within_error FROM {view}"
+    for t, c, view in (("adverse_events", "safety_report_id", "silver_events"), ("adverse_events", "country", "silver_events"),
+                       ("drugs", "drug_name", "silver_drugs"), ("reactions", "reaction_name", "silver_reactions"))))

@@ -7,7 +7,7 @@ Every query derives its input from the test tables under ``sf_dir``
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from aevia.operators import profile as P
 from aevia.operators import quality as Q
 from aevia.operators import reports as R
 from aevia.operators import silver as S
+from aevia.operators import sketches as K
 from aevia.operators import top_pairs as TP
 from aevia.functions.exprs import size_or_zero
 from aevia.plans import pipeline as PL
@@ -193,6 +194,21 @@ def _tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {"events": silver["adverse_events"], "drugs": silver["drugs"], "reactions": silver["reactions"]}
 
 
+def _distinct_sketches(c: Ctx, periods: int = 3) -> DataFrame:
+    """Sketches of run periods (reports dealt by id) merged, held against
+    the exact counts."""
+    silver, root = c.written_silver(), T.scratch_path(c.spark, "sketches")
+    period = F.pmod(F.xxhash64("safety_report_id"), F.lit(periods))
+    for p in range(periods):
+        K.keep_sketches({name: df.where(period == p) for name, df in silver.items()}, root, f"2024-{p + 1:02d}")
+    exact = [silver[t].agg(F.lit(t).alias("t"), F.lit(col).alias("c"), F.count_distinct(col).alias("n_distinct"))
+             for t, cols in K.COLUMNS.items() for col in cols]
+    near = F.abs(F.col("distinct_estimate") - F.col("n_distinct")) <= 4 * K.RELATIVE_ERROR * F.col("n_distinct")
+    return K.distinct_estimates(c.spark, root).join(
+        reduce(DataFrame.unionByName, exact), (F.col("table_name") == F.col("t")) & (F.col("column_name") == F.col("c"))
+    ).select("table_name", "column_name", "n_values", "n_distinct", near.alias("within_error"))
+
+
 #: Columns of many distinct values, by table.
 WIDE_COLUMNS = {"lineitem": ["l_extendedprice", "l_quantity"], "orders": ["o_totalprice"], "customer": ["c_acctbal"]}
 
@@ -234,6 +250,7 @@ QUERIES: dict[str, Query] = {
     "rep_signal_scatter": _q(lambda c: R.signal_scatter(c.gold["drug_reaction_pairs"])),
     "bound_top_pairs": _q(lambda c: TP.top_pairs_by_bound(**_tables(c.written_silver()))),
     "bound_signal_pairs": _q(lambda c: TP.signal_pairs_by_bound(**_tables(c.written_silver()))),
+    "distinct_sketches": _q(lambda c: _distinct_sketches(c)),
     "wide_medians": _q(lambda c: _wide_medians(c.spark, c.sf_dir)),
     "rep_top_pairs": _q(lambda c: R.top_pairs(c.gold["drug_reaction_pairs"])),
     # profiles
