@@ -8,10 +8,11 @@ lookup reads one or two entries. Byte strings are held as text of the code
 points 0-255, one a byte.
 
 Distinct words are folded once: the words of the whole corpus are counted,
-and the most frequent (``TABLE_WORDS`` at most, some 64 bytes each) go with
-their ids into a second map of the same form, the one value of a scalar
-subquery, so that no plan spells it out. Words outside it are folded where
-they stand, so the bound decides cost, never ids. Decoding joins the byte
+and the most frequent (``TABLE_WORDS`` at most, some 64 bytes each) are
+folded and broadcast with their ids. Arrow steps cut texts into words, put
+the ids of known words in their places and number the other distinct words of
+each document; these are folded, once a document, by the same expression
+between the steps. The bound decides cost, never ids. Decoding joins the byte
 pieces of the ids. Documents are never shuffled.
 """
 
@@ -19,27 +20,41 @@ from __future__ import annotations
 
 import base64
 import json
+import uuid
 import zlib
+from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aevia.llm.common import bind, read_bytes, saved
+from aevia.llm.units import Grown, UnitTable, byte_level_units, cached, slices
 
 TABLE_WORDS = 600_000
 RANK_BUCKETS = 1 << 14
-WORD_BUCKETS = 1 << 18
 CLASSES = 16  # classes of word counts to a doubling
-#: White space as the pattern's engine has it; ``\\s`` of Java is ASCII only.
-WHITE = r"\s\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+COUNTED_UNITS = 300_000  # units that a task counts before it passes them on
+#: White space as the pattern's engine has it; ``\\s`` of Python holds more.
+WHITE = r" \t-\r\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 
-def java_pattern(pattern: str) -> str:
+def spelled_out(pattern: str) -> str:
     """The tokenizer's pattern with white space spelled out."""
     return (pattern.replace(r"[^\s", "[^" + WHITE).replace(r"(?!\S)", f"(?![^{WHITE}])")
             .replace(r"|\s+", f"|[{WHITE}]+"))
 
 
+def word_finder(pattern: str):
+    """A function from a unit (see ``byte_level_units``) to its words."""
+    import regex
+
+    find = regex.compile(pattern).findall
+    return lambda unit: find(unit[0] if isinstance(unit, tuple) else " " + unit)
+
+
 def literal_map(entries: dict, buckets: int, value_type: str) -> Column:
     """A constant map, dealt into small maps by the keys' checksums. It is
     parsed once per plan; bind it, so that a plan holds it once."""
@@ -62,26 +77,140 @@ def look_up(table: Column, buckets: int, key: Column) -> Column:
     return F.element_at(F.element_at(table, bucket_of(key, buckets) + 1), key)
 
 
-def word_bucket(word: Column) -> Column:
-    return F.hash(word).bitwiseAND(F.lit(WORD_BUCKETS - 1))
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, read_bytes(path).splitlines()) if a}
 
 
+class WordIds(UnitTable):
+    """Ids of units by the ids of known words; the n-th other word met is
+    held as ``-1 - n``."""
+
+    def __init__(self, known: pa.Table, pattern: str):
+        self.words = word_finder(pattern)
+        ids = known["ids"].combine_chunks()
+        self.known_ids, self.known_ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+        self.known = {w: i for i, w in enumerate(known["word"].to_pylist())}
+        super().__init__()
+
+    def reset(self) -> None:
+        self.ids, self.start, self.length = Grown(np.int32), Grown(np.int64), Grown(np.int64)
+        self.others: dict[str, int] = {}
+        self.other_words: list[str] = []
+
+    def word(self, word: str) -> list[int]:
+        at = self.known.get(word)
+        if at is not None:
+            return self.known_ids[self.known_ends[at]: self.known_ends[at + 1]].tolist()
+        n = self.others.setdefault(word, len(self.others))
+        if n == len(self.other_words):
+            self.other_words.append(word)
+        return [-1 - n]
+
+    def compute(self, units: list) -> None:
+        found = [[i for w in self.words(u) for i in self.word(w)] for u in units]
+        length = np.fromiter(map(len, found), np.int64, len(found))
+        self.start.add(self.ids.n + np.cumsum(length) - length)
+        self.length.add(length)
+        self.ids.add([i for x in found for i in x])
+
+    def encode(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
+        """Of each text its ids and its other words; the n-th of these is
+        ``-1 - n`` among the ids."""
+        units, counts = [], [0]
+        for t in texts:
+            u = byte_level_units(t)
+            units += u
+            counts.append(len(u))
+        rows = self.rows(units)
+        ids, ends = gather(self.ids.data, self.start.data[rows], self.length.data[rows])
+        ends = ends[np.cumsum(counts)]
+        at = np.flatnonzero(ids < 0)
+        text = np.searchsorted(ends, at, "right") - 1
+        # distinct (text, word) pairs in order, numbered within their text
+        pairs, number = np.unique(np.stack([text, -1 - ids[at].astype(np.int64)]), axis=1, return_inverse=True)
+        first = np.searchsorted(pairs[0], np.arange(len(texts) + 1))
+        ids[at] = first[text] - number.reshape(-1) - 1
+        others = pa.array([self.other_words[w] for w in pairs[1].tolist()], pa.string())
+        return list_array(ends, pa.array(ids)), list_array(first, others)
+
+
+def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``data`` one after the other, and their ends after a 0."""
+    ends = np.concatenate(([0], np.cumsum(lengths)))
+    return data[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], lengths)], ends
+
+
+def list_array(ends: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The elements of lists without nulls, and the lists' ends after a 0."""
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    return lists.flatten(), ends - ends[0]
+
+
+def with_others(ids: pa.Array, other_ids: pa.Array) -> pa.Array:
+    """``ids`` of documents with those of their other words in place."""
+    values, ends = flat(ids)
+    words, word_ends = flat(other_ids)
+    pieces, piece_ends = flat(words)
+    values = values.to_numpy()
+    at = np.flatnonzero(values < 0)
+    document = np.searchsorted(ends, at, "right") - 1
+    # one run an id: of the id itself, or of a word's ids behind all of them
+    starts, lengths = np.arange(len(values)), np.ones(len(values), np.int64)
+    word = word_ends[document] - 1 - values[at]
+    starts[at], lengths[at] = len(values) + piece_ends[word], np.diff(piece_ends)[word]
+    found, found_ends = gather(np.concatenate([values, pieces.to_numpy()]).astype(np.int32), starts, lengths)
+    return list_array(found_ends[ends], pa.array(found))
+
+
+class Pieces:
+    """The bytes of ids."""
+
+    def __init__(self, by_id: list[bytes]):
+        self.data = np.frombuffer(b"".join(by_id), np.uint8)
+        self.length = np.array([len(p) for p in by_id], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return gather(self.data, self.start[ids], self.length[ids])[0].tobytes()
+
+
 class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.pattern = java_pattern(pattern)
-        text = {piece.decode("latin-1"): r for piece, r in ranks.items()}
-        self.ranks = literal_map(text, RANK_BUCKETS, "int")
-        by_id = [""] * (max(ranks.values(), default=-1) + 1)
-        for piece, r in text.items():
-            by_id[r] = piece
-        self.pieces = F.from_json(F.lit(json.dumps(by_id)), "array<string>")
-
-    def words(self, text: Column) -> Column:
-        return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
+        self.pattern = spelled_out(pattern)
+        self.ranks = literal_map({piece.decode("latin-1"): r for piece, r in ranks.items()}, RANK_BUCKETS, "int")
+        self.by_id = [b""] * (max(ranks.values(), default=-1) + 1)
+        for piece, r in ranks.items():
+            self.by_id[r] = piece
+
+    def word_counts(self, docs: DataFrame) -> DataFrame:
+        """``(word, n)`` of all texts."""
+        pattern = self.pattern
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words = word_finder(pattern)
+
+            def passed_on(units: Counter) -> pa.RecordBatch:
+                found: Counter = Counter()
+                for unit, n in units.items():
+                    for word in words(unit):
+                        found[word] += n
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"])
+
+            units: Counter = Counter()
+            for batch in batches:
+                for text in batch.column(0):
+                    units.update(byte_level_units(text.as_py() or ""))
+                    if len(units) > COUNTED_UNITS:
+                        yield passed_on(units)
+                        units = Counter()
+            yield passed_on(units)
+
+        return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
     @staticmethod
     def fold(word: Column, ranks: Column) -> Column:
@@ -119,53 +248,74 @@ class ByteBpe:
 
         return bind(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ids)
 
-    def frequent_words(self, docs: DataFrame, limit: int) -> Column:
-        """Map of the ids of the most frequent words of all documents: all
+    def frequent_words(self, docs: DataFrame, limit: int) -> pa.Table:
+        """``(word, ids)`` of the most frequent words of all documents: all
         words above the lowest class of counts that leaves ``limit`` of them
-        at most (the driver reads one row a class, 1,024 at most). Executors
-        fold the words and make the map."""
-        spark = docs.sparkSession
-        counts = saved(
-            docs.select(F.explode(self.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-            .where("n > 1").select("word", F.floor(CLASSES * F.log2("n")).cast("int").alias("class")), "op8-words")
+        at most (the driver reads one row a class, 1,024 at most, and then
+        these words). Executors fold the words."""
+        counts = saved(self.word_counts(docs).where("n > 1").select(
+            "word", F.floor(CLASSES * F.log2("n")).cast("int").alias("class")), "op8-words")
         total, least = 0, None
         for c, words in sorted(counts.groupBy("class").agg(F.count("*")).collect(), reverse=True):
             if total + words > limit:
                 break
             total, least = total + words, c
         ids = bind(self.ranks, lambda ranks: self.fold(F.col("word"), ranks))
-        known = saved(counts.where(F.lit(False) if least is None else F.col("class") >= least).select(
-            word_bucket(F.col("word")).alias("bucket"), "word", ids.alias("ids")), "op8-known")
-        every = spark.range(WORD_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-        entries = every.join(known, "bucket", "left").groupBy("bucket").agg(
-            F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word", "ids"))).alias("entries"))
-        # one row of bounded size
-        dealt = entries.agg(F.sort_array(F.collect_list(F.struct("bucket", "entries"))).alias("dealt"))
-        return dealt.select(F.transform("dealt", lambda d: F.map_from_entries(d["entries"]))).scalar()
+        known = counts.where(F.lit(False) if least is None else F.col("class") >= least)
+        return saved(known.select("word", ids.alias("ids")), "op8-known").toArrow()
 
     def encode(self, docs: DataFrame, table_words: int = TABLE_WORDS) -> DataFrame:
-        """``docs`` of ``(doc_id, text)`` with a column ``ids``. Null and
-        empty texts have none."""
-        known = self.frequent_words(docs, table_words)
-        worded = docs.select("doc_id", self.words(F.col("text")).alias("words"), known.alias("known"))
-
-        def ids(tables: Column) -> Column:
-            return F.flatten(F.transform("words", lambda w: F.coalesce(
-                F.element_at(F.element_at(tables["known"], word_bucket(w) + 1), w), self.fold(w, tables["ranks"]))))
-
-        return worded.select("doc_id", bind(F.struct("known", self.ranks.alias("ranks")), ids).alias("ids"))
-
-    def decode(self, ids: Column) -> Column:
-        """The bytes that the ids stand for."""
-        text = F.array_join(F.transform(ids, lambda i: F.element_at(self.pieces, i + 1)), "")
-        return F.encode(text, "ISO-8859-1")
+        """``(doc_id, ids)`` of ``docs``. Null and empty texts have none."""
+        sink = pa.BufferOutputStream()
+        known = self.frequent_words(docs, table_words).cast(
+            pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32()))]))
+        with pa.ipc.new_stream(sink, known.schema) as out:
+            out.write_table(known)
+        table = docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
+        name, pattern, doc_id = uuid.uuid4().hex, self.pattern, docs.schema["doc_id"].dataType.simpleString()
+
+        def look_up_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words = cached(("op8-known", name), lambda: WordIds(pa.ipc.open_stream(table.value).read_all(), pattern))
+            for batch in batches:
+                for first, texts in slices(batch.column("text").to_pylist()):
+                    ids, others = words.encode(texts)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").slice(first, len(texts)), ids, others], ["doc_id", "ids", "others"])
+
+        def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = with_others(batch.column("ids"), batch.column("others"))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+
+        marked = docs.select("doc_id", "text").mapInArrow(
+            look_up_words, f"doc_id {doc_id}, ids array<int>, others array<string>")
+        others = bind(self.ranks, lambda ranks: F.transform("others", lambda w: self.fold(w, ranks)))
+        return marked.select("doc_id", "ids", others.alias("others")).mapInArrow(put_in, f"doc_id {doc_id}, ids array<int>")
+
+    def decode(self, encoded: DataFrame) -> DataFrame:
+        """``(doc_id, ids)`` with ``bytes``, what the ids stand for, and
+        ``ids_text``, the ids in decimal, joined by one space."""
+        by_id, doc_id = self.by_id, encoded.schema["doc_id"].dataType.simpleString()
+
+        def join_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            pieces, decimal = Pieces(by_id), [str(i) for i in range(len(by_id))]
+            for batch in batches:
+                values, ends = flat(batch.column("ids"))
+                values = values.to_numpy()
+                runs = [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("ids"), pa.array(map(pieces.decode, runs), pa.binary()),
+                     pa.array([" ".join([decimal[i] for i in r.tolist()]) for r in runs], pa.string())],
+                    ["doc_id", "ids", "bytes", "ids_text"])
+
+        return encoded.mapInArrow(join_pieces, f"doc_id {doc_id}, ids array<int>, bytes binary, ids_text string")
 
 
 def round_trip(docs: DataFrame, bpe: ByteBpe, table_words: int = TABLE_WORDS) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256.
     Repeated rows are encoded each; an empty table gives an empty result;
     only id and text are read."""
-    return bpe.encode(docs, table_words).select(
+    return bpe.decode(bpe.encode(docs, table_words)).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
+        F.sha2(F.col("ids_text").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))

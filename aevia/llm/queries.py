@@ -69,6 +69,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    use_package(spark)
     bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(vocabulary_path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
     return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), bpe)
 
