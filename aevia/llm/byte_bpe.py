@@ -37,6 +37,7 @@ TABLE_WORDS = 600_000
 RANK_BUCKETS = 1 << 14
 CLASSES = 16  # classes of word counts to a doubling
 COUNTED_UNITS = 300_000  # units that a task counts before it passes them on
+TABLE_UNITS = 300_000  # units whose ids a worker keeps
 #: White space as the pattern's engine has it; ``\\s`` of Python holds more.
 WHITE = r" \t-\r\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
@@ -90,7 +91,7 @@ class WordIds(UnitTable):
         ids = known["ids"].combine_chunks()
         self.known_ids, self.known_ends = ids.values.to_numpy(), ids.offsets.to_numpy()
         self.known = {w: i for i, w in enumerate(known["word"].to_pylist())}
-        super().__init__()
+        super().__init__(TABLE_UNITS)
 
     def reset(self) -> None:
         self.ids, self.start, self.length = Grown(np.int32), Grown(np.int64), Grown(np.int64)
@@ -166,6 +167,12 @@ def with_others(ids: pa.Array, other_ids: pa.Array) -> pa.Array:
     return list_array(found_ends[ends], pa.array(found))
 
 
+def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = with_others(batch.column("ids"), batch.column("others"))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+
+
 class Pieces:
     """The bytes of ids."""
 
@@ -216,35 +223,33 @@ class ByteBpe:
     def fold(word: Column, ranks: Column) -> Column:
         """Ids of one word, by the bound rank map."""
         def rank(piece: Column) -> Column:
-            return look_up(ranks, RANK_BUCKETS, piece)
+            return bind(piece, lambda key: look_up(ranks, RANK_BUCKETS, key))
 
         def merged(state: Column, at: Column) -> Column:
             p, r = state["p"], state["r"]
-            both = F.concat(F.get(p, at - 1), F.get(p, at))
-            left, right = F.get(p, at - 2), F.get(p, at + 1)
             none = F.array().cast("array<int>")
-            return F.struct(
-                F.concat(F.slice(p, 1, at - 1), F.array(both), F.slice(p, at + 2, F.size(p))).alias("p"),
+            around = F.struct(F.concat(F.get(p, at - 1), F.get(p, at)).alias("both"),
+                              F.get(p, at - 2).alias("left"), F.get(p, at + 1).alias("right"))
+            return bind(around, lambda x: F.struct(
+                F.concat(F.slice(p, 1, at - 1), F.array(x["both"]), F.slice(p, at + 2, F.size(p))).alias("p"),
                 F.concat(
                     F.slice(r, 1, F.greatest(at - 2, F.lit(0))),
-                    F.when(left.isNotNull(), F.array(rank(F.concat(left, both)))).otherwise(none),
-                    F.when(right.isNotNull(), F.array(rank(F.concat(both, right)))).otherwise(none),
-                    F.slice(r, at + 2, F.size(r))).alias("r"))
+                    F.when(x["left"].isNotNull(), F.array(rank(F.concat(x["left"], x["both"])))).otherwise(none),
+                    F.when(x["right"].isNotNull(), F.array(rank(F.concat(x["both"], x["right"])))).otherwise(none),
+                    F.slice(r, at + 2, F.size(r))).alias("r")))
 
         def step(state: Column, _: Column) -> Column:
             at = F.array_position(state["r"], F.array_min(state["r"])).cast("int")
             return bind(at, lambda i: F.when(i.isNull(), state).otherwise(merged(state, i)))
 
         def folded(data: Column) -> Column:
-            first = F.struct(
-                data.alias("p"),
-                F.transform(F.slice(data, 2, F.size(data)), lambda b, i: rank(F.concat(F.get(data, i), b))).alias("r"))
-            return F.aggregate(F.slice(data, 2, F.size(data)), first, step,
-                               lambda s: F.transform(s["p"], lambda x: rank(x)))
+            return bind(F.slice(data, 2, F.size(data)), lambda rest: F.aggregate(
+                rest, F.struct(data.alias("p"), F.transform(rest, lambda b, i: rank(F.concat(F.get(data, i), b))).alias("r")),
+                step, lambda s: F.transform(s["p"], lambda x: rank(x))))
 
         def ids(data: Column) -> Column:
-            whole = rank(data)
-            return F.when(whole.isNotNull(), F.array(whole)).otherwise(bind(F.split(data, ""), folded))
+            return bind(rank(data), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(
+                bind(F.split(data, ""), folded)))
 
         return bind(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ids)
 
@@ -264,8 +269,9 @@ class ByteBpe:
         known = counts.where(F.lit(False) if least is None else F.col("class") >= least)
         return saved(known.select("word", ids.alias("ids")), "op8-known").toArrow()
 
-    def encode(self, docs: DataFrame, table_words: int = TABLE_WORDS) -> DataFrame:
-        """``(doc_id, ids)`` of ``docs``. Null and empty texts have none."""
+    def marked(self, docs: DataFrame, table_words: int) -> DataFrame:
+        """``(doc_id, ids, others)`` of ``docs``: the n-th of the other words
+        of a document is ``-1 - n`` among its ids, ``others`` holds theirs."""
         sink = pa.BufferOutputStream()
         known = self.frequent_words(docs, table_words).cast(
             pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32()))]))
@@ -282,20 +288,32 @@ class ByteBpe:
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("doc_id").slice(first, len(texts)), ids, others], ["doc_id", "ids", "others"])
 
-        def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids = with_others(batch.column("ids"), batch.column("others"))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
-
         marked = docs.select("doc_id", "text").mapInArrow(
             look_up_words, f"doc_id {doc_id}, ids array<int>, others array<string>")
         others = bind(self.ranks, lambda ranks: F.transform("others", lambda w: self.fold(w, ranks)))
-        return marked.select("doc_id", "ids", others.alias("others")).mapInArrow(put_in, f"doc_id {doc_id}, ids array<int>")
+        return marked.select("doc_id", "ids", others.alias("others"))
+
+    def encode(self, docs: DataFrame, table_words: int = TABLE_WORDS) -> DataFrame:
+        """``(doc_id, ids)`` of ``docs``. Null and empty texts have none."""
+        marked = self.marked(docs, table_words)
+        return marked.mapInArrow(put_in, f"doc_id {marked.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
     def decode(self, encoded: DataFrame) -> DataFrame:
         """``(doc_id, ids)`` with ``bytes``, what the ids stand for, and
         ``ids_text``, the ids in decimal, joined by one space."""
-        by_id, doc_id = self.by_id, encoded.schema["doc_id"].dataType.simpleString()
+        return encoded.mapInArrow(self.joiner(), self.decoded_schema(encoded))
+
+    def encode_and_decode(self, docs: DataFrame, table_words: int = TABLE_WORDS) -> DataFrame:
+        """``decode`` of ``encode`` with one Python worker less a task."""
+        marked, join_pieces = self.marked(docs, table_words), self.joiner()
+        return marked.mapInArrow(lambda batches: join_pieces(put_in(batches)), self.decoded_schema(marked))
+
+    @staticmethod
+    def decoded_schema(encoded: DataFrame) -> str:
+        return f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids array<int>, bytes binary, ids_text string"
+
+    def joiner(self):
+        by_id = self.by_id
 
         def join_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pieces, decimal = Pieces(by_id), [str(i) for i in range(len(by_id))]
@@ -308,14 +326,14 @@ class ByteBpe:
                      pa.array([" ".join([decimal[i] for i in r.tolist()]) for r in runs], pa.string())],
                     ["doc_id", "ids", "bytes", "ids_text"])
 
-        return encoded.mapInArrow(join_pieces, f"doc_id {doc_id}, ids array<int>, bytes binary, ids_text string")
+        return join_pieces
 
 
 def round_trip(docs: DataFrame, bpe: ByteBpe, table_words: int = TABLE_WORDS) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256.
     Repeated rows are encoded each; an empty table gives an empty result;
     only id and text are read."""
-    return bpe.decode(bpe.encode(docs, table_words)).select(
+    return bpe.encode_and_decode(docs, table_words).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.col("ids_text").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))

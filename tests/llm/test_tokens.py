@@ -179,6 +179,9 @@ def test_byte_bpe(odd, empty, table_words):
         want[i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
              hashlib.sha256((t or "").encode()).hexdigest()] += 1
     assert Counter(tuple(r) for r in byte_bpe.round_trip(odd, bpe, table_words).collect()) == want
+    decoded = bpe.decode(bpe.encode(odd, table_words)).collect()
+    assert Counter((r["doc_id"], tuple(r["ids"]), bytes(r["bytes"])) for r in decoded) == Counter(
+        (i, tuple(library.encode_ordinary(t or "")), (t or "").encode()) for i, t in odd_texts())
     if not table_words:
         assert byte_bpe.round_trip(empty, bpe).collect() == []
 
