@@ -447,6 +447,13 @@ _RAW_COLS = ("safety_report_id AS safetyreportid, receive_date_raw AS receivedat
 ORACLE.update({
     "page_unwrap": with_all(f"SELECT k // 100 AS page, {_RAW_COLS} FROM raw_flat"),
     "offset_page": with_all(f"SELECT {_RAW_COLS} FROM raw_flat ORDER BY k LIMIT 100 OFFSET 100"),
+    "indexed_pages": with_all(
+        f"SELECT page, {_RAW_COLS} FROM (SELECT *, row_number() OVER (ORDER BY k) - 1 AS place, count(*) OVER () AS total FROM raw_flat) "
+        "JOIN (VALUES ('second'), ('middle'), ('late')) pages(page) ON place - "
+        "CASE page WHEN 'second' THEN 100 WHEN 'middle' THEN total // 2 ELSE 9 * total // 10 END BETWEEN 0 AND 99"),
+    "monthly_job": with_gold("SELECT * FROM g_drugs"),
+    "copied_table": with_gold("SELECT * FROM g_reactions"),
+    "loaded_features": with_gold("SELECT * FROM g_features"),
     "bronze_roundtrip": with_all(f"SELECT {_RAW_COLS}, r_year AS year, r_month AS month FROM raw_flat"),
     "month_window": with_gold(
         "SELECT * FROM silver_events WHERE report_date BETWEEN DATE '1996-02-01' AND DATE '1996-02-29'"),
@@ -595,6 +602,7 @@ _MEASURES = "accuracy, precision, recall, f1, roc_auc"
 
 ORACLE.update({
     "runs_flat": with_gold(_RUNS + "SELECT * FROM runs"),
+    "exported_runs": with_gold(_RUNS + "SELECT * FROM runs"),
     "best_run": with_gold(
         _RUNS + f"SELECT run_id, model_type, {_MEASURES} FROM runs ORDER BY roc_auc DESC NULLS LAST, run_id LIMIT 1"),
     "run_compare": with_gold(

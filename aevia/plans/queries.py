@@ -24,6 +24,7 @@ from aevia.functions.exprs import size_or_zero
 from aevia.plans import pipeline as PL
 from aevia.schemas import BRONZE_REPORT, GOLD
 from aevia.sources import bronze as B
+from aevia.sources import page_index as PI
 from aevia.sources import storage as T
 from aevia.sources import testbed
 from aevia.sources.snapshots import Snapshots
@@ -305,6 +306,45 @@ def _offset_page(c: Ctx) -> DataFrame:
     return B.offset_page(c.bronze_keyed, ["_order_key"], 100, 100).select(*raw_cols())
 
 
+def _indexed_pages(c: Ctx) -> DataFrame:
+    """Three pages of 100 reports, from a stored table of ordered files: the
+    second page, the middle and one at nine tenths."""
+    root = T.scratch_path(c.spark, "paged")
+    PI.write_indexed(c.bronze_keyed.select("_order_key", *raw_cols()), root, ["_order_key"], file_rows=2_000)
+    rows = c.spark.read.parquet(f"{root}/index").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    pages = {"second": 100, "middle": rows // 2, "late": 9 * rows // 10}
+    return reduce(DataFrame.unionByName, [
+        PI.read_page(c.spark, root, ["_order_key"], skip, 100).drop("_order_key").select(F.lit(name).alias("page"), "*")
+        for name, skip in pages.items()])
+
+
+def _monthly_job(c: Ctx) -> DataFrame:
+    """The whole job of one month, from page files to published tables."""
+    root = T.scratch_path(c.spark, "month")
+    B.page_bodies(c.bronze_keyed, "_order_key").select((F.col("page") * B.PAGE_SIZE).alias("page"), "body").write.partitionBy(
+        "page").text(f"{root}/pages")
+    PL.run_pipeline(c.spark, 2024, 1, f"{root}/bronze", root, pages_path=f"{root}/pages", publish_root=f"{root}/out")
+    return T.read_table(c.spark, f"{root}/out", "published", "drug_summary")
+
+
+def _copied_table(c: Ctx) -> DataFrame:
+    """A stored table copied to another folder; a folder without files gives
+    nothing to read."""
+    root = T.scratch_path(c.spark, "copy")
+    src = T.write_table(c.gold["reaction_summary"], root, "gold", "reaction_summary")
+    if T.copy_parquet_table(c.spark, f"{root}/nothing", f"{root}/none"):
+        raise AssertionError("copied a folder that holds nothing")
+    return c.spark.read.parquet(T.copy_parquet_table(c.spark, src, f"{root}/copy"))
+
+
+def _loaded_features(c: Ctx) -> DataFrame:
+    """Features from the catalog, as their folder is not there."""
+    path = T.scratch_path(c.spark, "features")
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    T.publish_to_catalog(c.spark, c.gold, database, ["ml_features"], location=path)
+    return T.load_ml_features(c.spark, f"{path}/not-there", f"{database}.ml_features")
+
+
 def _bronze_roundtrip(c: Ctx) -> DataFrame:
     root = T.scratch_path(c.spark, "bronze")
     d = testbed.parse_receivedate(c.bronze)
@@ -380,6 +420,10 @@ QUERIES.update({
     "catalog_roundtrip": _q(_catalog_roundtrip),
     "page_unwrap": _q(_page_unwrap),
     "offset_page": _q(_offset_page),
+    "indexed_pages": _q(_indexed_pages),
+    "monthly_job": _q(_monthly_job),
+    "copied_table": _q(_copied_table),
+    "loaded_features": _q(_loaded_features),
     "bronze_roundtrip": _q(_bronze_roundtrip),
     "month_window": _q(_month_window),
     "publish_roundtrip": _q(_publish_roundtrip),
@@ -507,6 +551,14 @@ def _runs_query(fn_name: str):
     return f
 
 
+def _exported_runs(c: Ctx) -> DataFrame:
+    """The flat run table written and read back."""
+    from aevia.ml import models as M
+
+    path = M.export_runs(_rule_runs(c), T.scratch_path(c.spark, "runs"))
+    return c.spark.read.parquet(path).withColumn("start_time", F.date_format("start_time", "HH:mm:ss"))
+
+
 def _ml_fixed(fn_name: str):
     def f(c: Ctx) -> DataFrame:
         from aevia.ml import metrics as ME
@@ -530,6 +582,7 @@ QUERIES.update({
     "ml_registry": _q(_registry),
     "model_runs": _q(_rule_runs),
     "runs_flat": _q(_runs_query("flatten_runs")),
+    "exported_runs": _q(_exported_runs),
     "best_run": _q(_runs_query("best_run")),
     "run_compare": _q(_runs_query("compare_runs")),
     "run_history": _q(_runs_query("run_history")),
