@@ -38,6 +38,7 @@ RANK_BUCKETS = 1 << 14
 CLASSES = 16  # classes of word counts to a doubling
 COUNTED_UNITS = 300_000  # units that a task counts before it passes them on
 TABLE_UNITS = 300_000  # units whose ids a worker keeps
+STEP_ROWS = 256  # documents whose ids are put together at a time
 #: White space as the pattern's engine has it; ``\\s`` of Python holds more.
 WHITE = r" \t-\r\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
@@ -84,13 +85,21 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 class WordIds(UnitTable):
     """Ids of units by the ids of known words; the n-th other word met is
-    held as ``-1 - n``."""
+    held as ``-1 - n``. Known words stay in their Arrow column and are found
+    by hash; of two that share one, the second counts as another word."""
 
     def __init__(self, known: pa.Table, pattern: str):
         self.words = word_finder(pattern)
-        ids = known["ids"].combine_chunks()
-        self.known_ids, self.known_ends = ids.values.to_numpy(), ids.offsets.to_numpy()
-        self.known = {w: i for i, w in enumerate(known["word"].to_pylist())}
+        known = known.combine_chunks()
+        self.known = pa.concat_arrays(known["word"].chunks) if known.num_rows else pa.array([], pa.string())
+        ids = pa.concat_arrays(known["ids"].chunks) if known.num_rows else pa.array([], pa.list_(pa.int32()))
+        values, self.known_ends = flat(ids)
+        self.known_ids = values.to_numpy()
+        hashes = np.zeros(len(self.known), np.int64)
+        for at in range(0, len(hashes), 50_000):
+            part = self.known.slice(at, 50_000).to_pylist()
+            hashes[at: at + len(part)] = list(map(hash, part))
+        self.hashes, self.places = np.unique(hashes, return_index=True)
         super().__init__(TABLE_UNITS)
 
     def reset(self) -> None:
@@ -98,21 +107,36 @@ class WordIds(UnitTable):
         self.others: dict[str, int] = {}
         self.other_words: list[str] = []
 
-    def word(self, word: str) -> list[int]:
-        at = self.known.get(word)
-        if at is not None:
-            return self.known_ids[self.known_ends[at]: self.known_ends[at + 1]].tolist()
-        n = self.others.setdefault(word, len(self.others))
-        if n == len(self.other_words):
-            self.other_words.append(word)
-        return [-1 - n]
+    def known_places(self, words: list[str]) -> list[int]:
+        """The places of words among the known ones, -1 of others."""
+        if not len(self.hashes):
+            return [-1] * len(words)
+        wanted = np.fromiter(map(hash, words), np.int64, len(words))
+        at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+        places = self.places[at]
+        same = self.known.take(pa.array(places)).to_pylist()
+        return [p if w == k and h else -1
+                for p, w, k, h in zip(places.tolist(), words, same, (self.hashes[at] == wanted).tolist())]
 
     def compute(self, units: list) -> None:
-        found = [[i for w in self.words(u) for i in self.word(w)] for u in units]
-        length = np.fromiter(map(len, found), np.int64, len(found))
-        self.start.add(self.ids.n + np.cumsum(length) - length)
-        self.length.add(length)
-        self.ids.add([i for x in found for i in x])
+        found = [self.words(u) for u in units]
+        places = iter(self.known_places([w for words in found for w in words]))
+        ids: list[int] = []
+        ends = [0]
+        for words in found:
+            for word in words:
+                at = next(places)
+                if at >= 0:
+                    ids += self.known_ids[self.known_ends[at]: self.known_ends[at + 1]].tolist()
+                    continue
+                n = self.others.setdefault(word, len(self.others))
+                if n == len(self.other_words):
+                    self.other_words.append(word)
+                ids.append(-1 - n)
+            ends.append(len(ids))
+        self.start.add(self.ids.n + np.array(ends[:-1], np.int64))
+        self.length.add(np.diff(ends))
+        self.ids.add(ids)
 
     def encode(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
         """Of each text its ids and its other words; the n-th of these is
@@ -168,9 +192,11 @@ def with_others(ids: pa.Array, other_ids: pa.Array) -> pa.Array:
 
 
 def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = with_others(batch.column("ids"), batch.column("others"))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+    for whole in batches:
+        for at in range(0, whole.num_rows, STEP_ROWS):
+            batch = whole.slice(at, STEP_ROWS)
+            ids = with_others(batch.column("ids"), batch.column("others"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
 
 class Pieces:
