@@ -42,7 +42,7 @@ def mention_parts(mentions: DataFrame, events: DataFrame, name: str) -> DataFram
     their reports. Mentions are combined per report before the join, as in
     ``gold``."""
     per = mentions.groupBy(ID, name).agg(F.count(F.lit(1)).alias("n"))
-    joined = per.join(events.select(ID, "is_serious"), ID, "left")
+    joined = per.join(G.of_reports(events.select(ID, "is_serious")), ID, "left")
     n, none = F.col("n"), F.lit(0).cast("long")
     return joined.groupBy(name).agg(
         F.sum("n").alias("mentions"),

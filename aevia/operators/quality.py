@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aevia.functions.exprs import not_blank
+from aevia.operators.gold import of_reports
 from aevia.schemas import (
     DRUG_ROLE_LABELS,
     MAX_NULL_RATE,
@@ -183,7 +184,7 @@ def orphan_check(children: DataFrame, events: DataFrame, child: str = "drugs") -
     count as orphans). Rows are counted per id before the left-anti join,
     so a hot or null id is one row there."""
     per_id = children.groupBy("safety_report_id").agg(F.count(F.lit(1)).alias("rows"))
-    orphans = per_id.join(events.select("safety_report_id"), "safety_report_id", "left_anti")
+    orphans = per_id.join(of_reports(events.select("safety_report_id")), "safety_report_id", "left_anti")
     orphan_rule = run_rules(
         orphans, "referential", f"silver_{child}",
         [Rule("report_ids_exist_in_events", F.coalesce(F.sum("rows"), F.lit(0)), 0, "<=", "warn")],

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aevia.operators.gold import ID, _mentions_per_report, drug_reaction_pairs
+from aevia.operators.gold import ID, _mentions_per_report, drug_reaction_pairs, of_reports
 from aevia.operators.reports import signal_pairs, top_pairs
 from aevia.sources.storage import scratch_path
 
@@ -29,7 +29,7 @@ FIRST_NAMES = 200
 def _bounds(mentions: DataFrame, others: DataFrame, name: str, other: str) -> DataFrame:
     """(name, bound): the most that a pair of this name can be counted."""
     most = _mentions_per_report(others, other, "n").groupBy(ID).agg(F.max("n").alias("most"))
-    per = _mentions_per_report(mentions, name, "n").join(most, ID)
+    per = _mentions_per_report(mentions, name, "n").join(of_reports(most), ID)
     return per.groupBy(name).agg(F.sum(F.col("n") * F.col("most")).alias("bound"))
 
 

@@ -55,7 +55,7 @@ def _silver_of(spark: SparkSession, lake_root: str, period: str) -> dict[str, Da
     s = {n: _read(spark, lake_root, "silver", n, [period]).drop("period") for n in SILVER_TABLES}
     known = s["adverse_events"].select(ID)
     for n in ("drugs", "reactions"):
-        s[n] = s[n].where(F.col(ID).isNotNull()).join(known, ID, "left_semi").unionByName(s[n].where(F.col(ID).isNull()))
+        s[n] = s[n].where(F.col(ID).isNotNull()).join(G.of_reports(known), ID, "left_semi").unionByName(s[n].where(F.col(ID).isNull()))
     return s
 
 
@@ -83,7 +83,7 @@ def supersede(spark: SparkSession, lake_root: str, period: str, known: list[str]
     old = none
     if earlier:
         held = _read(spark, lake_root, LAYER, "ids", earlier).withColumnRenamed("period", "held")
-        old = held.join(ids, ID, "left_semi").groupBy(ID).agg(F.max("held").alias("held"))
+        old = held.join(G.of_reports(ids), ID, "left_semi").groupBy(ID).agg(F.max("held").alias("held"))
     T.replace_period(old, lake_root, LAYER, "superseded", period)
     old = spark.read.schema(none.schema).parquet(f"{lake_root.rstrip('/')}/{LAYER}/superseded/period={period}")
     # run months that lose reports: a few, never data-sized
@@ -93,7 +93,7 @@ def supersede(spark: SparkSession, lake_root: str, period: str, known: list[str]
             f"{lake_root.rstrip('/')}/{LAYER}/added_{n}/period={period}").schema) for n in PT.KEYS}, period)
         return []
     s = {n: _read(spark, lake_root, "silver", n, losing).withColumnRenamed("period", "held").join(
-        old, [ID, "held"], "left_semi").drop("held") for n in SILVER_TABLES}
+        G.of_reports(old), [ID, "held"], "left_semi").drop("held") for n in SILVER_TABLES}
     parts = PT.all_parts(*(s[n] for n in SILVER_TABLES))
     _replace(spark, lake_root, {f"removed_{n}": PT.negated(df, n) for n, df in parts.items()}, period)
     return losing
@@ -108,7 +108,7 @@ def _write_features(spark: SparkSession, lake_root: str, known: list[str], perio
     def current(ps: list[str]) -> DataFrame:
         rows = _read(spark, lake_root, LAYER, "features", ps).withColumnRenamed("period", "held")
         gone = _read(spark, lake_root, LAYER, "superseded", known).select(ID, "held")
-        return rows.join(gone, [ID, "held"], "left_anti")
+        return rows.join(G.of_reports(gone), [ID, "held"], "left_anti")
 
     if not set(known) - set(periods) <= there:  # the table was not kept by period before
         df = current(known).withColumnRenamed("held", "period").select(*columns, "period")

@@ -94,7 +94,7 @@ def read_silver(spark: SparkSession, lake_root: str, period: str | None = None)
     out = {"adverse_events": latest.select(*cols["adverse_events"])}
     for n in ("drugs", "reactions"):
         df = raw[n].withColumn("period", F.col("period").cast("string"))
-        kept = df.join(keys, ["safety_report_id", "period"], "left_semi").unionByName(
+        kept = df.join(G.of_reports(keys), ["safety_report_id", "period"], "left_semi").unionByName(
             df.where(F.col("safety_report_id").isNull())
         )
         out[n] = kept.select(*cols[n])

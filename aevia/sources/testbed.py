@@ -49,7 +49,9 @@ def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation is a fixed code list of countries (25 rows at every scale):
     # a proven size bound, so it is broadcast.
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-    return orders.join(customer, orders.o_custkey == customer.c_custkey).join(
+    # customers and parts grow with the tables: never broadcast, however small
+    # their files are
+    return orders.join(customer.hint("merge"), orders.o_custkey == customer.c_custkey).join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
 
@@ -59,7 +61,7 @@ def _children(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
-    lines = li.join(part, li.l_partkey == part.p_partkey)
+    lines = li.join(part.hint("merge"), li.l_partkey == part.p_partkey)
 
     pk = F.col("l_partkey")
     ln = F.col("l_linenumber")
@@ -125,7 +127,7 @@ def bronze_reports(spark: SparkSession, sf_dir: str, children: bool = True) -> D
 
     if children:
         rep = _reports(spark, sf_dir).join(
-            _children(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left"
+            _children(spark, sf_dir).hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left"
         )
     else:
         rep = _reports(spark, sf_dir).select(
