@@ -149,10 +149,11 @@ def read_gold(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:
 
 def run_pipeline(spark: SparkSession, year: int, month: int, bronze_root: str, lake_root: str,
                  pages_path: str | None = None, publish_root: str | None = None,
-                 mode: str = "dynamic", snapshots: bool = False) -> dict:
+                 mode: str = "dynamic", snapshots: bool = False, page_lines: bool = False) -> dict:
     """JOB3: ingest -> silver -> quality -> gold -> publish for one month.
 
-    With ``pages_path`` the month is first landed from page files; gold is
+    With ``pages_path`` the month is first landed from page files (with
+    ``page_lines`` from files of a page a line); gold is
     built only when the silver gate passes, and published only when the
     gold tables pass their own suite: in place, or with ``snapshots`` as one
     snapshot of all tables (``sources.snapshots``), whose number is returned.
@@ -160,8 +161,8 @@ def run_pipeline(spark: SparkSession, year: int, month: int, bronze_root: str, l
     B.check_period(year, month)
     result: dict = {"period": period_of(year, month)}
     if pages_path:
-        store_audit(spark, B.audit_pages(B.read_page_files(spark, pages_path)), lake_root, "pages", result["period"])
-        result["bronze"] = B.land_bronze(B.read_pages(spark, pages_path), bronze_root, year, month)
+        store_audit(spark, B.audit_pages(B.read_page_files(spark, pages_path, page_lines)), lake_root, "pages", result["period"])
+        result["bronze"] = B.land_bronze(B.read_pages(spark, pages_path, page_lines), bronze_root, year, month)
     result["silver"] = run_bronze_to_silver(spark, bronze_root, lake_root, year, month, mode=mode)
     result["quality"] = run_quality_gate(spark, lake_root, result["period"] if mode == "dynamic" else None)
     result["gold"] = run_build_gold(spark, lake_root, result["period"] if mode == "dynamic" else None)

@@ -19,7 +19,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from aevia.schemas import BRONZE_REPORT, PAGE_BODY
 from aevia.sources.storage import scratch_path, take_places
@@ -166,11 +166,18 @@ def unwrap_pages(bodies: DataFrame, body_col: str = "body", page_col: str | None
     return out.select(*([page_col] if page_col else []), "pos", "r.*")
 
 
-def read_page_files(spark: SparkSession, path: str) -> DataFrame:
+def read_page_files(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Every page file under ``path`` (``page-<skip>.json`` or, as Spark lays
     files out, ``page=<skip>/...``; one JSON object each): ``skip`` (null if the name has none), ``results`` (empty without
-    the key), ``_corrupt`` (the text, if it does not parse)."""
+    the key), ``_corrupt`` (the text, if it does not parse).
+
+    With ``lines`` a file holds many pages, one a line with its own ``skip``
+    (``write_page_lines``): files do not grow in number with the pages."""
     schema = StructType([*PAGE_BODY.fields, StructField(CORRUPT, StringType())])
+    if lines:
+        schema = StructType([StructField("skip", LongType()), *schema.fields])
+        raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+        return raw.select("skip", F.coalesce("results", F.array()).alias("results"), CORRUPT)
     raw = (
         spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True).json(path)
@@ -180,11 +187,11 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce("results", F.array()).alias("results"), CORRUPT)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """SRC4: the reports of all page files, read in parallel. Empty, missing
     and corrupt pages take nothing from the others; ``audit_pages`` counts
     them."""
-    return read_page_files(spark, path).select("skip", F.posexplode("results").alias("pos", "r")).select("skip", "pos", "r.*")
+    return read_page_files(spark, path, lines).select("skip", F.posexplode("results").alias("pos", "r")).select("skip", "pos", "r.*")
 
 
 def audit_pages(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -208,15 +215,27 @@ def page_bodies(reports: DataFrame, order_col: str, page_size: int = 100) -> Dat
     """Pages of ``page_size`` reports as JSON text bodies, numbered by the
     reports' order key (the layout the source API serves). Each group holds
     at most ``page_size`` reports."""
-    cols = [f.name for f in BRONZE_REPORT.fields]
+    return _pages(reports, order_col, page_size).select("page", F.to_json(F.struct("results")).alias("body"))
+
+
+def _pages(reports: DataFrame, order_col: str, page_size: int) -> DataFrame:
     return (
         reports.withColumn("page", F.floor(F.col(order_col) / page_size))
         .groupBy("page")
         # sorted, so a recomputed page (lost executor) has the same text
-        .agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct(*cols))).alias("results"))).alias("body"))
+        .agg(F.array_sort(F.collect_list(F.struct(*REPORT_COLS))).alias("results"))
     )
 
 
+def write_page_lines(reports: DataFrame, order_col: str, path: str, page_size: int = PAGE_SIZE) -> str:
+    """The pages of ``page_bodies`` as files of many pages, one a line with
+    its ``skip``. A file a page would be as many files as pages, which the
+    driver lists and moves one by one."""
+    pages = _pages(reports, order_col, page_size)
+    pages.select((F.col("page") * page_size).alias("skip"), "results").write.json(path)
+    return path
+
+
 def offset_page(reports: DataFrame, order_cols: list[str], skip: int, limit: int) -> DataFrame:
     """LIM1: one page of ``limit`` rows after ``skip`` rows, in a fixed
     order."""

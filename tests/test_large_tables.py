@@ -79,3 +79,22 @@ def test_features_of_models_are_built_once(spark, monkeypatch):
     features = QU._features(c)
     assert "l_returnflag" not in features._jdf.queryExecution().toString()
     assert sorted(map(str, features.collect())) == sorted(map(str, c.gold["ml_features"].collect()))
+
+
+def test_pages_kept_as_lines(spark, scratch, bronze_of):
+    rows = bronze_of([report(str(i)) for i in range(95)]).withColumn("k", F.col("safetyreportid").cast("int"))
+    B.write_page_lines(rows, "k", scratch, page_size=10)
+    assert len(glob.glob(scratch.removeprefix("file:") + "/*.json")) <= 4  # not a file a page
+    pages = B.read_page_files(spark, scratch, lines=True)
+    assert sorted(r.skip for r in pages.collect()) == list(range(0, 100, 10))
+    got = B.read_pages(spark, scratch, lines=True)
+    assert sorted(map(str, got.select(*B.REPORT_COLS).collect())) == sorted(map(str, rows.select(*B.REPORT_COLS).collect()))
+    as_texts = B.unwrap_pages(B.page_bodies(rows, "k", 10)).select((F.col("page") * 10).alias("skip"), "pos", "safetyreportid")
+    assert sorted(map(str, as_texts.collect())) == sorted(map(str, got.select("skip", "pos", "safetyreportid").collect()))
+    # a page cut short, one without reports and one that never came
+    spark.createDataFrame([('{"skip": 100, "results": [{"safetyrep',), ('{"skip": 110, "results": []}',), ('{"skip": 130}',)], "value string").coalesce(
+        1).write.mode("append").text(scratch)
+    audit = B.audit_pages(B.read_page_files(spark, scratch, lines=True), 10).first().asDict()
+    assert audit == {"files": 13, "pages": 12, "empty_pages": 2, "missing_pages": 2, "corrupt": 1, "reports": 95}
+    with pytest.raises(Q.DataQualityError):
+        P.run_pipeline(spark, 2024, 1, f"{scratch}-bronze", f"{scratch}-lake", pages_path=scratch, page_lines=True)
