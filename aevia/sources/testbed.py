@@ -39,6 +39,8 @@ BLANK_DRUG_MOD = 97  # on l_partkey: medicinalproduct '   '
 MAX_REACTION_LINE = 3
 UNMAPPED_ROLE_LINE = 7
 NULL_INDICATION_MOD = 3
+#: Line items that one task groups by order.
+TASK_LINES = 250_000
 
 
 def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +95,10 @@ def _children(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a streaming sort-based aggregate (groups are at most seven items, so
     # a map-side combine would gain nothing). Arrays are still sorted by
     # line number, so a report's content never depends on shuffle order.
-    grouped = lines.repartition("l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
+    # As many partitions as the lines need (a count from the file footers), so
+    # that the sort of one task is as large at any size of the table.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-li.count() // TASK_LINES))
+    grouped = lines.repartition(parts, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
     return grouped.groupBy("l_orderkey").agg(
         F.transform(
             F.array_sort(F.collect_list(drug_item)),

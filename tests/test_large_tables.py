@@ -62,6 +62,18 @@ def test_taken_back_reports_are_never_broadcast(spark, scratch, bronze_of, monke
     assert joined <= {"added_pairs", "removed_pairs"}  # crowded reports alone
 
 
+def test_lines_are_dealt_by_their_number(spark, monkeypatch):
+    whole = testbed.bronze(spark, SF_SMALL)
+    plan = planned(spark, whole)
+    assert [b for b in re.findall(r"BroadcastExchange.*", plan)] and plan.count("BroadcastExchange") == 1  # countries
+    rows = sorted(map(str, whole.collect()))
+    monkeypatch.setattr(testbed, "TASK_LINES", 500)
+    dealt = testbed._children(spark, SF_SMALL)
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert dealt.rdd.getNumPartitions() == -(-lines // 500) > 4
+    assert sorted(map(str, testbed.bronze(spark, SF_SMALL).collect())) == rows
+
+
 @pytest.mark.parametrize("key", ["dq_gold", "dq_orphans", "prof_value_counts", "bound_signal_pairs", "publish_roundtrip", "bucketed_drug_summary"])
 def test_reports_are_built_once(spark, monkeypatch, key):
     """Silver is made of written reports, not of the tables again."""
