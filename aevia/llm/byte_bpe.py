@@ -11,9 +11,10 @@ Distinct words are folded once: the words of the whole corpus are counted,
 and the most frequent (``TABLE_WORDS`` at most, some 64 bytes each) are
 folded and broadcast with their ids. Arrow steps cut texts into words, put
 the ids of known words in their places and number the other distinct words of
-each document; these are folded, once a document, by the same expression
-between the steps. The bound decides cost, never ids. Decoding joins the byte
-pieces of the ids. Documents are never shuffled.
+each document; these are folded, once a document, by the same expression, and
+saved. The bound decides cost, never ids. The second step reads from there, so
+that a task has one Python worker at a time. Decoding joins the byte pieces of
+the ids. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -317,7 +318,7 @@ class ByteBpe:
         marked = docs.select("doc_id", "text").mapInArrow(
             look_up_words, f"doc_id {doc_id}, ids array<int>, others array<string>")
         others = bind(self.ranks, lambda ranks: F.transform("others", lambda w: self.fold(w, ranks)))
-        return marked.select("doc_id", "ids", others.alias("others"))
+        return saved(marked.select("doc_id", "ids", others.alias("others")), "op8-marked")
 
     def encode(self, docs: DataFrame, table_words: int = TABLE_WORDS) -> DataFrame:
         """``(doc_id, ids)`` of ``docs``. Null and empty texts have none."""
@@ -330,7 +331,7 @@ class ByteBpe:
         return encoded.mapInArrow(self.joiner(), self.decoded_schema(encoded))
 
     def encode_and_decode(self, docs: DataFrame, table_words: int = TABLE_WORDS) -> DataFrame:
-        """``decode`` of ``encode`` with one Python worker less a task."""
+        """``decode`` of ``encode`` in one step over the marked documents."""
         marked, join_pieces = self.marked(docs, table_words), self.joiner()
         return marked.mapInArrow(lambda batches: join_pieces(put_in(batches)), self.decoded_schema(marked))
 
@@ -339,10 +340,11 @@ class ByteBpe:
         return f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids array<int>, bytes binary, ids_text string"
 
     def joiner(self):
-        by_id = self.by_id
+        by_id, name = self.by_id, uuid.uuid4().hex
 
         def join_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pieces, decimal = Pieces(by_id), [str(i) for i in range(len(by_id))]
+            # takes the place of the known words in a worker that is used again
+            pieces, decimal = cached(("op8-pieces", name), lambda: (Pieces(by_id), [str(i) for i in range(len(by_id))]))
             for batch in batches:
                 values, ends = flat(batch.column("ids"))
                 values = values.to_numpy()

@@ -186,6 +186,14 @@ def test_byte_bpe(odd, empty, table_words):
         assert byte_bpe.round_trip(empty, bpe).collect() == []
 
 
+def test_a_task_of_byte_bpe_has_one_python_worker(odd):
+    import public_tokenizers
+
+    bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(vocabulary_path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    for df in (byte_bpe.round_trip(odd, bpe, 40), bpe.encode(odd, 40)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_byte_level_units():
     """Units put together are the text; only plain texts are cut at line breaks."""
     rng = random.Random(6)
