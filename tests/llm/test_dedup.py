@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -183,6 +184,30 @@ def test_odd_dedup(odd, empty):
     assert substring_dedup.substring_dedup(empty).collect() == []
 
 
+def test_rows_of_windows_are_short_and_never_broadcast(llm, monkeypatch):
+    """What is exchanged for every anchor and window holds no digest, and
+    what it is joined with grows with the texts."""
+    plans = {}
+
+    def planned(df, name, keep=substring_dedup.saved):
+        llm.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            plans[name] = df.select("*")._jdf.queryExecution().executedPlan().toString()
+        finally:
+            llm.conf.set("spark.sql.adaptive.enabled", "true")
+        return keep(df, name)
+
+    monkeypatch.setattr(substring_dedup, "saved", planned)
+    docs = near_copies(8, groups=5, copies=12)
+    substring_dedup.find_repeats(llm.createDataFrame(docs, "doc_id long, text string"))
+    for name, key in (("op2-windows", "anchor"), ("op2-rebuilt", "one")):
+        lines = plans[name].splitlines()
+        # the projection of every exploded row
+        exploded = [re.sub(r"xxhash64\([^)]*\)", "", up) for up, line in zip(lines, lines[1:]) if "Generate" in line]
+        assert exploded and not any("digest" in line for line in exploded), (name, exploded)
+        assert not [line for line in lines if "BroadcastHashJoin" in line and f"[{key}#" in line], name
+
+
 @pytest.mark.parametrize("size", [8, 50])
 def test_shared_passages(llm, size):
     docs = near_copies(8, groups=5, copies=12)
