@@ -28,6 +28,7 @@ from aevia.llm.common import read_bytes, saved
 from aevia.llm.units import encoder, slices
 
 OPEN_BINS = 4_096
+TABLE_UNITS = 1_200_000  # words a worker keeps: no other step shares it
 PIECES_PER_PACKER = 20_000
 
 
@@ -73,7 +74,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int)
     tokenizer = read_bytes(tokenizer_path)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, "word", end_id)
+        enc = encoder(tokenizer, "word", end_id, TABLE_UNITS)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, run in slices(texts):

@@ -110,6 +110,15 @@ def test_best_fit_packing(odd, empty):
     assert packing.best_fit_packing(empty, path, 1, 512).collect() == []
 
 
+def test_packing_keeps_the_words_of_a_worker(llm, monkeypatch):
+    """A worker's share of a few hundred MB holds some million distinct words."""
+    limits, frame = [], llm.createDataFrame([(1, "a")], "doc_id long, text string")
+    monkeypatch.setattr(packing, "encoder", lambda *a: limits.append(a[-1]))
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda df, step, schema: list(step(iter([]))))
+    packing.pieces_of(frame, vocabulary_path("word_bpe_49k.json"), 1, 512)
+    assert limits == [packing.TABLE_UNITS] and packing.TABLE_UNITS > units.UNIT_LIMIT
+
+
 def test_best_fit_bins():
     rng = random.Random(5)
     for open_bins in (1, 3, 10_000):
