@@ -28,7 +28,7 @@ from aevia.llm.common import read_bytes, saved
 from aevia.llm.units import encoder, slices
 
 OPEN_BINS = 4_096
-TABLE_UNITS = 1_200_000  # words a worker keeps: no other step shares it
+TABLE_UNITS = 1_200_000  # words a worker keeps if no other step shares its executor
 PIECES_PER_PACKER = 20_000
 
 
@@ -68,13 +68,14 @@ class BestFit:
         return b, self.capacity - free
 
 
-def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, table_units: int = TABLE_UNITS) -> DataFrame:
     """Per piece of ``docs(doc_id, text)``: doc_id, piece, start, length,
-    ids_crc32. A null text is empty and has the end id alone."""
+    ids_crc32. A null text is empty and has the end id alone. A worker keeps
+    the ids of ``table_units`` words, which decides memory and time alone."""
     tokenizer = read_bytes(tokenizer_path)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, "word", end_id, TABLE_UNITS)
+        enc = encoder(tokenizer, "word", end_id, table_units)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, run in slices(texts):
@@ -116,8 +117,9 @@ def pack(pieces: DataFrame, capacity: int, open_bins: int = OPEN_BINS,
     return pieces.repartition(n, spread).sortWithinPartitions(*order).mapInPandas(packed, schema)
 
 
-def best_fit_packing(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096) -> DataFrame:
+def best_fit_packing(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096,
+                     table_units: int = TABLE_UNITS) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset. Repeated rows are packed each; an empty table gives no rows;
     further columns are not read."""
-    return pack(saved(pieces_of(docs, tokenizer_path, end_id, capacity), "op5-pieces"), capacity)
+    return pack(saved(pieces_of(docs, tokenizer_path, end_id, capacity, table_units), "op5-pieces"), capacity)

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from aevia.llm import jaccard_join, packing, quality_classifier, quality_rules, substring_dedup
 from aevia.llm.common import read_table, saved, use_package, vocabulary_path, words_of
 
+#: Words that a worker of the last stage keeps: it runs in executors whose heap
+#: and idle workers still hold what the stages before it took.
+PACKING_UNITS = 300_000
+
 
 def stage_quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones, accepts:
@@ -55,7 +59,8 @@ def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """The pieces of all documents and their places in sequences; an empty
     table gives none."""
     use_package(spark)
-    return packing.best_fit_packing(docs, vocabulary_path("word_bpe_49k.json"), end_id=1, capacity=4096)
+    return packing.best_fit_packing(docs, vocabulary_path("word_bpe_49k.json"), end_id=1, capacity=4096,
+                                    table_units=PACKING_UNITS)
 
 
 STAGES = [

@@ -52,3 +52,27 @@ def test_stages(llm, scratch):
     assert corpus_pipeline.ORACLE_SQL is None
     assert Counter(map(tuple, corpus_pipeline.run(llm, SF).select("doc_id", "piece", "start", "length", "ids_crc32").collect())) == \
         Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in pieces)
+
+
+def test_the_last_stage_leaves_room_for_the_others(llm, monkeypatch):
+    """Executors that ran four stages have less memory left than op5's own."""
+    import corpus_pipeline
+    from aevia.llm import packing
+
+    limits, frame = [], llm.createDataFrame([(1, "a")], "doc_id long, text string")
+    monkeypatch.setattr(packing, "encoder", lambda *a: limits.append(a[-1]))
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda df, step, schema: list(step(iter([]))))
+    monkeypatch.setattr(packing, "saved", lambda rows, name: rows)
+    monkeypatch.setattr(packing, "pack", lambda rows, capacity: rows)
+    corpus_pipeline.stage_packing(llm, frame, SF)
+    assert limits and limits[0] <= packing.TABLE_UNITS // 4
+
+
+def test_the_size_of_the_table_changes_no_piece(llm):
+    from aevia.llm import packing
+    from aevia.llm.common import vocabulary_path
+
+    docs = llm.createDataFrame([(k, " ".join(f"word{k}x{j}" for j in range(50))) for k in range(40)], "doc_id long, text string")
+    few, many = (Counter(map(tuple, packing.pieces_of(docs, vocabulary_path("word_bpe_49k.json"), 1, 64, n).collect()))
+                 for n in (7, 1_000_000))
+    assert few == many and len(few) > 40
