@@ -37,12 +37,30 @@ def event_parts(events: DataFrame) -> DataFrame:
         F.count(ID).alias("reports"), *flags)
 
 
+def report_mentions(mentions: DataFrame, events: DataFrame, name: str) -> DataFrame:
+    """(id, name, n, is_serious) of the mentions whose report is in
+    ``events``, and of those without an id; of drugs also ``suspect``, 1 if
+    one was. All parts come from these rows, so mentions and reports meet
+    once, in one exchange by report id."""
+    sums = [F.count(F.lit(1)).alias("n")]
+    if name == "drug_name":
+        sums.append(F.max(F.when(F.col("drug_role") == "Suspect", 1).otherwise(0)).alias("suspect"))
+    known = mentions.where(F.col(ID).isNotNull()).join(G.of_reports(events.select(ID, "is_serious")), ID)
+    nobody = mentions.where(F.col(ID).isNull()).groupBy(name).agg(*sums).withColumns({
+        ID: F.lit(None).cast("string"), "is_serious": F.lit(None).cast(events.schema["is_serious"].dataType)})
+    return known.groupBy(ID, name, "is_serious").agg(*sums).unionByName(nobody)
+
+
 def mention_parts(mentions: DataFrame, events: DataFrame, name: str) -> DataFrame:
     """Per name: mentions, those with a report id, and the seriousness of
     their reports. Mentions are combined per report before the join, as in
     ``gold``."""
     per = mentions.groupBy(ID, name).agg(F.count(F.lit(1)).alias("n"))
-    joined = per.join(G.of_reports(events.select(ID, "is_serious")), ID, "left")
+    return name_parts(per.join(G.of_reports(events.select(ID, "is_serious")), ID, "left"), name)
+
+
+def name_parts(joined: DataFrame, name: str) -> DataFrame:
+    """``mention_parts`` of rows as ``report_mentions`` gives them."""
     n, none = F.col("n"), F.lit(0).cast("long")
     return joined.groupBy(name).agg(
         F.sum("n").alias("mentions"),
@@ -51,21 +69,25 @@ def mention_parts(mentions: DataFrame, events: DataFrame, name: str) -> DataFram
         F.coalesce(F.sum(F.when(F.col("is_serious").isNotNull(), n)), none).alias("is_serious_known"))
 
 
-def pair_parts(events: DataFrame, drugs: DataFrame, reactions: DataFrame, part: int = G.PAIR_PART) -> DataFrame:
+def pair_parts(drugs: DataFrame, reactions: DataFrame, part: int = G.PAIR_PART) -> DataFrame:
     """Per drug and reaction: mention pairs and the seriousness of their
-    reports."""
+    reports, of rows as ``report_mentions`` gives them."""
+    d, r = (m.where(F.col(ID).isNotNull()) for m in (drugs, reactions))
+    pairs = G.paired(d.select(ID, "drug_name", F.col("n").alias("n_d")),
+                     r.select(ID, "reaction_name", F.col("n").alias("n_r"), "is_serious"), part)
     w = F.col("n_d") * F.col("n_r")
-    return G.mention_pairs(events, drugs, reactions, part).groupBy("drug_name", "reaction_name").agg(
+    return pairs.groupBy("drug_name", "reaction_name").agg(
         F.sum(w).alias("pairs"), F.sum(w * F.col("is_serious")).alias("is_serious"),
         F.coalesce(F.sum(F.when(F.col("is_serious").isNotNull(), w)), F.lit(0).cast("long")).alias("is_serious_known"))
 
 
 def all_parts(events: DataFrame, drugs: DataFrame, reactions: DataFrame) -> dict[str, DataFrame]:
+    """The parts of reports and their ``report_mentions``."""
     return {
         "events": event_parts(events),
-        "drugs": mention_parts(drugs, events, "drug_name"),
-        "reactions": mention_parts(reactions, events, "reaction_name"),
-        "pairs": pair_parts(events, drugs, reactions),
+        "drugs": name_parts(drugs, "drug_name"),
+        "reactions": name_parts(reactions, "reaction_name"),
+        "pairs": pair_parts(drugs, reactions),
     }
 
 

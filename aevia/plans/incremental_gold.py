@@ -4,15 +4,18 @@ The lake keeps, beside silver, the parts of every run period (see
 ``operators.partials``), all under ``gold_parts``:
 
 * ``ids/period=P``: the report ids of period P;
+* ``mentions_<name>/period=P``: the names that P's reports mention, counted by
+  report, with its seriousness; all parts below are worked out from them;
 * ``added_<part>/period=P``: what all reports of P add to gold;
 * ``superseded/period=S``: the reports that S sends again, each with the
   period that held it last before S;
+* ``lost_<name>/period=S``: the mentions of these earlier versions;
 * ``removed_<part>/period=S``: what these earlier versions had added, negated;
 * ``features/period=P``: the feature rows of P's reports.
 
 Gold is the sum of all added and removed parts. A new period therefore reads
-its own silver, the ids of the earlier ones, and the silver of just those
-earlier periods that hold a report it sends again. A period that is run again
+its own silver, the ids of the earlier ones, and the silver and mentions of
+just those earlier periods that hold a report it sends again. A period that is run again
 replaces its parts, and the periods after it work out anew what they
 supersede (a report it no longer holds goes back to an earlier version); the
 parts that they added stay. Every write replaces one period's folder whole, so
@@ -36,6 +39,7 @@ log = logging.getLogger(__name__)
 ID = G.ID
 SILVER_TABLES = ("adverse_events", "drugs", "reactions")
 LAYER = "gold_parts"
+NAMES = {"drugs": "drug_name", "reactions": "reaction_name"}
 
 
 def _read(spark: SparkSession, lake_root: str, layer: str, name: str, periods: list[str]) -> DataFrame | None:
@@ -59,12 +63,19 @@ def _silver_of(spark: SparkSession, lake_root: str, period: str) -> dict[str, Da
     return s
 
 
+def _parts(spark: SparkSession, lake_root: str, name: str, period: str) -> DataFrame:
+    return _read(spark, lake_root, LAYER, name, [period]).drop("period")
+
+
 def add_period(spark: SparkSession, lake_root: str, period: str) -> None:
-    """Store what ``period`` adds, from its silver alone."""
-    s = _silver_of(spark, lake_root, period)
-    ev, dr, rx = (s[n] for n in SILVER_TABLES)
+    """Store what ``period`` adds, from its silver alone. Its mentions meet
+    their reports once; mentions of reports that it does not hold are left
+    out, those without an id stay."""
+    ev, *mentions = (_read(spark, lake_root, "silver", n, [period]).drop("period") for n in SILVER_TABLES)
+    _replace(spark, lake_root, {f"mentions_{n}": PT.report_mentions(m, ev, NAMES[n]) for n, m in zip(NAMES, mentions)}, period)
+    dr, rx = (_parts(spark, lake_root, f"mentions_{n}", period) for n in NAMES)
     tables = {f"added_{name}": parts for name, parts in PT.all_parts(ev, dr, rx).items()}
-    tables["features"] = G.ml_features(ev, dr, rx)
+    tables["features"] = G.features_of(ev, dr, rx)
     _replace(spark, lake_root, tables, period)
     # last: a period whose ids are there is whole
     T.replace_period(ev.select(ID), lake_root, LAYER, "ids", period)
@@ -92,9 +103,13 @@ def supersede(spark: SparkSession, lake_root: str, period: str, known: list[str]
         _replace(spark, lake_root, {f"removed_{n}": spark.createDataFrame([], spark.read.parquet(
             f"{lake_root.rstrip('/')}/{LAYER}/added_{n}/period={period}").schema) for n in PT.KEYS}, period)
         return []
-    s = {n: _read(spark, lake_root, "silver", n, losing).withColumnRenamed("period", "held").join(
-        G.of_reports(old), [ID, "held"], "left_semi").drop("held") for n in SILVER_TABLES}
-    parts = PT.all_parts(*(s[n] for n in SILVER_TABLES))
+
+    def lost(layer: str, name: str) -> DataFrame:
+        return _read(spark, lake_root, layer, name, losing).withColumnRenamed("period", "held").join(
+            G.of_reports(old), [ID, "held"], "left_semi").drop("held")
+
+    _replace(spark, lake_root, {f"lost_{n}": lost(LAYER, f"mentions_{n}") for n in NAMES}, period)
+    parts = PT.all_parts(lost("silver", "adverse_events"), *(_parts(spark, lake_root, f"lost_{n}", period) for n in NAMES))
     _replace(spark, lake_root, {f"removed_{n}": PT.negated(df, n) for n, df in parts.items()}, period)
     return losing
 
@@ -126,7 +141,7 @@ def update_gold(spark: SparkSession, lake_root: str, period: str) -> dict[str, s
     known = T.list_periods(spark, f"{root}/silver/adverse_events")
     if period not in known:
         raise ValueError(f"no silver of period {period}")
-    have = set(T.list_periods(spark, f"{root}/{LAYER}/ids"))
+    have = set.intersection(*(set(T.list_periods(spark, f"{root}/{LAYER}/{n}")) for n in ("ids", *(f"mentions_{n}" for n in NAMES))))
     todo = [p for p in known if p == period or p not in have]
     for p in todo:
         add_period(spark, lake_root, p)

@@ -1,7 +1,7 @@
 """Bronze sources and the landing sink.
 
-* Landing writes reports as JSON Lines (splittable: one file is many
-  tasks) into Hive-style ``year=YYYY/month=MM`` partitions with dynamic
+* Landing writes reports as compressed JSON Lines, at most ``FILE_REPORTS``
+  a file (one file is one task), into Hive-style ``year=YYYY/month=MM`` partitions with dynamic
   partition overwrite, so a rerun replaces only the months it touches.
 * Reading goes through the root folder with a declared schema, so a filter
   on ``year`` / ``month`` prunes whole partitions before any file is opened.
@@ -60,15 +60,16 @@ REPORT_COLS = [f.name for f in BRONZE_REPORT.fields]
 CORRUPT = "_corrupt"
 PAGE_SIZE = 100  # reports a page of the source API
 ARRAY_REPORTS = 20_000  # reports an array file
+FILE_REPORTS = 100_000  # reports a landed file
 
 
 def land_bronze(reports: DataFrame, root: str, year: int | None = None, month: int | None = None) -> str:
     """SNK1 + SRC6: write raw reports to their monthly partition.
 
     With ``year``/``month`` every report lands in that run period; without
-    them, ``year``/``month`` columns of ``reports`` decide. Rows are brought
+    them, ``year``/``month`` columns of ``reports`` decide, and rows are brought
     together by month before the write, so a month is a few files and not
-    one per task. Raises ``ValueError`` when there is nothing to land (what
+    one per task; rows of one given month are written where they are. Raises ``ValueError`` when there is nothing to land (what
     was landed before stays). The input is computed once, into a staged
     folder that readers skip; its months take their places when all is there,
     so a landing that fails leaves the months as they were.
@@ -78,7 +79,9 @@ def land_bronze(reports: DataFrame, root: str, year: int | None = None, month: i
         reports = reports.withColumn("year", F.lit(int(year))).withColumn("month", F.lit(int(month)))
     rows = reports.select(*REPORT_COLS, "year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"))
     staged = f"{root.rstrip('/')}/_staged-{uuid.uuid4().hex}"
-    rows.hint("rebalance", "year", "month").write.partitionBy("year", "month").json(staged)
+    if year is None:
+        rows = rows.hint("rebalance", "year", "month")
+    rows.write.partitionBy("year", "month").option("maxRecordsPerFile", FILE_REPORTS).json(staged, compression="gzip")
     if not take_places(reports.sparkSession, staged, root, levels=2):
         raise ValueError("no reports to land")
     return period_path(root, year, month) if year is not None else root

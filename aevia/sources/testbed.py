@@ -84,34 +84,28 @@ def _children(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     drug_item = F.struct(
         ln.alias("pos"),
-        product.alias("medicinalproduct"),
-        role.alias("drugcharacterization"),
-        indication.alias("drugindication"),
+        F.struct(
+            product.alias("medicinalproduct"),
+            role.alias("drugcharacterization"),
+            indication.alias("drugindication"),
+        ).alias("item"),
     )
     reaction_item = F.when(
-        ln <= MAX_REACTION_LINE, F.struct(ln.alias("pos"), reaction.alias("reactionmeddrapt"))
+        ln <= MAX_REACTION_LINE, F.struct(ln.alias("pos"), F.struct(reaction.alias("reactionmeddrapt")).alias("item"))
     )
     # One exchange by order key; sorted partitions let the grouping run as
     # a streaming sort-based aggregate (groups are at most seven items, so
     # a map-side combine would gain nothing). Arrays are still sorted by
-    # line number, so a report's content never depends on shuffle order.
+    # line number, so a report's content never depends on shuffle order
+    # (``sort_array`` and the field of an array of structs are compiled;
+    # ``array_sort`` and ``transform`` call a lambda per item).
     # As many partitions as the lines need (a count from the file footers), so
     # that the sort of one task is as large at any size of the table.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-li.count() // TASK_LINES))
     grouped = lines.repartition(parts, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
     return grouped.groupBy("l_orderkey").agg(
-        F.transform(
-            F.array_sort(F.collect_list(drug_item)),
-            lambda d: F.struct(
-                d["medicinalproduct"].alias("medicinalproduct"),
-                d["drugcharacterization"].alias("drugcharacterization"),
-                d["drugindication"].alias("drugindication"),
-            ),
-        ).alias("drug"),
-        F.transform(
-            F.array_sort(F.collect_list(reaction_item)),
-            lambda r: F.struct(r["reactionmeddrapt"].alias("reactionmeddrapt")),
-        ).alias("reaction"),
+        F.sort_array(F.collect_list(drug_item))["item"].alias("drug"),
+        F.sort_array(F.collect_list(reaction_item))["item"].alias("reaction"),
     )
 
 
