@@ -8,8 +8,8 @@ storage and a lost executor only recomputes from the last written table.
 from __future__ import annotations
 
 import logging
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +44,14 @@ def run_bronze_to_silver(spark: SparkSession, bronze_root: str, lake_root: str,
     month.
     """
     period = period_of(year, month)
-    # The audit and the three builders read the same month: parse the JSON once.
-    raw = B.read_bronze_raw(spark, bronze_root, year, month).persist(StorageLevel.MEMORY_AND_DISK)
+    # The audit and the three builders read the same month: parse the JSON once,
+    # into a file and not into the executors' memory, which the reports of a
+    # large month fill (blocks that leave it are serialized on the heap).
+    parsed = f"{lake_root.rstrip('/')}/_parsed-{uuid.uuid4().hex}"
+    raw = B.read_bronze_raw(spark, bronze_root, year, month)
     try:
+        raw.write.parquet(parsed)
+        raw = spark.read.schema(raw.schema).parquet(parsed)
         store_audit(spark, B.audit_bronze(raw), lake_root, "bronze", period, max_corrupt)
         src = raw.where(F.col(B.CORRUPT).isNull()).select(*B.REPORT_COLS)
         tables = S.build_silver(src.dropDuplicates() if dedupe_reports else src)
@@ -55,7 +60,7 @@ def run_bronze_to_silver(spark: SparkSession, bronze_root: str, lake_root: str,
             return dict(zip(SILVER_TABLES, paths))
         return {n: T.write_table(tables[n], lake_root, "silver", n) for n in SILVER_TABLES}
     finally:
-        raw.unpersist()
+        T.drop_folder(spark, parsed)
 
 
 def store_audit(spark: SparkSession, audit: DataFrame, lake_root: str, source: str, period: str, max_corrupt: int = 0) -> dict:

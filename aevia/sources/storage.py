@@ -113,7 +113,7 @@ def replace_period(df: DataFrame, root: str, layer: str, name: str, period: str)
     if path_exists(spark, target):
         _rename(spark, target, old)
     _rename(spark, staged, target)
-    _drop(spark, old)
+    drop_folder(spark, old)
     log.info("written %s.%s period %s to %s", layer, name, period, path)
     return path
 
@@ -135,8 +135,8 @@ def take_places(spark: SparkSession, staged: str, root: str, levels: int) -> lis
         else:
             fs.mkdirs(path(target).getParent())
         _rename(spark, staged + d, target)
-        _drop(spark, old)
-    _drop(spark, staged)
+        drop_folder(spark, old)
+    drop_folder(spark, staged)
     return sorted(found)
 
 
@@ -147,7 +147,8 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
-def _drop(spark: SparkSession, folder: str) -> None:
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and all that is in it; a missing one is no error."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 

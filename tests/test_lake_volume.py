@@ -5,7 +5,10 @@ import glob
 import gzip
 import shutil
 
+import pytest
+
 from aevia.operators import partials as PT
+from aevia.operators import quality as Q
 from aevia.plans import incremental_gold as IG
 from aevia.plans import pipeline as P
 from aevia.sources import bronze as B
@@ -63,3 +66,26 @@ def test_lake_without_stored_mentions(spark, scratch, bronze_of):
 
 def test_items_are_put_in_order_without_lambdas(spark):
     assert "lambdafunction" not in planned(spark, testbed.bronze(spark, SF_SMALL))
+
+
+def test_a_month_is_parsed_once_and_not_kept_in_memory(spark, scratch, bronze_of, monkeypatch):
+    """All that reads the month reads its written rows; they go at the end."""
+    plans = {}
+    monkeypatch.setattr(T, "replace_period", lambda df, root, layer, name, *a, keep=T.replace_period: plans.update(
+        {name: planned(spark, df)}) or keep(df, root, layer, name, *a))
+    monkeypatch.setattr(P, "store_audit", lambda spark, audit, *a, keep=P.store_audit: plans.update(
+        {"audit": planned(spark, audit)}) or keep(spark, audit, *a))
+    B.land_bronze(bronze_of([report("1"), report("1"), report("2", drugs=None), report(None)]), f"{scratch}/bronze", 2024, 1)
+    P.run_bronze_to_silver(spark, f"{scratch}/bronze", f"{scratch}/lake", 2024, 1)
+    assert set(plans) == {"audit", *P.SILVER_TABLES}
+    for name, plan in plans.items():
+        assert "InMemoryTableScan" not in plan and "FileScan json" not in plan and plan.count("FileScan parquet") == 1, name
+    folder = f"{scratch.removeprefix('file:')}/lake"
+    assert not glob.glob(f"{folder}/_*")
+    assert [len(P.read_silver(spark, f"{scratch}/lake")[n].collect()) for n in P.SILVER_TABLES] == [2, 3, 4]
+    with open(f"{scratch.removeprefix('file:')}/bronze/year=2024/month=01/cut-short.json", "w") as bad:
+        bad.write('{"safetyreportid": "x\n')
+    with pytest.raises(Q.DataQualityError):
+        P.run_bronze_to_silver(spark, f"{scratch}/bronze", f"{scratch}/lake", 2024, 1)
+    assert spark.read.parquet(f"{scratch}/lake/quality/load_audit").first()["corrupt"] == 1
+    assert not glob.glob(f"{folder}/_*")
